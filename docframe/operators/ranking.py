@@ -8,11 +8,15 @@ filtered, and can be computed once and passed in again.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as tx
 from .clauses import Clause, Term
+from .vectors import QUERY_BLOCK
 
 K1 = 1.2
 B = 0.75
@@ -106,3 +110,119 @@ def max_score(hits: DataFrame) -> DataFrame:
 def top_hits(hits: DataFrame, size: int, tie: str) -> DataFrame:
     """The best ``size`` hits; each task keeps only that many."""
     return hits.orderBy(F.col("_score").desc(), F.col(tie).asc()).limit(size)
+
+
+def batch_search(df: DataFrame, field: str, id: str, queries: DataFrame, query_id: str,
+                 query_text: str, k: int, analyzer: str = "standard",
+                 block: int = QUERY_BLOCK) -> DataFrame:
+    """BM25 for a whole table of query texts: (query_id, id, _score, rank), top ``k`` each.
+
+    Each task holds the distinct tokens of at most ``block`` queries with their weights,
+    scores its own documents against them and forwards only its best ``k`` per query. A
+    token found in every document and every query thus never becomes a shuffled pair.
+    """
+    wanted = queries.select(
+        F.col(query_id).alias("q"),
+        F.array_distinct(tx.ANALYZERS[analyzer](query_text)).alias("words"),
+    ).where(F.size("words") > 0)
+    pieces = max(1, -(-wanted.count() // block))
+    docs = df.select(id, tx.ANALYZERS[analyzer](field).alias("t")).where(F.size("t") > 0)
+    best = None
+    for b in range(pieces):
+        part = wanted if pieces == 1 else wanted.where(
+            F.pmod(F.xxhash64("q"), F.lit(pieces)) == b)
+        rows = part.collect()
+        if rows:
+            one = _block_hits(docs, id, query_id, wanted.schema["q"].dataType, rows, k)
+            best = one if best is None else best.unionByName(one)
+    if best is None:
+        return docs.select(
+            F.lit(None).cast(wanted.schema["q"].dataType).alias(query_id), id,
+            F.lit(0.0).alias("_score"), F.lit(0).alias("rank")).limit(0)
+    w = Window.partitionBy(query_id).orderBy(F.col("_score").desc(), F.col(id).asc())
+    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _block_hits(docs, id, query_id, qtype, rows, k):
+    """Best ``k`` documents of each task for one block of queries."""
+    qids = [row["q"] for row in rows]
+    words = sorted({w for row in rows for w in row["words"]})
+    at = {w: i for i, w in enumerate(words)}
+    asked = [sorted(at[w] for w in row["words"]) for row in rows]
+    arrow_q, arrow_i = to_arrow_type(qtype), to_arrow_type(docs.schema[id].dataType)
+
+    vocabulary = F.array(*[F.lit(w) for w in words])
+    seen = docs.select(F.size("t").alias("dl"), F.array_intersect("t", vocabulary).alias("t"))
+    totals = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("t")).alias("len")).first()
+    found = dict(
+        seen.select(F.explode("t").alias("w")).groupBy("w").count().collect()
+    )  # one row per query token of the block at most
+    n = totals["n"] or 0
+    mean = (totals["len"] or 0) / n if n else 1.0
+    idf = [0.0] * len(words)
+    for w, i in at.items():
+        df_w = found.get(w, 0)
+        idf[i] = math.log(1 + (n - df_w + 0.5) / (df_w + 0.5))
+
+    k1, b = K1, B
+
+    def best(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        weight = np.asarray(idf)
+        index = pa.array(words)
+        # query incidence: which (token, query) pairs there are
+        pair_t = np.concatenate([np.asarray(a, dtype=np.int64) for a in asked])
+        pair_q = np.repeat(np.arange(len(asked)), [len(a) for a in asked])
+        order = np.argsort(pair_t, kind="stable")
+        pair_t, pair_q = pair_t[order], pair_q[order]
+        start = np.searchsorted(pair_t, np.arange(len(weight) + 1))
+        keep_s: list = [np.empty(0)] * len(asked)
+        keep_i: list = [[] for _ in asked]
+        for batch in batches:
+            lists = batch.column(1)
+            dl = np.asarray(lists.value_lengths())
+            owner = np.repeat(np.arange(len(dl)), dl)
+            code = pc.index_in(lists.flatten(), index)
+            hit = np.asarray(pc.is_valid(code))
+            owner, code = owner[hit], np.asarray(code.drop_null())
+            cell, tf = np.unique(owner * len(weight) + code, return_counts=True)
+            doc, tok = cell // len(weight), cell % len(weight)
+            s = weight[tok] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl[doc] / mean))
+            ids = batch.column(0).to_pylist()
+            step = max(1, 4_000_000 // len(asked))  # cells of a score block
+            for lo in range(0, len(dl), step):
+                hi = min(len(dl), lo + step)
+                a, z = np.searchsorted(doc, [lo, hi])
+                width = start[tok[a:z] + 1] - start[tok[a:z]]
+                row = np.repeat(doc[a:z] - lo, width)
+                val = np.repeat(s[a:z], width)
+                offs = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+                q = pair_q[np.repeat(start[tok[a:z]], width) + offs]
+                score = np.bincount(row * len(asked) + q, weights=val,
+                                    minlength=(hi - lo) * len(asked)).reshape(hi - lo, -1)
+                score = np.round(score, 9)  # the same whatever order terms were added in
+                for j in range(len(asked)):
+                    some = np.flatnonzero(score[:, j] > 0)
+                    if len(some):
+                        merged_s = np.concatenate([keep_s[j], score[some, j]])
+                        merged_i = keep_i[j] + [ids[lo + i] for i in some]
+                        by_id = np.argsort(np.asarray(merged_i), kind="stable")
+                        top = by_id[np.argsort(-merged_s[by_id], kind="stable")[:k]]
+                        keep_s[j] = merged_s[top]
+                        keep_i[j] = [merged_i[i] for i in top]
+        out_q = [qids[j] for j in range(len(qids)) for _ in keep_i[j]]
+        if out_q:
+            yield pa.RecordBatch.from_arrays([
+                pa.array(out_q, arrow_q),
+                pa.array([i for part in keep_i for i in part], arrow_i),
+                pa.array(np.concatenate(keep_s), pa.float64()),
+            ], names=[query_id, id, "_score"])
+
+    return docs.select(id, "t").mapInArrow(
+        best,
+        f"`{query_id}` {qtype.simpleString()}, "
+        f"`{id}` {docs.schema[id].dataType.simpleString()}, _score double",
+    )

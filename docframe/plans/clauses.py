@@ -236,29 +236,29 @@ def b_nested(spark, sf):
     ))
 
 
-def order_lists(spark, sf):
-    """Orders with their lines as a list of objects (an order has a handful of lines)."""
-    return read(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.collect_set("l_returnflag").alias("flags"),
-        F.collect_list(F.struct("l_linenumber", "l_quantity", "l_returnflag")).alias("lines"),
-    )
-
-
-@query("f_array_any", """
-    SELECT l_orderkey FROM lineitem GROUP BY 1
-    HAVING bool_or(l_returnflag = 'R') AND NOT bool_or(l_returnflag = 'N')""")
+@query("f_array_any", r"""
+    SELECT page_id FROM (
+        SELECT page_id, regexp_split_to_array(url, '[/?&=.#]+') AS parts FROM pages)
+    WHERE list_contains(parts, 'ref') AND NOT list_contains(parts, 'm')
+       OR len([p FOR p IN parts IF starts_with(p, 'casino')]) > 0""")
 def f_array_any(spark, sf):
-    return search(order_lists(spark, sf), c.bool_(
-        must=[c.any_element("flags", lambda f: f == "R")],
-        must_not=[c.any_element("flags", lambda f: c.term(f, "N"))],
-    )).select("l_orderkey")
-
-
-@query("f_nested_same_element", """
-    SELECT l_orderkey FROM lineitem GROUP BY 1
-    HAVING bool_or(l_returnflag = 'A' AND l_quantity >= 45)""")
+    rows = read(spark, sf, "pages").select(
+        "page_id", F.split("url", "[/?&=.#]+").alias("parts"))
+    return search(rows, c.bool_(should=[
+        c.bool_(must=[c.any_element("parts", lambda p: p == "ref")],
+                must_not=[c.any_element("parts", lambda p: c.term(p, "m"))]),
+        c.any_element("parts", lambda p: c.prefix(p, "casino")),
+    ])).select("page_id")
+
+
+@query("f_nested_same_element", r"""
+    SELECT doc_id FROM documents
+    WHERE len([x FOR x IN string_split(text, chr(10))
+               IF length(x) >= 150 AND starts_with(x, 'The')]) > 0""")
 def f_nested_same_element(spark, sf):
-    return search(order_lists(spark, sf), c.any_element(
-        "lines", lambda x: c.bool_(must=[c.term(x["l_returnflag"], "A"),
-                                         c.range_(x["l_quantity"], gte=45)]),
-    )).select("l_orderkey")
+    """Some line of the document is long and begins with "The": both on the same line."""
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(
+        F.length(x).alias("size"), x.alias("line")))
+    rows = read(spark, sf, "documents").select("doc_id", lines.alias("lines"))
+    return search(rows, c.any_element("lines", lambda x: c.bool_(must=[
+        c.range_(x["size"], gte=150), c.prefix(x["line"], "The")]))).select("doc_id")

@@ -1 +1,211 @@
-"""."""
+"""Text analysis and full-text clauses over whole documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as tx
+from ..operators import clauses as c
+from ..operators.ranking import search
+from ..sources.tables import read, read_spread
+from .registry import query
+
+# The standard tokens of a column, in DuckDB.
+TOKENS = r"[x FOR x IN regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+') IF x <> '']"
+
+
+def toks(name: str) -> str:
+    return TOKENS.format(name)
+
+
+DOCS = f"SELECT doc_id, lang, {toks('text')} AS t FROM documents"
+
+
+def documents(spark, sf):
+    return read_spread(spark, sf, "documents", "doc_id")
+
+
+def _docs(spark, sf, clause):
+    return search(documents(spark, sf), clause).select("doc_id")
+
+
+@query("tx_tokens", f"""
+    SELECT token, count(*) AS n, count(DISTINCT doc_id) AS n_docs
+    FROM (SELECT doc_id, unnest({toks('text')}) AS token FROM documents) GROUP BY 1""")
+def tx_tokens(spark, sf):
+    """Vocabulary: occurrences and documents per token. Counted per document first, in the
+    document's own row group, so a token found everywhere is summed from partial counts."""
+    t = documents(spark, sf).select("doc_id", F.explode(tx.tokens("text")).alias("token"))
+    per_doc = t.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("c"))
+    return per_doc.groupBy("token").agg(
+        F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_docs"))
+
+
+STOP_SQL = ", ".join(f"'{w}'" for w in tx.STOP_WORDS)
+
+
+@query("tx_english", f"""
+    WITH t AS (SELECT conv_id, turn, unnest({toks('text')}) AS w FROM conversations),
+    kept AS (SELECT * FROM t WHERE w NOT IN ({STOP_SQL})),
+    s AS (SELECT conv_id, turn, CASE
+            WHEN w LIKE '%ies' AND w NOT LIKE '%eies' AND w NOT LIKE '%aies'
+                THEN w[:-4] || 'y'
+            WHEN w LIKE '%es' AND w NOT LIKE '%aes' AND w NOT LIKE '%ees' AND w NOT LIKE '%oes'
+                THEN w[:-2]
+            WHEN w LIKE '%s' AND w NOT LIKE '%us' AND w NOT LIKE '%ss' THEN w[:-2]
+            ELSE w END AS w FROM kept)
+    SELECT CASE WHEN regexp_matches(w, '[aeiouy].*ing$') THEN w[:-4]
+                WHEN regexp_matches(w, '[aeiouy].*ed$') THEN w[:-3] ELSE w END AS stem,
+           count(*) AS n
+    FROM s GROUP BY 1""")
+def tx_english(spark, sf):
+    rows = read_spread(spark, sf, "conversations", "conv_id")
+    return rows.select(F.explode(tx.english("text")).alias("stem")).groupBy("stem").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("tx_normalise", """
+    SELECT s_suppkey, lower(trim(s_name)) AS name FROM supplier""")
+def tx_normalise(spark, sf):
+    return read(spark, sf, "supplier").select("s_suppkey", tx.normalise("s_name").alias("name"))
+
+
+@query("tx_ngrams", """
+    WITH p AS (SELECT lower(p_name) AS s FROM part),
+    grams AS (
+        SELECT 'inner' AS kind, substr(s, i, n) AS gram
+        FROM p, range(2, 4) AS sizes(n), range(1, 40) AS starts(i) WHERE i + n - 1 <= length(s)
+        UNION ALL
+        SELECT 'edge', substr(s, 1, n) FROM p, range(2, 6) AS sizes(n) WHERE n <= length(s))
+    SELECT kind, gram, count(*) AS n FROM grams GROUP BY 1, 2""")
+def tx_ngrams(spark, sf):
+    names = read(spark, sf, "part")
+    inner = names.select(F.lit("inner").alias("kind"),
+                         F.explode(tx.ngrams("p_name", 2, 3)).alias("gram"))
+    edge = names.select(F.lit("edge").alias("kind"),
+                        F.explode(tx.edge_ngrams("p_name", 2, 5)).alias("gram"))
+    return inner.unionByName(edge).groupBy("kind", "gram").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("f_match_or", f"""
+    SELECT doc_id FROM ({DOCS}) WHERE list_has_any(t, ['thtion', 'eauiereux'])""")
+def f_match_or(spark, sf):
+    return _docs(spark, sf, c.match("text", "Thtion, EAUIEREUX!"))
+
+
+@query("f_match_and", f"""
+    SELECT doc_id FROM ({DOCS}) WHERE list_has_all(t, ['the', 'erth', 'with'])""")
+def f_match_and(spark, sf):
+    return _docs(spark, sf, c.match("text", "the erth with", operator="and"))
+
+
+@query("f_zero_terms", """
+    SELECT 'all' AS mode, count(*) AS n FROM documents
+    UNION ALL SELECT 'none', 0 FROM region WHERE r_regionkey = 0""")
+def f_zero_terms(spark, sf):
+    docs = read(spark, sf, "documents")
+    counts = [
+        search(docs, c.match("text", "?! --", zero_terms_query=mode)).agg(
+            F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("n"))
+        for mode in ("all", "none")
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+@query("f_phrase", f"""
+    SELECT doc_id FROM ({DOCS})
+    WHERE contains(' ' || array_to_string(t, ' ') || ' ', ' of the ')
+      AND NOT contains(' ' || array_to_string(t, ' ') || ' ', ' in the ')""")
+def f_phrase(spark, sf):
+    return _docs(spark, sf, c.bool_(must=[c.match_phrase("text", "of the")],
+                                    must_not=[c.match_phrase("text", "In the")]))
+
+
+@query("f_phrase_slop", f"""
+    WITH pos AS (
+        SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM ({DOCS})),
+    two AS (
+        SELECT DISTINCT a.doc_id FROM pos a JOIN pos b
+          ON a.doc_id = b.doc_id AND a.w = 'with' AND b.w = 'by' AND b.i > a.i AND b.i <= a.i + 3),
+    three AS (
+        SELECT DISTINCT a.doc_id FROM pos a
+        JOIN pos b ON a.doc_id = b.doc_id AND a.w = 'the' AND b.w = 'of' AND b.i > a.i
+        JOIN pos c ON a.doc_id = c.doc_id AND c.w = 'and' AND c.i > b.i AND c.i - a.i - 2 <= 3
+        WHERE b.i <= a.i + 4)
+    SELECT doc_id FROM two UNION SELECT doc_id FROM three""")
+def f_phrase_slop(spark, sf):
+    return _docs(spark, sf, c.bool_(should=[
+        c.match_phrase("text", "with by", slop=2),
+        c.match_phrase("text", "the of and", slop=3),
+    ]))
+
+
+def _vocabulary_sql(condition: str, distance: str, limit: int) -> str:
+    return f"""(SELECT term FROM (
+        SELECT DISTINCT unnest(t) AS term FROM ({DOCS})) WHERE {condition}
+        ORDER BY {distance}, term LIMIT {limit})"""
+
+
+@query("f_fuzzy", f"""
+    WITH docs AS ({DOCS}),
+    near AS (SELECT list(term) AS l FROM {_vocabulary_sql(
+        "levenshtein(term, 'erthly') <= 2 AND starts_with(term, 'e')",
+        "levenshtein(term, 'erthly')", 20)})
+    SELECT doc_id FROM docs, near WHERE list_has_any(t, l)""")
+def f_fuzzy(spark, sf):
+    docs = documents(spark, sf)
+    return search(docs, c.fuzzy(docs, "text", "erthly", "auto", prefix_length=1,
+                                max_expansions=20, transpositions=False)).select("doc_id")
+
+
+@query("f_fuzzy_swap", f"""
+    SELECT term, damerau_levenshtein(term, 'whthre') AS distance
+    FROM (SELECT DISTINCT unnest(t) AS term FROM ({DOCS}))
+    WHERE damerau_levenshtein(term, 'whthre') <= 2""")
+def f_fuzzy_swap(spark, sf):
+    return c.expand(documents(spark, sf), "text", "whthre", 2, max_expansions=None).select(
+        "term", F.col("distance").cast("long").alias("distance"))
+
+
+@query("f_match_fuzzy", f"""
+    WITH docs AS ({DOCS}),
+    a AS (SELECT list(term) AS l FROM {_vocabulary_sql(
+        "levenshtein(term, 'shhere') <= 2", "levenshtein(term, 'shhere')", 50)}),
+    b AS (SELECT list(term) AS l FROM {_vocabulary_sql(
+        "levenshtein(term, 'ouhe') <= 1", "levenshtein(term, 'ouhe')", 50)})
+    SELECT doc_id FROM docs, a, b WHERE list_has_any(t, a.l) AND list_has_any(t, b.l)""")
+def f_match_fuzzy(spark, sf):
+    docs = documents(spark, sf)
+    return search(docs, c.match_fuzzy(docs, "text", "shhere ouhe", operator="and",
+                                      transpositions=False)).select("doc_id")
+
+
+PAGES = f"SELECT page_id, {toks('url')} AS u, {toks('html')} AS h FROM pages"
+
+
+def _pages(spark, sf, clause):
+    return search(read_spread(spark, sf, "pages", "page_id"), clause).select("page_id")
+
+
+@query("mm_phrase", f"""
+    SELECT page_id FROM ({PAGES})
+    WHERE contains(' ' || array_to_string(u, ' ') || ' ', ' example com ')
+       OR contains(' ' || array_to_string(h, ' ') || ' ', ' example com ')""")
+def mm_phrase(spark, sf):
+    return _pages(spark, sf, c.multi_match("example.com", ["url", "html"], "phrase"))
+
+
+@query("mm_phrase_prefix", f"""
+    SELECT page_id FROM ({PAGES})
+    WHERE contains(' ' || array_to_string(u, ' ') || ' ', ' example org en 8')
+       OR contains(' ' || array_to_string(h, ' ') || ' ', ' example org en 8')""")
+def mm_phrase_prefix(spark, sf):
+    return _pages(spark, sf, c.multi_match("example org en 8", ["url", "html"], "phrase_prefix"))
+
+
+@query("mm_bool_prefix", f"""
+    SELECT page_id FROM ({PAGES})
+    WHERE list_contains(u, 'casino') OR list_contains(h, 'casino')
+       OR len([x FOR x IN list_concat(u, h) IF starts_with(x, 'utm')]) > 0""")
+def mm_bool_prefix(spark, sf):
+    return _pages(spark, sf, c.multi_match("casino utm", ["url", "html"], "bool_prefix"))
