@@ -174,3 +174,15 @@ def knn_candidates(signed: DataFrame, vectors: DataFrame, field: str, query_vect
     )
     fetched = vectors.join(coarse.select(id), id, "left_semi")
     return knn(fetched, field, query_vector, k, id, similarity)
+
+
+def hybrid(text_hits: DataFrame, id: str, near: DataFrame, near_id: str,
+           boost: float = 1.0) -> DataFrame:
+    """Text hits with the vector score added where the row is among the ``k`` nearest.
+
+    ``near`` holds at most ``k`` rows (it is the result of ``knn``), so it may be broadcast.
+    """
+    k_rows = F.broadcast(near.select(F.col(near_id).alias(id), F.col("_score").alias("_near")))
+    return text_hits.join(k_rows, id, "left").withColumn(
+        "_score", F.col("_score") + F.coalesce(F.col("_near") * F.lit(float(boost)), F.lit(0.0))
+    ).withColumn("near", F.col("_near").isNotNull()).drop("_near")
