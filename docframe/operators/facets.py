@@ -6,6 +6,7 @@ distinct value once per row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -61,9 +62,11 @@ def cardinality(field, missing=None) -> Column:
 
 
 def approx_cardinality(field, precision_threshold: int = PRECISION, missing=None) -> Column:
-    """HyperLogLog++ with its error set from the threshold, within [0.5%, 5%]."""
+    """HyperLogLog with its relative error set from the threshold, within [0.5%, 5%]."""
     rsd = min(0.05, max(0.005, 1.04 / precision_threshold ** 0.5))
-    return F.approx_count_distinct(_value(field, missing), rsd)
+    v = _value(field, missing)
+    bits = math.ceil(math.log2((1.04 / rsd) ** 2))
+    return F.hll_sketch_estimate(F.hll_sketch_agg(F.when(v.isNotNull(), F.xxhash64(v)), bits))
 
 
 def stats(field, prefix: str = "", missing=None) -> list[Column]:

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from . import (  # noqa: F401
     clauses,
+    documents,
     facets,
+    lookups,
     paging,
     ranking,
     text,
     vectors,
+    watches,
+    writes,
 )
 from .registry import QUERIES, SQL
 

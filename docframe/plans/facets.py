@@ -252,9 +252,14 @@ def agg_date_range(spark, sf):
         {"from": "now-1M/M"}], now="1998-08-02 10:00:00", format="yyyy-MM")
 
 
-@query("agg_keyed")
+@query("agg_keyed", """
+    SELECT count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o,
+           count(DISTINCT o_orderstatus) AS n_buckets FROM orders""")
 def agg_keyed(spark, sf):
-    return f.keyed(f.terms(read(spark, sf, "orders"), "o_orderstatus"))
+    out = f.keyed(f.terms(read(spark, sf, "orders"), "o_orderstatus"))
+    b = F.col("buckets")
+    return out.select(b["F"].alias("f"), b["O"].alias("o"),
+                      F.size(b).cast("long").alias("n_buckets"))
 
 
 @query("agg_multi", """

@@ -42,13 +42,13 @@ def sort_multi(spark, sf):
            row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) AS rank FROM supplier
     UNION ALL
     SELECT 'explicit', s_suppkey, row_number() OVER (ORDER BY s_name, s_suppkey)
-    FROM supplier QUALIFY rank <= 50""")
+    FROM supplier""")
 def sort_default(spark, sf):
     suppliers, default = read(spark, sf, "supplier"), ("s_acctbal", "desc")
     out = []
     for kind, chosen in (("default", None), ("explicit", "s_name")):
         keys = chosen or default
-        top = p.sort_rows(suppliers, chosen, "s_suppkey", default).limit(50)
+        top = p.sort_rows(suppliers, chosen, "s_suppkey", default).limit(p.MAX_SIZE)
         out.append(p.numbered(top, keys, "s_suppkey").select(
             F.lit(kind).alias("kind"), "s_suppkey", "rank"))
     return out[0].unionByName(out[1])
