@@ -23,6 +23,8 @@ from .clauses import Clause
 # Rows of one slice at most: op_order values are unique, so a slice of this many values
 # cannot hold more rows.
 SLICE = 100_000
+# Slices whose counts are added up together.
+RUN = 10_000
 # Error type of a failed condition, and the statuses of outcomes.
 CONFLICT = "version_conflict_engine_exception"
 STATUS = {"created": 201, "updated": 200, "deleted": 200, "not_found": 404, "conflict": 409}
@@ -44,8 +46,8 @@ def empty_state(ops: DataFrame) -> DataFrame:
 
 def prefix_sums(counts: DataFrame, slot: str, value: str, name: str) -> DataFrame:
     """Adds the sum of ``value`` over smaller ``slot`` numbers. Slots are summed in runs of
-    a thousand first, so the one ordered scan over all runs reads a millionth of the rows."""
-    runs = counts.withColumn("_run", F.floor(F.col(slot) / 1000))
+    RUN first; only the totals of the runs are scanned in one ordered pass."""
+    runs = counts.withColumn("_run", F.floor(F.col(slot) / RUN))
     per_run = runs.groupBy("_run").agg(F.sum(value).alias("_t"))
     over_runs = Window.orderBy("_run").rowsBetween(*BEFORE)
     start = per_run.select("_run", F.coalesce(F.sum("_t").over(over_runs), F.lit(0)).alias("_s"))
@@ -60,81 +62,104 @@ def outcomes(current: DataFrame, ops: DataFrame) -> DataFrame:
 
     A condition holds if it equals the stored numbers and nothing earlier in the batch has
     touched the row; unconditional writes always count; a delete needs a live row.
+
+    Within a slice of an id everything is worked out for both cases, "not touched before
+    this slice" (``_u``) and "touched before" (``_t``); which case it was, whether the row
+    was alive then and how many writes came before is carried over the slices.
     """
     stored = current.select(
         "_id", F.col("_version").alias("_cv"), F.col("_seq_no").alias("_cs"),
-        F.col("_primary_term").alias("_cp"), (~F.col("_deleted")).alias("_live"))
-    conditional = F.col("if_seq_no").isNotNull()
+        F.col("_primary_term").alias("_cp"), (~F.col("_deleted")).alias("_was"))
+    own = Window.partitionBy("_id", "_slice").orderBy("op_order")
+    free, hit, is_delete = F.col("_free"), F.col("_hit"), F.col("op") == "delete"
+
+    def number(c: Column) -> Column:
+        return c.cast("long")
+
     rows = (
         ops.join(stored, "_id", "left")
-        .withColumn("_live", F.coalesce("_live", F.lit(False)))
-        .withColumn("_match", F.coalesce(
-            F.col("_live") & (F.col("if_seq_no") == F.col("_cs"))
-            & (F.col("if_primary_term") == F.col("_cp")), F.lit(False)))
-        .withColumn("_free", ~conditional)
-        .withColumn("_slice", F.floor(F.col("op_order") / SLICE))
+        .withColumns({
+            "_was": F.coalesce("_was", F.lit(False)),
+            "_free": F.col("if_seq_no").isNull(),
+            "_hit": F.coalesce(
+                F.col("_was") & (F.col("if_seq_no") == F.col("_cs"))
+                & (F.col("if_primary_term") == F.col("_cp")), F.lit(False)),
+            "_slice": F.floor(F.col("op_order") / SLICE),
+        })
         .repartition("_id", "_slice")
+        .withColumn("_after", F.coalesce(
+            F.max(free | hit).over(own.rowsBetween(*BEFORE)), F.lit(False)))
+        .withColumns({
+            "_kind_u": F.when(free | (hit & ~F.col("_after")), F.col("op")),
+            "_kind_t": F.when(free, F.col("op")),
+        })
+        .withColumns({
+            "_prev_u": F.last("_kind_u", ignorenulls=True).over(own.rowsBetween(*BEFORE)),
+            "_prev_t": F.last("_kind_t", ignorenulls=True).over(own.rowsBetween(*BEFORE)),
+        })
+        .withColumns({
+            "_ok_u": F.when(free & is_delete, F.coalesce(F.col("_prev_u") == "index",
+                                                         F.col("_was")))
+            .otherwise(F.col("_kind_u").isNotNull()),
+            # a delete that comes first depends on what earlier slices left behind
+            "_open": free & is_delete & F.col("_prev_t").isNull(),
+            "_ok_t": F.when(free & is_delete, F.coalesce(F.col("_prev_t") == "index",
+                                                         F.lit(False))).otherwise(free),
+        })
+        .withColumns({
+            "_nth_u": F.sum(number(F.col("_ok_u"))).over(own.rowsBetween(*UP_TO)),
+            "_nth_t": F.sum(number(F.col("_ok_t"))).over(own.rowsBetween(*UP_TO)),
+        })
     )
 
-    # the first operation that touches the row at all
-    touch = F.when(F.col("_free") | F.col("_match"), F.col("op_order"))
-    first = rows.groupBy("_id", "_slice").agg(F.min(touch).alias("_f")).withColumn(
-        "_first", F.min("_f").over(Window.partitionBy("_id"))).drop("_f")
-    rows = rows.join(first, ["_id", "_slice"])
-
-    counts = F.col("_free") | (F.col("_match") & (F.col("op_order") == F.col("_first")))
-    own = Window.partitionBy("_id", "_slice").orderBy("op_order")
-    rows = rows.withColumn("_kind", F.when(counts, F.col("op"))).withColumn(
-        "_prev", F.last("_kind", ignorenulls=True).over(own.rowsBetween(*BEFORE)))
-    free_delete = F.col("_free") & (F.col("op") == "delete")
-    rows = rows.withColumns({
-        # a delete that opens its slice depends on what earlier slices left behind
-        "_open": free_delete & F.col("_prev").isNull(),
-        "_sure": F.when(free_delete, F.coalesce(F.col("_prev") == "index", F.lit(False)))
-        .otherwise(F.col("_kind").isNotNull()),
-    }).withColumn("_nth", F.sum(F.col("_sure").cast("long")).over(own.rowsBetween(*UP_TO)))
+    def last_kind(kind: str) -> Column:
+        return F.max(F.when(F.col(kind).isNotNull(), F.struct("op_order", kind)))[kind]
 
     ordered = Window.partitionBy("_id").orderBy("_slice").rowsBetween(*BEFORE)
+    touched = F.col("_touched")
     carried = (
         rows.groupBy("_id", "_slice").agg(
-            F.max(F.when(F.col("_kind").isNotNull(), F.struct("op_order", "_kind"))).alias("_l"),
-            F.sum(F.col("_sure").cast("long")).alias("_n"),
-            F.max("_open").alias("_opens"), F.max("_live").alias("_was"))
-        .withColumn("_left", F.last(F.col("_l")["_kind"], ignorenulls=True).over(ordered))
-        .withColumn("_alive", F.coalesce(F.col("_left") == "index", F.col("_was")))
-        .withColumn("_extra", (F.col("_opens") & F.col("_alive")).cast("long"))
-        .withColumn("_base", F.coalesce(F.sum(F.col("_n") + F.col("_extra")).over(ordered),
-                                        F.lit(0)))
-        .select("_id", "_slice", "_alive", "_extra", "_base")
+            F.max(free | hit).alias("_touch"), F.max("_was").alias("_start"),
+            last_kind("_kind_u").alias("_last_u"), last_kind("_kind_t").alias("_last_t"),
+            F.sum(number(F.col("_ok_u"))).alias("_n_u"),
+            F.sum(number(F.col("_ok_t"))).alias("_n_t"), F.max("_open").alias("_opens"))
+        .withColumn("_touched", F.coalesce(F.max("_touch").over(ordered), F.lit(False)))
+        .withColumn("_left", F.when(touched, F.col("_last_t")).otherwise(F.col("_last_u")))
+        .withColumn("_alive", F.coalesce(
+            F.last("_left", ignorenulls=True).over(ordered) == "index", F.col("_start")))
+        .withColumn("_extra", number(touched & F.col("_opens") & F.col("_alive")))
+        .withColumn("_n", F.when(touched, F.col("_n_t") + F.col("_extra"))
+                    .otherwise(F.col("_n_u")))
+        .withColumn("_base", F.coalesce(F.sum("_n").over(ordered), F.lit(0)))
+        .select("_id", "_slice", "_touched", "_alive", "_extra", "_base", "_n")
     )
-    rows = rows.join(carried, ["_id", "_slice"])
-    ok = F.col("_sure") | (F.col("_open") & F.col("_alive"))
-    live_before = F.coalesce(F.col("_prev") == "index", F.col("_alive"))
+    per_slice = carried.groupBy("_slice").agg(F.sum("_n").alias("_k"))
+    starts = prefix_sums(per_slice, "_slice", "_k", "_from").select("_slice", "_from")
+    rows = rows.join(carried.join(starts, "_slice").drop("_n"), ["_id", "_slice"])
+
+    ok = F.when(touched, F.col("_ok_t") | (F.col("_open") & F.col("_alive"))).otherwise(
+        F.col("_ok_u"))
+    prev = F.when(touched, F.col("_prev_t")).otherwise(F.col("_prev_u"))
+    live_before = F.coalesce(prev == "index", F.col("_alive"))
     result = (
-        F.when(~F.col("_free") & ~F.col("ok"), "conflict")
-        .when((F.col("op") == "delete") & F.col("ok"), "deleted")
-        .when(F.col("op") == "delete", "not_found")
+        F.when(~free & ~F.col("ok"), "conflict")
+        .when(is_delete & F.col("ok"), "deleted").when(is_delete, "not_found")
         .when(live_before, "updated").otherwise("created")
     )
-    version = F.coalesce("_cv", F.lit(0)) + F.col("_base") + F.col("_nth") + F.col("_extra")
-    rows = rows.withColumn("ok", ok).withColumns({
-        "result": result, "new_version": F.when(F.col("ok"), version)})
-
-    # table-wide operation numbers, in op_order
-    per_slice = rows.groupBy("_slice").agg(F.sum(F.col("ok").cast("long")).alias("_k"))
-    starts = prefix_sums(per_slice, "_slice", "_k", "_from").select("_slice", "_from")
-    next_no = current.agg(F.coalesce(F.max("_seq_no") + 1, F.lit(0)).alias("n")).scalar()
+    nth = F.when(touched, F.col("_nth_t") + F.col("_extra")).otherwise(F.col("_nth_u"))
     in_slice = Window.partitionBy("_slice").orderBy("op_order").rowsBetween(*UP_TO)
-    rows = rows.join(starts, "_slice").withColumn(
-        "_pos", F.sum(F.col("ok").cast("long")).over(in_slice))
+    next_no = current.agg(F.coalesce(F.max("_seq_no") + 1, F.lit(0)).alias("n")).scalar()
+    position = F.sum(number(F.col("ok"))).over(in_slice)
     status = F.element_at(
         F.create_map(*[x for k, v in STATUS.items() for x in (F.lit(k), F.lit(v))]),
         F.col("result"))
-    return rows.withColumns({
-        "new_seq_no": F.when(F.col("ok"), next_no + F.col("_from") + F.col("_pos") - 1),
+    failed = F.col("result") == "conflict"
+    return rows.withColumn("ok", ok).withColumn("result", result).withColumns({
+        "new_version": F.when(F.col("ok"), F.coalesce("_cv", F.lit(0)) + F.col("_base") + nth),
+        "new_seq_no": F.when(F.col("ok"), next_no + F.col("_from") + position - 1),
         "status": status,
-        "error_type": F.when(F.col("result") == "conflict", F.lit(CONFLICT)),
-        "error_reason": F.when(F.col("result") == "conflict", F.concat(
+        "error_type": F.when(failed, F.lit(CONFLICT)),
+        "error_reason": F.when(failed, F.concat(
             F.lit("required seq_no "), F.col("if_seq_no").cast("string"),
             F.lit(", stored "), F.coalesce(F.col("_cs").cast("string"), F.lit("none")))),
     }).select(*ops.columns, "ok", "result", "status", "error_type", "error_reason",
