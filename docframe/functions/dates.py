@@ -82,11 +82,7 @@ def epoch_micros(ts: Column) -> Column:
 
 
 def from_micros(us: Column) -> Column:
-    # via days and seconds: timestamp_add takes a 32-bit count on some units
-    return (
-        ntz("1970-01-01 00:00:00")
-        + F.make_dt_interval(secs=(us / F.lit(1_000_000)).cast("decimal(20,6)"))
-    )
+    return F.timestamp_add("MICROSECOND", us, ntz("1970-01-01 00:00:00"))
 
 
 def to_zone(ts: Column, zone: str) -> Column:
@@ -106,8 +102,8 @@ def calendar_bucket(ts, unit: str, zone: str | None = None, offset: str | None =
     if not offset:
         return trunc(CALENDAR[unit], t)
     us = duration_micros(offset)
-    step = F.make_dt_interval(secs=F.lit(us / 1_000_000).cast("decimal(20,6)"))
-    return trunc(CALENDAR[unit], t - step) + step
+    moved = trunc(CALENDAR[unit], F.timestamp_add("MICROSECOND", F.lit(-us), t))
+    return F.timestamp_add("MICROSECOND", F.lit(us), moved)
 
 
 def fixed_bucket(ts, interval: str, offset: str | None = None) -> Column:

@@ -143,6 +143,40 @@ def batch_search(df: DataFrame, field: str, id: str, queries: DataFrame, query_i
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _block_stats(docs: DataFrame, words: list[str]) -> tuple[int, float, dict[int, int]]:
+    """(documents, mean length, documents per word): each task counts the words of the block
+    in its own documents and reports one row per word."""
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        index = pa.array(words)
+        df_w = np.zeros(len(words), dtype=np.int64)
+        n = total = 0
+        for batch in batches:
+            lists = batch.column(0)
+            dl = np.asarray(lists.value_lengths())
+            n += len(dl)
+            total += int(dl.sum())
+            code = pc.index_in(lists.flatten(), index)
+            hit = np.asarray(pc.is_valid(code))
+            cell = np.unique(np.repeat(np.arange(len(dl)), dl)[hit] * len(words)
+                             + np.asarray(code.drop_null()))
+            df_w += np.bincount(cell % len(words), minlength=len(words))
+        some = np.flatnonzero(df_w)
+        # two more rows carry the number of documents and their total length
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate([some, [-1, -2]]).astype(np.int32)),
+            pa.array(np.concatenate([df_w[some], [n, total]])),
+        ], names=["w", "c"])
+
+    counts = dict(
+        docs.select("t").mapInArrow(count, "w int, c bigint").groupBy("w").agg(F.sum("c")).collect())
+    n, total = counts.pop(-1, 0), counts.pop(-2, 0)
+    return n, (total / n if n else 1.0), counts
+
+
 def _block_hits(docs, id, query_id, qtype, rows, k):
     """Best ``k`` documents of each task for one block of queries."""
     qids = [row["q"] for row in rows]
@@ -151,19 +185,9 @@ def _block_hits(docs, id, query_id, qtype, rows, k):
     asked = [sorted(at[w] for w in row["words"]) for row in rows]
     arrow_q, arrow_i = to_arrow_type(qtype), to_arrow_type(docs.schema[id].dataType)
 
-    vocabulary = F.array(*[F.lit(w) for w in words])
-    seen = docs.select(F.size("t").alias("dl"), F.array_intersect("t", vocabulary).alias("t"))
-    totals = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("t")).alias("len")).first()
-    found = dict(
-        seen.select(F.explode("t").alias("w")).groupBy("w").count().collect()
-    )  # one row per query token of the block at most
-    n = totals["n"] or 0
-    mean = (totals["len"] or 0) / n if n else 1.0
-    idf = [0.0] * len(words)
-    for w, i in at.items():
-        df_w = found.get(w, 0)
-        idf[i] = math.log(1 + (n - df_w + 0.5) / (df_w + 0.5))
-
+    n, mean, found = _block_stats(docs, words)
+    idf = [math.log(1 + (n - found.get(i, 0) + 0.5) / (found.get(i, 0) + 0.5))
+           for i in range(len(words))]
     k1, b = K1, B
 
     def best(batches):

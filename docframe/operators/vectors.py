@@ -22,9 +22,8 @@ def knn(df: DataFrame, field: str, query_vector: list[float], k: int, id: str,
     """
     rows = df if filter is None else df.where(filter.pred)
     scored = rows.withColumn("_score", similarity_score(field, list(query_vector), similarity))
-    return scored.where(F.col("_score").isNotNull()).orderBy(
-        F.col("_score").desc(), F.col(id).asc()
-    ).limit(k)
+    best = scored.orderBy(F.col("_score").desc_nulls_last(), F.col(id).asc()).limit(k)
+    return best.where(F.col("_score").isNotNull())  # after the cut: scored once, not twice
 
 
 def knn_batch(df: DataFrame, field: str, id: str, queries: DataFrame, query_id: str,

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import from_micros
 from ..spec import SYSTEM, Field, Spec
 
 
@@ -71,11 +72,9 @@ def _decoded(f: Field, v: Column) -> Column:
         return F.transform(v, lambda x: _decoded(one, x))
     if f.kind in ("datetime", "time"):
         # a written offset is converted to UTC, not dropped
-        zoned = v.rlike("(Z|[+-][0-9]{2}:?[0-9]{2})$")
-        utc = F.convert_timezone(
-            F.current_timezone(), F.lit("UTC"),
-            F.when(zoned, v).try_cast("timestamp").cast("timestamp_ntz"))
-        return F.when(zoned, utc).otherwise(F.when(~zoned, v).try_cast("timestamp_ntz"))
+        zoned = v.endswith("Z") | v.rlike("[+-][0-9]{2}:?[0-9]{2}$")
+        return F.when(zoned, from_micros(F.unix_micros(v.try_cast("timestamp")))).otherwise(
+            v.try_cast("timestamp_ntz"))
     if f.kind == "date":
         return v.try_cast("date")
     if f.kind == "binary":
