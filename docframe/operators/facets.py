@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..functions.text import col
-from .clauses import Clause
+from .clauses import Clause, any_of
 
 # Defaults of the facet parameters.
 PERCENTS = (1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0)
@@ -106,53 +106,54 @@ def percentiles(df: DataFrame, field, percents: Sequence[float] = PERCENTS,
                 missing=None, accuracy: int = 10_000) -> DataFrame:
     """Exact percentiles (linear interpolation) as rows (percent, value).
 
-    A quantile sketch brackets each wanted rank between two values; only the values inside
-    a bracket (about 4/accuracy of the data) are grouped and ranked, and the values below
-    it are just counted. No task ever holds all distinct values.
+    A quantile sketch brackets each wanted rank between two values (a handful of numbers,
+    so they come to the driver and go into the next scan as filters); the values below a
+    bracket are just counted, and only those inside one, about 4/accuracy of the data, are
+    grouped and ranked. No task ever holds all distinct values.
     """
     v = df.select(_value(field, missing).cast("double").alias("v")).where(F.col("v").isNotNull())
     shares = [p / 100 for p in percents]
-    margin = 2.0 / accuracy
-    cuts = []
-    for s in shares:
-        cuts += [max(0.0, s - margin), min(1.0, s + margin)]
-    sketch = v.agg(F.percentile_approx("v", cuts, accuracy).alias("cuts"))
-
-    marked = v.withColumn("cuts", sketch.scalar())
-    low = [F.col("cuts")[2 * i] for i in range(len(shares))]
-    high = [F.col("cuts")[2 * i + 1] for i in range(len(shares))]
-    counts = marked.agg(F.struct(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.sum((F.col("v") < lo).cast("long")) for lo in low]).alias("below"),
-    ).alias("s")).scalar()
-
-    inside = F.array_compact(F.array(*[
-        F.when(F.col("v").between(lo, hi), F.lit(i)) for i, (lo, hi) in enumerate(zip(low, high))
-    ]))
-    near = (
-        marked.withColumn("i", inside).where(F.size("i") > 0)
-        .groupBy("v", "i").agg(F.count(F.lit(1)).alias("c"))
-        .select("v", "c", F.explode("i").alias("i"))
-    )
-    w = Window.partitionBy("i").orderBy("v")
-    placed = near.withColumn("s", counts).withColumn(
-        "last", F.sum("c").over(w) + F.get(F.col("s")["below"], F.col("i")) - 1
-    )
-    share = F.element_at(F.array(*[F.lit(s) for s in shares]), F.col("i") + 1)
-    target = share * (F.col("s")["n"] - 1)
-    first = F.col("last") - F.col("c") + 1
-    at = F.floor("target")
-    picked = placed.withColumn("target", target).groupBy("i").agg(
-        F.max(F.col("target")).alias("target"),
-        F.max(F.when(at.between(first, F.col("last")), F.col("v"))).alias("lo"),
-        F.max(F.when(F.ceil("target").between(first, F.col("last")), F.col("v"))).alias("hi"),
-    )
+    margins = [2.0 / accuracy] * len(shares)
+    while True:
+        edges = [min(1.0, max(0.0, e)) for s, m in zip(shares, margins) for e in (s - m, s + m)]
+        ends, cuts = v.agg(
+            F.array(F.min("v"), F.max("v")), F.percentile_approx("v", edges, accuracy)).first()
+        if cuts is None:
+            return v.select(F.lit(0.0).alias("percent"), F.col("v").alias("value")).limit(0)
+        cuts = [ends[0] if e == 0 else ends[1] if e == 1 else x for e, x in zip(edges, cuts)]
+        low, high = cuts[::2], cuts[1::2]
+        n, *counts = v.agg(
+            F.count(F.lit(1)),
+            *[F.count(F.when(F.col("v") < lo, F.lit(1))) for lo in low],
+            *[F.count(F.when(F.col("v") <= hi, F.lit(1))) for hi in high]).first()
+        below, upto_high = counts[: len(shares)], counts[len(shares):]
+        ranks = [s * (n - 1) for s in shares]
+        missed = [not (b <= int(r) and math.ceil(r) < u)
+                  for b, u, r in zip(below, upto_high, ranks)]
+        if not any(missed):
+            break  # every wanted rank is inside its bracket
+        margins = [m * 8 if bad else m for m, bad in zip(margins, missed)]
+
+    within = [F.col("v").between(lo, hi) for lo, hi in zip(low, high)]
+    marks = F.array_compact(F.array(*[F.when(t, F.lit(i)) for i, t in enumerate(within)]))
+    near = v.where(any_of(within)).groupBy("v").agg(F.count(F.lit(1)).alias("c")).withColumn(
+        "i", F.explode(marks))
+
+    def at(values) -> Column:
+        return F.element_at(F.array(*[F.lit(x) for x in values]), F.col("i") + 1)
+
+    upto = F.sum("c").over(Window.partitionBy("i").orderBy("v"))
+    target = at(ranks)
+    placed = near.withColumns({"last": upto + at(below) - 1, "target": target}).withColumn(
+        "first", F.col("last") - F.col("c") + 1)
+    picked = placed.groupBy("i").agg(
+        F.max("target").alias("target"),
+        *[F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("v"))).alias(name)
+          for name, rank in (("lo", F.floor("target")), ("hi", F.ceil("target")))])
     part = F.col("target") - F.floor("target")
-    percent = F.element_at(F.array(*[F.lit(float(p)) for p in percents]), F.col("i") + 1)
     return picked.select(
-        percent.alias("percent"),
-        (F.col("lo") + (F.col("hi") - F.col("lo")) * part).alias("value"),
-    )
+        at([float(p) for p in percents]).alias("percent"),
+        (F.col("lo") + (F.col("hi") - F.col("lo")) * part).alias("value"))
 
 
 def approx_percentiles(df: DataFrame, field, percents: Sequence[float] = PERCENTS,

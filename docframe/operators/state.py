@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import ntz
+from ..sources.lineage import cut
 from .clauses import Clause
 
 # Rows of one slice at most: op_order values are unique, so a slice of this many values
@@ -65,7 +66,8 @@ def outcomes(current: DataFrame, ops: DataFrame) -> DataFrame:
 
     Within a slice of an id everything is worked out for both cases, "not touched before
     this slice" (``_u``) and "touched before" (``_t``); which case it was, whether the row
-    was alive then and how many writes came before is carried over the slices.
+    was alive then and how many writes came before is carried over the slices. The sliced
+    batch is checkpointed on the way, so this call runs a job.
     """
     stored = current.select(
         "_id", F.col("_version").alias("_cv"), F.col("_seq_no").alias("_cs"),
@@ -111,6 +113,7 @@ def outcomes(current: DataFrame, ops: DataFrame) -> DataFrame:
             "_nth_t": F.sum(number(F.col("_ok_t"))).over(own.rowsBetween(*UP_TO)),
         })
     )
+    rows = cut(rows)  # used several times below; the join with the stored table runs once
 
     def last_kind(kind: str) -> Column:
         return F.max(F.when(F.col(kind).isNotNull(), F.struct("op_order", kind)))[kind]

@@ -91,19 +91,15 @@ def throttle(alerts: DataFrame, key: str, ts: str, id: str, period: str,
     ).agg(F.min(id).alias("id"))  # alerts of the same moment: the lowest id
     if last is not None:
         before = last.groupBy(F.col(key).alias("k")).agg(
-            F.max(epoch_micros(F.col(ts))).alias("since"))
-        moments = moments.join(before, "k", "left")
-    else:
-        moments = moments.withColumn("since", F.lit(None).cast("bigint"))
+            (F.max(epoch_micros(F.col(ts))) + wait).alias("until"))
+        silent = F.coalesce(F.col("t") < F.col("until"), F.lit(False))
+        moments = moments.join(before, "k", "left").where(~silent).drop("until")
     parts = cut(
         moments.repartitionByRange("k", "t").sortWithinPartitions("k", "t")
         .withColumn("part", F.spark_partition_id()))
-    carried = _carried(parts, wait)
-    if carried is not None:
-        parts = parts.join(F.broadcast(carried), ["k", "part"], "left")
-    else:
-        parts = parts.withColumn("carry", F.lit(None).cast("bigint"))
-    ordered = parts.select("k", "t", "id", F.coalesce("carry", "since").alias("s"))
+    # two rows per partition at most, so small enough to broadcast
+    parts = parts.join(F.broadcast(_carried(parts, wait)), ["k", "part"], "left")
+    ordered = parts.select("k", "t", "id", "carry")
     shape = f"k {_ddl(parts, 'k')}, t bigint, id {_ddl(parts, 'id')}"
     fired = ordered.mapInArrow(_replay(wait, parts), shape)
     return fired.select(F.col("k").alias(key), from_micros(F.col("t")).alias(ts),
@@ -114,7 +110,7 @@ def _ddl(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
-def _carried(parts: DataFrame, wait: int) -> DataFrame | None:
+def _carried(parts: DataFrame, wait: int) -> DataFrame:
     """(k, part, carry) for the keys that continue from an earlier partition."""
     arrow_k = to_arrow_type(parts.schema["k"].dataType)
 
@@ -123,24 +119,17 @@ def _carried(parts: DataFrame, wait: int) -> DataFrame | None:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        keys, times, part, since = [], [], None, []
+        keys, times, part = [], [], None
         for b in batches:
             if b.num_rows:
                 keys.append(b.column(0))
                 times.append(np.asarray(b.column(1)))
-                since.append(b.column(3))
                 part = b.column(2)[0].as_py()
         if not keys:
             return
         k = pa.chunked_array(keys, type=arrow_k)
         t = np.concatenate(times)
-        s = pa.chunked_array(since, type=pa.int64())
-        edges = {0: k[0].as_py(), len(k) - 1: k[len(k) - 1].as_py()}
-        seen = []
-        for at, name in edges.items():
-            if name in seen:
-                continue
-            seen.append(name)
+        for name in {k[0].as_py(), k[len(k) - 1].as_py()}:
             mask = np.asarray(pc.equal(k, pa.scalar(name, arrow_k)))
             mine = t[mask]
             nxt = np.searchsorted(mine, mine + wait)
@@ -157,18 +146,15 @@ def _carried(parts: DataFrame, wait: int) -> DataFrame | None:
             keep = np.flatnonzero(np.append(exits[1:] != exits[:-1], True))
             yield pa.RecordBatch.from_arrays([
                 pa.array([name], arrow_k), pa.array([part], pa.int32()),
-                pa.array([s[at].as_py()], pa.int64()),
                 pa.array([entries[keep].tolist()], pa.list_(pa.int64())),
                 pa.array([exits[keep].tolist()], pa.list_(pa.int64())),
-            ], names=["k", "part", "since", "entries", "exits"])
+            ], names=["k", "part", "entries", "exits"])
 
     def follow(group):
         import numpy as np
 
         s, out = None, []
         for row in group.sort_values("part").itertuples():
-            if s is None and row.since == row.since and row.since is not None:
-                s = int(row.since)
             out.append((row.k, row.part, s))
             entries = np.asarray(row.entries)
             at = 0 if s is None else int(np.searchsorted(entries, s + wait))
@@ -179,8 +165,8 @@ def _carried(parts: DataFrame, wait: int) -> DataFrame | None:
         return pd.DataFrame(out, columns=["k", "part", "carry"]).astype({"carry": "Int64"})
 
     k = _ddl(parts, "k")
-    edges = parts.select("k", "t", "part", "since").mapInArrow(
-        summary, f"k {k}, part int, since bigint, entries array<bigint>, exits array<bigint>")
+    edges = parts.select("k", "t", "part").mapInArrow(
+        summary, f"k {k}, part int, entries array<bigint>, exits array<bigint>")
     carried = edges.groupBy("k").applyInPandas(follow, f"k {k}, part int, carry bigint")
     return carried.where(F.col("carry").isNotNull())
 
