@@ -21,6 +21,8 @@ PERCENTS = (1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0)
 TERMS_SIZE = 10
 SIGMA = 2.0
 PRECISION = 3000
+# Rows a percentile's bracket may hold before it is narrowed once more.
+BRACKET = 5_000_000
 
 
 def _value(field, missing=None) -> Column:
@@ -106,33 +108,37 @@ def percentiles(df: DataFrame, field, percents: Sequence[float] = PERCENTS,
                 missing=None, accuracy: int = 10_000) -> DataFrame:
     """Exact percentiles (linear interpolation) as rows (percent, value).
 
-    A quantile sketch brackets each wanted rank between two values (a handful of numbers,
-    so they come to the driver and go into the next scan as filters); the values below a
-    bracket are just counted, and only those inside one, about 4/accuracy of the data, are
-    grouped and ranked. No task ever holds all distinct values.
+    Each wanted rank is bracketed between two values, from a quantile sketch, and the rows
+    below and inside the bracket are counted; a bracket is only accepted if the rank is in
+    it, and narrowed again until few rows are left. Brackets are a handful of numbers, so
+    they come to the driver and go into the next scan as filters. Only rows inside them are
+    grouped and ranked: no task ever holds all distinct values.
     """
     v = df.select(_value(field, missing).cast("double").alias("v")).where(F.col("v").isNotNull())
-    shares = [p / 100 for p in percents]
-    margins = [2.0 / accuracy] * len(shares)
-    while True:
-        edges = [min(1.0, max(0.0, e)) for s, m in zip(shares, margins) for e in (s - m, s + m)]
-        ends, cuts = v.agg(
-            F.array(F.min("v"), F.max("v")), F.percentile_approx("v", edges, accuracy)).first()
-        if cuts is None:
-            return v.select(F.lit(0.0).alias("percent"), F.col("v").alias("value")).limit(0)
-        cuts = [ends[0] if e == 0 else ends[1] if e == 1 else x for e, x in zip(edges, cuts)]
-        low, high = cuts[::2], cuts[1::2]
-        n, *counts = v.agg(
-            F.count(F.lit(1)),
-            *[F.count(F.when(F.col("v") < lo, F.lit(1))) for lo in low],
-            *[F.count(F.when(F.col("v") <= hi, F.lit(1))) for hi in high]).first()
-        below, upto_high = counts[: len(shares)], counts[len(shares):]
-        ranks = [s * (n - 1) for s in shares]
-        missed = [not (b <= int(r) and math.ceil(r) < u)
-                  for b, u, r in zip(below, upto_high, ranks)]
-        if not any(missed):
-            break  # every wanted rank is inside its bracket
-        margins = [m * 8 if bad else m for m, bad in zip(margins, missed)]
+    n, lowest, highest = v.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
+    if n == 0:
+        return v.select(F.lit(0.0).alias("percent"), F.col("v").alias("value")).limit(0)
+    ranks = [p / 100 * (n - 1) for p in percents]
+    brackets = [(lowest, highest, 0, n)] * len(ranks)  # from, to, rows below, rows up to
+    margins = [2.0 / accuracy] * len(ranks)
+    todo = range(len(ranks))
+    while todo:
+        wanted = [(ranks[i], margins[i], *brackets[i]) for i in todo]
+        narrower = _narrow(v, wanted, accuracy)
+        again = []
+        for i, (lo, hi, below, upto) in zip(todo, narrower):
+            was = brackets[i][3] - brackets[i][2]
+            if below <= int(ranks[i]) and math.ceil(ranks[i]) < upto:
+                brackets[i] = (lo, hi, below, upto)
+            elif margins[i] < 1:  # missed it: keep the old bracket, look wider
+                margins[i] *= 8
+                again.append(i)
+                continue
+            now = brackets[i][3] - brackets[i][2]
+            if now > BRACKET and lo < hi and now <= was / 2:
+                again.append(i)
+        todo = again
+    low, high, below, _ = zip(*brackets)
 
     within = [F.col("v").between(lo, hi) for lo, hi in zip(low, high)]
     marks = F.array_compact(F.array(*[F.when(t, F.lit(i)) for i, t in enumerate(within)]))
@@ -156,6 +162,23 @@ def percentiles(df: DataFrame, field, percents: Sequence[float] = PERCENTS,
         (F.col("lo") + (F.col("hi") - F.col("lo")) * part).alias("value"))
 
 
+def _narrow(v: DataFrame, wanted, accuracy: int) -> list[tuple]:
+    """Per (rank, margin, from, to, below, up to): a narrower bracket and its two counts, exact."""
+    cells = []
+    for rank, margin, lo, hi, below, upto in wanted:
+        share = (rank - below) / max(1, upto - below - 1)
+        edges = [max(0.0, share - margin), min(1.0, share + margin)]
+        inside = F.when(F.col("v").between(lo, hi), F.col("v"))
+        cells.append(F.percentile_approx(inside, edges, accuracy))
+    edges = [(w[2] if c is None else c[0], w[3] if c is None else c[1])
+             for w, c in zip(wanted, v.agg(*cells).first())]
+    counts = v.agg(
+        *[F.count(F.when(F.col("v") < lo, F.lit(1))) for lo, _ in edges],
+        *[F.count(F.when(F.col("v") <= hi, F.lit(1))) for _, hi in edges]).first()
+    k = len(edges)
+    return [(lo, hi, counts[i], counts[k + i]) for i, (lo, hi) in enumerate(edges)]
+
+
 def approx_percentiles(df: DataFrame, field, percents: Sequence[float] = PERCENTS,
                        accuracy: int = 10_000, missing=None) -> DataFrame:
     """Sketched percentiles: one pass, bounded memory, rank error at most 1/accuracy."""

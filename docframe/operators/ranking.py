@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as tx
 from .clauses import Clause, Term
-from .vectors import QUERY_BLOCK
+from .vectors import QUERY_BLOCK, SCORE_CELLS, best_of_rows
 
 K1 = 1.2
 B = 0.75
@@ -188,9 +188,9 @@ def _block_hits(docs, id, query_id, qtype, rows, k):
     n, mean, found = _block_stats(docs, words)
     idf = [math.log(1 + (n - found.get(i, 0) + 0.5) / (found.get(i, 0) + 0.5))
            for i in range(len(words))]
-    k1, b = K1, B
+    k1, b, BestOf = K1, B, best_of_rows()
 
-    def best(batches):
+    def best_rows(batches):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -203,8 +203,7 @@ def _block_hits(docs, id, query_id, qtype, rows, k):
         order = np.argsort(pair_t, kind="stable")
         pair_t, pair_q = pair_t[order], pair_q[order]
         start = np.searchsorted(pair_t, np.arange(len(weight) + 1))
-        keep_s: list = [np.empty(0)] * len(asked)
-        keep_i: list = [[] for _ in asked]
+        best = BestOf(len(asked), k, above=1e-9)  # no token in common is no hit
         for batch in batches:
             lists = batch.column(1)
             dl = np.asarray(lists.value_lengths())
@@ -216,7 +215,7 @@ def _block_hits(docs, id, query_id, qtype, rows, k):
             doc, tok = cell // len(weight), cell % len(weight)
             s = weight[tok] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl[doc] / mean))
             ids = batch.column(0).to_pylist()
-            step = max(1, 4_000_000 // len(asked))  # cells of a score block
+            step = max(1, SCORE_CELLS // len(asked))
             for lo in range(0, len(dl), step):
                 hi = min(len(dl), lo + step)
                 a, z = np.searchsorted(doc, [lo, hi])
@@ -228,25 +227,15 @@ def _block_hits(docs, id, query_id, qtype, rows, k):
                 score = np.bincount(row * len(asked) + q, weights=val,
                                     minlength=(hi - lo) * len(asked)).reshape(hi - lo, -1)
                 score = np.round(score, 9)  # the same whatever order terms were added in
-                for j in range(len(asked)):
-                    some = np.flatnonzero(score[:, j] > 0)
-                    if len(some):
-                        merged_s = np.concatenate([keep_s[j], score[some, j]])
-                        merged_i = keep_i[j] + [ids[lo + i] for i in some]
-                        by_id = np.argsort(np.asarray(merged_i), kind="stable")
-                        top = by_id[np.argsort(-merged_s[by_id], kind="stable")[:k]]
-                        keep_s[j] = merged_s[top]
-                        keep_i[j] = [merged_i[i] for i in top]
-        out_q = [qids[j] for j in range(len(qids)) for _ in keep_i[j]]
-        if out_q:
-            yield pa.RecordBatch.from_arrays([
-                pa.array(out_q, arrow_q),
-                pa.array([i for part in keep_i for i in part], arrow_i),
-                pa.array(np.concatenate(keep_s), pa.float64()),
-            ], names=[query_id, id, "_score"])
+                best.add(score, ids[lo:hi])
+        names, found, scores = best.result(qids)
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, arrow_q), pa.array(found, arrow_i), pa.array(scores, pa.float64())],
+                names=[query_id, id, "_score"])
 
     return docs.select(id, "t").mapInArrow(
-        best,
+        best_rows,
         f"`{query_id}` {qtype.simpleString()}, "
         f"`{id}` {docs.schema[id].dataType.simpleString()}, _score double",
     )

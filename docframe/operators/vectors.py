@@ -14,6 +14,48 @@ from .clauses import Clause
 QUERY_BLOCK = 2_000
 
 
+# Scores computed at a time by a task (rows x queries).
+SCORE_CELLS = 4_000_000
+
+
+def best_of_rows():
+    """A class keeping the best ``k`` (score, id) of each query within one task. Made in here
+    so that it travels to the executors by value."""
+
+    class BestOf:
+        def __init__(self, queries: int, k: int, above: float = float("-inf")):
+            import numpy as np
+
+            self.k = k
+            self.scores = [np.empty(0)] * queries
+            self.ids: list = [[] for _ in range(queries)]
+            self.bar = np.full(queries, above)  # a row below it cannot be among the best
+
+        def add(self, score, ids) -> None:
+            """``score``: rows x queries."""
+            import numpy as np
+
+            for j in np.flatnonzero((score >= self.bar).any(axis=0)):
+                rows = np.flatnonzero(score[:, j] >= self.bar[j])
+                merged = np.concatenate([self.scores[j], score[rows, j]])
+                names = self.ids[j] + [ids[i] for i in rows]
+                by_id = np.argsort(np.asarray(names), kind="stable")  # ties: the lower id
+                top = by_id[np.argsort(-merged[by_id], kind="stable")[: self.k]]
+                self.scores[j] = merged[top]
+                self.ids[j] = [names[i] for i in top]
+                if len(top) == self.k:
+                    self.bar[j] = max(self.bar[j], self.scores[j][-1])
+
+        def result(self, qids):
+            import numpy as np
+
+            names = [q for q, ids in zip(qids, self.ids) for _ in ids]
+            flat = [i for ids in self.ids for i in ids]
+            return names, flat, np.concatenate(self.scores)
+
+    return BestOf
+
+
 def knn(df: DataFrame, field: str, query_vector: list[float], k: int, id: str,
         similarity: str = "cosine", filter: Clause | None = None) -> DataFrame:
     """The ``k`` rows nearest to one vector, with ``_score``. The filter comes first.
@@ -60,58 +102,45 @@ def _block_best(df, field, id, query_id, rows, qtype, k, similarity):
     qids = [r["q"] for r in rows]
     vectors = [list(r["x"]) for r in rows]
 
-    def best(batches):
+    BestOf = best_of_rows()
+
+    def best_rows(batches):
         import numpy as np
         import pyarrow as pa
 
         q = np.asarray(vectors, dtype=np.float64)
         dims = q.shape[1]
         qnorm = np.sqrt((q * q).sum(axis=1))
-        top_s = np.empty((0, len(qids)))
-        top_i: list = []
+        best = BestOf(len(qids), k)
+        step = max(1, SCORE_CELLS // len(qids))
         for batch in batches:
             column = batch.column(1)
             sizes = np.asarray(column.value_lengths().fill_null(-1))
             fits = np.flatnonzero(sizes == dims)
-            if not len(fits):
-                continue
-            flat = column.take(pa.array(fits)).flatten().to_numpy(zero_copy_only=False)
-            m = flat.astype(np.float64).reshape(-1, dims)
-            ids = batch.column(0).take(pa.array(fits)).to_pylist()
-            prod = m @ q.T
-            if similarity == "cosine":
-                length = np.sqrt((m * m).sum(axis=1))
-                score = (1 + prod / (length[:, None] * qnorm[None, :])) / 2
-            elif similarity == "dot_product":
-                score = (1 + prod) / 2
-            else:
-                d = (m * m).sum(axis=1)[:, None] + (q * q).sum(axis=1)[None, :] - 2 * prod
-                score = 1 / (1 + np.maximum(d, 0))
-            all_s = np.concatenate([top_s, score])
-            all_i = top_i + ids
-            order = np.argsort(np.asarray(all_i), kind="stable")  # ties go to the lower id
-            keep = set()
-            for j in range(len(qids)):
-                keep.update(order[np.argsort(-all_s[order, j], kind="stable")[:k]].tolist())
-            kept = sorted(keep)
-            top_s, top_i = all_s[kept], [all_i[i] for i in kept]
-        out_q, out_i, out_s = [], [], []
-        if top_i:
-            order = np.argsort(np.asarray(top_i), kind="stable")
-            for j, name in enumerate(qids):
-                for i in order[np.argsort(-top_s[order, j], kind="stable")[:k]]:
-                    if not np.isnan(top_s[i, j]):
-                        out_q.append(name)
-                        out_i.append(top_i[i])
-                        out_s.append(float(top_s[i, j]))
-        if out_q:
+            for lo in range(0, len(fits), step):
+                some = pa.array(fits[lo: lo + step])
+                m = column.take(some).flatten().to_numpy(zero_copy_only=False)
+                m = m.astype(np.float64).reshape(-1, dims)
+                prod = m @ q.T
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    if similarity == "cosine":
+                        length = np.sqrt((m * m).sum(axis=1))
+                        score = (1 + prod / (length[:, None] * qnorm[None, :])) / 2
+                    elif similarity == "dot_product":
+                        score = (1 + prod) / 2
+                    else:
+                        d = (m * m).sum(axis=1)[:, None] + (q * q).sum(axis=1)[None, :] - 2 * prod
+                        score = 1 / (1 + np.maximum(d, 0))
+                best.add(score, batch.column(0).take(some).to_pylist())
+        names, ids, scores = best.result(qids)
+        if ids:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out_q, arrow_q), pa.array(out_i, arrow_i), pa.array(out_s, pa.float64())],
+                [pa.array(names, arrow_q), pa.array(ids, arrow_i), pa.array(scores, pa.float64())],
                 names=[query_id, id, "_score"],
             )
 
     return df.select(id, field).mapInArrow(
-        best, f"`{query_id}` {qtype.simpleString()}, `{id}` {itype.simpleString()}, _score double"
+        best_rows, f"`{query_id}` {qtype.simpleString()}, `{id}` {itype.simpleString()}, _score double"
     )
 
 
@@ -123,22 +152,22 @@ def signature(df: DataFrame, field: str, dims: int, words: int = 4, seed: int =
     """
     planes = _planes(dims, words, seed)
 
-    @F.pandas_udf("array<bigint>")
-    def sides(s):
+    @F.arrow_udf("array<bigint>")
+    def sides(vectors):
         import numpy as np
+        import pyarrow as pa
 
-        out = [None] * len(s)
-        fits = [i for i, x in enumerate(s) if x is not None and len(x) == dims]
-        if fits:
-            m = np.stack([np.asarray(s.iloc[i], dtype=np.float64) for i in fits])
-            bits = (m @ planes.T >= 0).reshape(len(fits), words, 64)
-            packed = np.packbits(bits, axis=2).reshape(len(fits), words, 8)
-            longs = packed.copy().view(">i8").reshape(len(fits), words).astype("<i8")
-            for i, row in zip(fits, longs):
-                out[i] = row
-        import pandas as pd
-
-        return pd.Series(out)
+        sizes = np.asarray(vectors.value_lengths().fill_null(-1))
+        fits = np.flatnonzero(sizes == dims)
+        m = vectors.take(pa.array(fits)).flatten().to_numpy(zero_copy_only=False)
+        bits = m.astype(np.float64).reshape(-1, dims) @ planes.T >= 0
+        packed = np.packbits(bits.reshape(len(fits), words, 64), axis=2)
+        longs = packed.view(">i8").astype("<i8").reshape(-1)
+        ends = np.cumsum(np.where(sizes == dims, words, 0)).astype(np.int32)
+        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+        out = pa.ListArray.from_arrays(
+            offsets, pa.array(longs), mask=pa.array(sizes != dims))
+        return out
 
     return df.withColumn(name, sides(F.col(field)))
 

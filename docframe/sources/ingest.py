@@ -64,6 +64,10 @@ def _reasons(df: DataFrame, spec: Spec) -> list[Column]:
     return out
 
 
+def _some_broken(value: Column, test, part: str | None = None) -> Column:
+    return F.exists(value, lambda x: F.coalesce(~test(x[part] if part else x), F.lit(False)))
+
+
 def _rule_reasons(f: Field, path: str, value: Column) -> list[Column]:
     if f.kind == "object":
         return [r for sub in f.fields for r in _rule_reasons(
@@ -72,15 +76,13 @@ def _rule_reasons(f: Field, path: str, value: Column) -> list[Column]:
         out = []
         for sub in f.fields:
             for reason, test in sub.rules():
-                def broken(x, test=test, sub=sub):
-                    return F.coalesce(~test(x[sub.name]), F.lit(False))
-
-                out.append(F.when(F.exists(value, broken), F.lit(f"{path}.{sub.name}: {reason}")))
+                out.append(F.when(_some_broken(value, test, sub.name),
+                                  F.lit(f"{path}.{sub.name}: {reason}")))
         return out
     out = []
     for reason, test in f.rules():
         if f.many:
-            bad = F.exists(value, lambda x, test=test: F.coalesce(~test(x), F.lit(False)))
+            bad = _some_broken(value, test)
         else:
             bad = ~test(value)
         out.append(F.when(bad, F.lit(f"{path}: {reason}")))

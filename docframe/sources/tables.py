@@ -26,11 +26,10 @@ def read_spread(spark: SparkSession, folder: str, name: str, key: str) -> DataFr
 
 
 def write_routed(df: DataFrame, path: str, routing: str = "_routing") -> None:
-    """One folder per routing value, so that a routed read opens only its own. Rows of one
-    route are spread over several files by a hash of the row, so a heavy route is no
-    single task's work."""
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c != routing]), F.lit(16))
-    df.repartition(F.col(routing), spread).write.mode("error").partitionBy(routing).parquet(path)
+    """One folder per routing value, so that a routed read opens only its own. Rebalancing
+    gathers a route's rows into few files and splits a heavy route by size, so no route is
+    a single task's work."""
+    df.hint("rebalance", routing).write.mode("error").partitionBy(routing).parquet(path)
 
 
 def read_routed(spark: SparkSession, path: str, route: str, routing: str = "_routing"):
