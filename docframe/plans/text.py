@@ -140,6 +140,12 @@ def f_phrase_slop(spark, sf):
     ]))
 
 
+# DuckDB's distances count bytes. Terms are lower-case, so giving each accented letter a
+# capital of its own makes them count characters.
+ACCENTED = "àâäáãæçéèêëíîïñóôöœßúùûü"
+CHARS = f"translate(term, '{ACCENTED}', 'ABCDEFGHIJKLMNOPQRSTUVWX')"
+
+
 def _vocabulary_sql(condition: str, distance: str, limit: int) -> str:
     return f"""(SELECT term FROM (
         SELECT DISTINCT unnest(t) AS term FROM ({DOCS})) WHERE {condition}
@@ -149,8 +155,8 @@ def _vocabulary_sql(condition: str, distance: str, limit: int) -> str:
 @query("f_fuzzy", f"""
     WITH docs AS ({DOCS}),
     near AS (SELECT list(term) AS l FROM {_vocabulary_sql(
-        "levenshtein(term, 'erthly') <= 2 AND starts_with(term, 'e')",
-        "levenshtein(term, 'erthly')", 20)})
+        f"levenshtein({CHARS}, 'erthly') <= 2 AND starts_with(term, 'e')",
+        f"levenshtein({CHARS}, 'erthly')", 20)})
     SELECT doc_id FROM docs, near WHERE list_has_any(t, l)""")
 def f_fuzzy(spark, sf):
     docs = documents(spark, sf)
@@ -159,9 +165,9 @@ def f_fuzzy(spark, sf):
 
 
 @query("f_fuzzy_swap", f"""
-    SELECT term, damerau_levenshtein(term, 'whthre') AS distance
+    SELECT term, damerau_levenshtein({CHARS}, 'whthre') AS distance
     FROM (SELECT DISTINCT unnest(t) AS term FROM ({DOCS}))
-    WHERE damerau_levenshtein(term, 'whthre') <= 2""")
+    WHERE damerau_levenshtein({CHARS}, 'whthre') <= 2""")
 def f_fuzzy_swap(spark, sf):
     return c.expand(documents(spark, sf), "text", "whthre", 2, max_expansions=None).select(
         "term", F.col("distance").cast("long").alias("distance"))
@@ -170,9 +176,9 @@ def f_fuzzy_swap(spark, sf):
 @query("f_match_fuzzy", f"""
     WITH docs AS ({DOCS}),
     a AS (SELECT list(term) AS l FROM {_vocabulary_sql(
-        "levenshtein(term, 'shhere') <= 2", "levenshtein(term, 'shhere')", 50)}),
+        f"levenshtein({CHARS}, 'shhere') <= 2", f"levenshtein({CHARS}, 'shhere')", 50)}),
     b AS (SELECT list(term) AS l FROM {_vocabulary_sql(
-        "levenshtein(term, 'ouhe') <= 1", "levenshtein(term, 'ouhe')", 50)})
+        f"levenshtein({CHARS}, 'ouhe') <= 1", f"levenshtein({CHARS}, 'ouhe')", 50)})
     SELECT doc_id FROM docs, a, b WHERE list_has_any(t, a.l) AND list_has_any(t, b.l)""")
 def f_match_fuzzy(spark, sf):
     docs = documents(spark, sf)

@@ -24,13 +24,13 @@ def watch_input(spark, sf):
 
 
 HOURLY = """SELECT time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') AS start, event_type,
-    count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1, 2"""
+    count(*) AS n, round(avg(value), 9) AS mean FROM events GROUP BY 1, 2"""
 
 
 def hourly(spark, sf):
     return windows.window_metrics(
         read(spark, sf, "events"), "ts", "1 hour",
-        {"n": F.count(F.lit(1)), "mean": F.round(F.avg("value"), 6)}, by=["event_type"])
+        {"n": F.count(F.lit(1)), "mean": F.round(F.avg("value"), 9)}, by=["event_type"])
 
 
 @query("watch_compare", f"""
