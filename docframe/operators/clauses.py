@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, text as tx
 from ..functions.dates import date_math
 from ..functions.text import col
+from ..spec import Spec
 
 # A text term whose corpus statistics a ranked clause needs: (field, analyzer, token)
 Term = tuple[str, str, str]
@@ -281,10 +282,13 @@ def by_fields(fields: dict[str, object], analyzers: dict[str, str] | None = None
 
 
 def multi_match(
-    query: str, fields: Sequence[str], type: str = "best_fields", operator: str = "or",
+    query: str, fields: Sequence[str] | Spec, type: str = "best_fields", operator: str = "or",
     analyzer: str = "standard", boost: float = 1.0,
 ) -> Clause:
-    """One query over several text fields; see the parts below for each ``type``."""
+    """One query over several text fields (all text fields of a spec, if one is given); see
+    the parts below for each ``type``."""
+    if isinstance(fields, Spec):
+        fields = [f.name for f in fields.fields if f.kind == "text"]
     if type in ("best_fields", "most_fields"):
         parts = [match(f, query, operator, analyzer) for f in fields]
     elif type == "phrase":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,6 +12,7 @@ from ..operators import clauses as c
 from ..operators.ranking import search
 from ..sources import documents as d
 from ..sources import ingest, tables
+from ..sources.lineage import shared_folder
 from ..sources.tables import read
 from ..spec import Field, Spec
 from .registry import query
@@ -212,20 +213,12 @@ def subfields(spark, sf):
     WHERE c_mktsegment = 'BUILDING'""")
 def routed_read(spark, sf):
     """Written by route, then read for one route: only that folder is opened."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    path = f"{folder}/routed-{spark.sparkContext.applicationId}-{_next()}"
+    path = f"{shared_folder(spark)}/routed-{uuid.uuid4().hex}"
     rows = read(spark, sf, "customer").withColumnRenamed("c_mktsegment", "_routing")
     tables.write_routed(rows, path)
     return tables.read_routed(spark, path, "BUILDING").select("c_custkey", "c_name", "_routing")
 
 
-_runs = iter(range(1_000_000_000))
-
-
-def _next() -> int:
-    return next(_runs)
-
-
 @query("source_fields", """
     SELECT c_custkey, c_name, 0 AS c_nationkey, NULL::DOUBLE AS c_acctbal,
            'none' AS c_mktsegment FROM customer""")

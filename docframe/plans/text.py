@@ -33,12 +33,16 @@ def _docs(spark, sf, clause):
     SELECT token, count(*) AS n, count(DISTINCT doc_id) AS n_docs
     FROM (SELECT doc_id, unnest({toks('text')}) AS token FROM documents) GROUP BY 1""")
 def tx_tokens(spark, sf):
-    """Vocabulary: occurrences and documents per token. Counted per document first, in the
-    document's own row group, so a token found everywhere is summed from partial counts."""
-    t = documents(spark, sf).select("doc_id", F.explode(tx.tokens("text")).alias("token"))
-    per_doc = t.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("c"))
-    return per_doc.groupBy("token").agg(
-        F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_docs"))
+    """Vocabulary: occurrences and documents per token, from one explosion. The tokens are
+    followed by the distinct ones; the position tells which is which, so both counts are
+    summed up in every task and only one row per token and task is shuffled."""
+    t = tx.tokens("text")
+    rows = documents(spark, sf).select(t.alias("t"))
+    both = rows.select(F.size("t").alias("dl"), F.posexplode(
+        F.concat("t", F.array_distinct("t"))).alias("i", "token"))
+    return both.groupBy("token").agg(
+        F.count(F.when(F.col("i") < F.col("dl"), F.lit(1))).alias("n"),
+        F.count(F.when(F.col("i") >= F.col("dl"), F.lit(1))).alias("n_docs"))
 
 
 STOP_SQL = ", ".join(f"'{w}'" for w in tx.STOP_WORDS)
