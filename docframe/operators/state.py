@@ -58,7 +58,7 @@ def prefix_sums(counts: DataFrame, slot: str, value: str, name: str) -> DataFram
     ).drop("_run", "_s")
 
 
-def outcomes(current: DataFrame, ops: DataFrame) -> DataFrame:
+def outcomes(current: DataFrame, ops: DataFrame, next_no: int | None = None) -> DataFrame:
     """Every operation with ``ok``, ``result``, ``status``, error, and new version numbers.
 
     A condition holds if it equals the stored numbers and nothing earlier in the batch has
@@ -68,6 +68,9 @@ def outcomes(current: DataFrame, ops: DataFrame) -> DataFrame:
     this slice" (``_u``) and "touched before" (``_t``); which case it was, whether the row
     was alive then and how many writes came before is carried over the slices. The sliced
     batch is checkpointed on the way, so this call runs a job.
+
+    ``current`` may hold just the rows the batch can touch; ``next_no`` is then the next
+    operation number of the whole table.
     """
     stored = current.select(
         "_id", F.col("_version").alias("_cv"), F.col("_seq_no").alias("_cs"),
@@ -151,7 +154,8 @@ def outcomes(current: DataFrame, ops: DataFrame) -> DataFrame:
     )
     nth = F.when(touched, F.col("_nth_t") + F.col("_extra")).otherwise(F.col("_nth_u"))
     in_slice = Window.partitionBy("_slice").orderBy("op_order").rowsBetween(*UP_TO)
-    next_no = current.agg(F.coalesce(F.max("_seq_no") + 1, F.lit(0)).alias("n")).scalar()
+    start_no = F.lit(next_no) if next_no is not None else current.agg(
+        F.coalesce(F.max("_seq_no") + 1, F.lit(0)).alias("n")).scalar()
     position = F.sum(number(F.col("ok"))).over(in_slice)
     status = F.element_at(
         F.create_map(*[x for k, v in STATUS.items() for x in (F.lit(k), F.lit(v))]),
@@ -159,7 +163,7 @@ def outcomes(current: DataFrame, ops: DataFrame) -> DataFrame:
     failed = F.col("result") == "conflict"
     return rows.withColumn("ok", ok).withColumn("result", result).withColumns({
         "new_version": F.when(F.col("ok"), F.coalesce("_cv", F.lit(0)) + F.col("_base") + nth),
-        "new_seq_no": F.when(F.col("ok"), next_no + F.col("_from") + position - 1),
+        "new_seq_no": F.when(F.col("ok"), start_no + F.col("_from") + position - 1),
         "status": status,
         "error_type": F.when(failed, F.lit(CONFLICT)),
         "error_reason": F.when(failed, F.concat(
@@ -196,9 +200,10 @@ def next_state(current: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
-def apply_batch(current: DataFrame, ops: DataFrame) -> tuple[DataFrame, DataFrame]:
+def apply_batch(current: DataFrame, ops: DataFrame,
+                next_no: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(next state, outcome of every operation)."""
-    results = outcomes(current, ops)
+    results = outcomes(current, ops, next_no)
     return next_state(current, results), results
 
 

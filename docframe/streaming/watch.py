@@ -245,13 +245,12 @@ def throttled(root: str, key: str, ts: str, id: str, period: str, act):
 
     def wrapped(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        done = snapshots.latest(spark, root)
-        replay = done is not None and done["batch"] == str(batch_id)
-        if replay:  # the state already includes this batch: go back to the one before
-            before = done["version"] - 1
-            last = snapshots.read(spark, root, before) if before >= 1 else None
-        else:
+        done = snapshots.committed(spark, root, str(batch_id))
+        if done is None:
             last = snapshots.read(spark, root)
+        else:  # a replay: the state already includes this batch, so take the one before
+            before = done["version"] - 1
+            last = snapshots.read(spark, root, before) if before else None
         fired = cut(throttle(batch, key, ts, id, period, last))
         act(fired, batch_id)
         known = fired.select(key, ts)
@@ -262,31 +261,52 @@ def throttled(root: str, key: str, ts: str, id: str, period: str, act):
     return wrapped
 
 
-def purge_action(root: str, query: Clause):
-    """Removes the rows of a versioned table that match, as the next version."""
+def purge_action(root: str, query: Clause, key: str = "_id"):
+    """Removes the rows of a versioned table that match, as the next version. In a bucketed
+    table only buckets that lose rows are rewritten."""
 
-    def act(_: DataFrame, batch_id: int) -> None:
-        spark = _.sparkSession
-        table = snapshots.read(spark, root)
-        if table is not None:
-            kept, _removed = state.delete_by_query(table, query)
-            snapshots.commit(kept, root, f"purge-{batch_id}")
+    def act(tick: DataFrame, batch_id: int) -> None:
+        spark, name = tick.sparkSession, f"purge-{batch_id}"
+        last = snapshots.latest(spark, root)
+        if last is None or snapshots.committed(spark, root, name) is not None:
+            return
+        table, n = snapshots.read(spark, root), last["n_buckets"]
+        kept, removed = state.delete_by_query(table, query)
+        if not n:
+            snapshots.commit(kept, root, name)
+            return
+        losing = snapshots.touched(removed, key, n)
+        if losing:
+            kept, _ = state.delete_by_query(snapshots.read(spark, root, buckets=losing), query)
+            snapshots.commit(kept, root, name, key, n, losing, last["next_seq"])
 
     return act
 
 
-def upsert_action(root: str, results_root: str | None = None):
+def upsert_action(root: str, n_buckets: int = 64, results_root: str | None = None):
     """Applies each micro-batch of operations to a versioned table; a replayed batch changes
-    nothing, and the same operation delivered twice within one counts once."""
+    nothing, and the same operation delivered twice within one counts once. Only the buckets
+    the batch's ids fall in are read and rewritten."""
 
     def act(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if snapshots.committed(spark, root, str(batch_id)) is not None:
+            return
         ops = batch.dropDuplicates(["op_order"])
-        current = snapshots.read(spark, root)
-        current = state.empty_state(ops) if current is None else current
-        after, results = state.apply_batch(current, ops)
+        last = snapshots.latest(spark, root)
+        which = snapshots.touched(ops, "_id", n_buckets)
+        if not which:
+            return
+        if last is None:
+            current, next_no = state.empty_state(ops), 0
+        else:
+            current = snapshots.read(spark, root, buckets=which)
+            next_no = last["next_seq"]
+        results = cut(state.outcomes(current, ops, next_no))
         if results_root is not None:
             results.write.mode("overwrite").parquet(f"{results_root}/batch-{batch_id}")
-        snapshots.commit(after, root, str(batch_id))
+        written = results.agg(F.max("new_seq_no")).first()[0]
+        snapshots.commit(state.next_state(current, results), root, str(batch_id), "_id",
+                         n_buckets, which, next_no if written is None else written + 1)
 
     return act

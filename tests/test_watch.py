@@ -160,7 +160,7 @@ def test_streamed_upserts_equal_one_batch(spark, tmp_path):
         spark.createDataFrame(part + part[:3], schema).coalesce(1).write.mode("append").parquet(
             folder)  # three operations are delivered twice
         stream = spark.readStream.schema(schema).parquet(folder)
-        w.run(stream, w.upsert_action(root), str(tmp_path / "cp")).awaitTermination()
+        w.run(stream, w.upsert_action(root, n_buckets=4), str(tmp_path / "cp")).awaitTermination()
     ops = spark.createDataFrame(rows, schema)
     want, _ = state.apply_batch(state.empty_state(ops), ops)
     cols = ["_id", "doc", "_version", "_seq_no", "_deleted"]
@@ -169,7 +169,21 @@ def test_streamed_upserts_equal_one_batch(spark, tmp_path):
         return sorted(map(tuple, df.select(cols).collect()), key=str)
 
     assert key(snapshots.read(spark, root)) == key(want)
-    assert snapshots.latest(spark, root)["version"] == 3
+    last = snapshots.latest(spark, root)
+    assert last["version"] == 3 and last["n_buckets"] == 4
+    # a purge rewrites only the buckets that lose rows
+    state_rows = snapshots.read(spark, root)
+    victim = state_rows.where("NOT _deleted").orderBy("_id").first()["_id"]
+    w.purge_action(root, c.term("_id", victim))(stream_tick(spark), 0)
+    w.purge_action(root, c.term("_id", victim))(stream_tick(spark), 0)  # replayed
+    last = snapshots.latest(spark, root)
+    assert last["version"] == 4 and len(last["buckets"]) == 1
+    assert key(snapshots.read(spark, root)) == key(want.where(F.col("_id") != victim))
+    assert key(snapshots.read(spark, root, 3)) == key(want)
+
+
+def stream_tick(spark):
+    return spark.range(1)
 
 
 def test_purge_and_actions_on_a_stream(spark, tmp_path):
