@@ -172,13 +172,61 @@ def geo_distance(
 # ---- full-text clauses ---------------------------------------------------------------
 
 
-def _may_contain(field, words: Sequence[str], analyzer: str, every: bool) -> Column | None:
-    """A token is a substring of the lower-cased text, so a plain substring test rules most
-    rows out before they are split. Not valid for stemmed tokens."""
-    if analyzer != "standard" or not words:
-        return None
-    text = F.lower(col(field))
-    return (all_of if every else any_of)([text.contains(w) for w in words])
+# Letters and digits make up tokens; anything else separates them.
+IN_TOKEN = r"[\p{L}\p{N}]"
+
+
+class _Standard:
+    """Tests on the lower-cased text itself. A word is found as a literal with no token
+    character on either side, which says the same as splitting the text into tokens at a
+    fraction of the cost, and a substring test rules most rows out before that."""
+
+    sep, token = tx.WORD_BREAK, IN_TOKEN + "+"
+
+    def __init__(self, field):
+        self.text = F.lower(col(field))
+
+    def words(self, words: Sequence[str]) -> list[Column]:
+        return [self.text.contains(w) & self.pattern([w], w) for w in words]
+
+    def pattern(self, words: Sequence[str], body: str, prefix: bool = False) -> Column:
+        start = f"(?<!{IN_TOKEN}{words[0]})"
+        body = words[0] + start + body[len(words[0]):]
+        return self.text.rlike(body if prefix else f"{body}(?!{IN_TOKEN})")
+
+    def sequence(self, words, slop: int = 0, prefix: bool = False) -> Column:
+        there = all_of([self.text.contains(w) for w in dict.fromkeys(words)])
+        ways = _slop_patterns(words, slop, self.sep, self.token)
+        return there & any_of([self.pattern(words, way, prefix) for way in ways])
+
+    def starting(self, word: str) -> Column:
+        return self.text.contains(word) & self.pattern([word], word, prefix=True)
+
+
+class _Tokens:
+    """The same tests on the token list of any other analyser, joined by spaces."""
+
+    sep, token = " ", "[^ ]+"
+
+    def __init__(self, field, analyzer: str):
+        self.tokens = tx.ANALYZERS[analyzer](field)
+        self.text = F.concat(F.lit(" "), F.array_join(self.tokens, " "), F.lit(" "))
+
+    def words(self, words: Sequence[str]) -> list[Column]:
+        return [F.array_contains(self.tokens, w) for w in words]
+
+    def sequence(self, words, slop: int = 0, prefix: bool = False) -> Column:
+        if slop == 0:
+            return self.text.contains(" " + " ".join(words) + ("" if prefix else " "))
+        ways = _slop_patterns(words, slop, self.sep, self.token)
+        return self.text.rlike("|".join(f" {way} " for way in ways))
+
+    def starting(self, word: str) -> Column:
+        return self.text.contains(f" {word}")
+
+
+def _reader(field, analyzer: str):
+    return _Standard(field) if analyzer == "standard" else _Tokens(field, analyzer)
 
 
 def _bm25(field: str, analyzer: str, words: Sequence[str]):
@@ -198,23 +246,10 @@ def match(
     words = list(dict.fromkeys(tx.analyse_query(query, analyzer)))
     if not words:
         return Clause(F.lit(zero_terms_query == "all"), boost=boost)
-    found = tx.ANALYZERS[analyzer](field)
-    wanted = F.array(*[F.lit(w) for w in words])
-    every = operator.lower() == "and" or len(words) == 1
-    if len(words) == 1:
-        pred = F.array_contains(found, words[0])
-    elif every:
-        pred = F.size(F.array_except(wanted, found)) == 0
-    else:
-        pred = F.arrays_overlap(found, wanted)
-    pred = F.when(col(field).isNotNull(), pred)
-    quick = _may_contain(field, words, analyzer, every)
+    found = _reader(field, analyzer).words(words)
+    pred = all_of(found) if operator.lower() == "and" else any_of(found)
     score, needs = _bm25(field, analyzer, words)
-    return Clause(quick & pred if quick is not None else pred, score, boost, needs)
-
-
-def _spaced(field, analyzer: str) -> Column:
-    return F.concat(F.lit(" "), F.array_join(tx.ANALYZERS[analyzer](field), " "), F.lit(" "))
+    return Clause(pred, score, boost, needs)
 
 
 def match_phrase(
@@ -222,43 +257,40 @@ def match_phrase(
 ) -> Clause:
     """Query tokens in order, with up to ``slop`` extra positions in total.
 
-    Tokens hold no spaces, so a phrase is a substring of the space-joined token list; with
-    slop it is a pattern with one alternative per way of sharing out the extra positions.
+    A phrase is one pattern over the text, with slop one per way of sharing out the extra
+    positions; nothing is exploded or joined.
     """
     words = tx.analyse_query(query, analyzer)
     if not words:
         return match_none()
-    spaced = _spaced(field, analyzer)
-    if slop == 0 or len(words) == 1:
-        pred = spaced.contains(" " + " ".join(words) + " ")
-    else:
-        pred = spaced.rlike(_slop_pattern(words, slop))
-    quick = _may_contain(field, words, analyzer, every=True)
+    pred = _reader(field, analyzer).sequence(words, slop if len(words) > 1 else 0)
     score, needs = _bm25(field, analyzer, list(dict.fromkeys(words)))
-    return Clause(quick & pred if quick is not None else pred, score, boost, needs)
+    return Clause(pred, score, boost, needs)
 
 
-def _slop_pattern(words: Sequence[str], slop: int) -> str:
-    """Gap widths are maximal per alternative: only tuples that use up all of ``slop``."""
+def _slop_patterns(words: Sequence[str], slop: int, sep: str, token: str) -> list[str]:
+    """Words in order with at most so many tokens between each two; one pattern per way of
+    handing out all of ``slop`` (smaller sums are covered by these)."""
     gaps = len(words) - 1
+    if gaps < 1:
+        return list(words)
     ways = []
     for bars in itertools.combinations(range(slop + gaps - 1), gaps - 1):
         edges = (-1, *bars, slop + gaps - 1)
-        widths = [b - a - 1 for a, b in zip(edges, edges[1:])]
-        pattern = " " + re.escape(words[0])
-        for w, width in zip(words[1:], widths):
-            pattern += (f"(?: [^ ]+){{0,{width}}}" if width else "") + " " + re.escape(w)
-        ways.append(pattern + " ")
-    return "|".join(ways)
+        pattern = words[0]
+        for w, low, high in zip(words[1:], edges, edges[1:]):
+            width = high - low - 1
+            pattern += (f"(?:{sep}{token}){{0,{width}}}" if width else "") + sep + w
+        ways.append(pattern)
+    return ways
 
 
 def match_phrase_prefix(field, query: str, analyzer="standard", boost: float = 1.0) -> Clause:
+    """The phrase with its last token as a prefix."""
     words = tx.analyse_query(query, analyzer)
     if not words:
         return match_none()
-    pred = _spaced(field, analyzer).contains(" " + " ".join(words))
-    quick = _may_contain(field, words, analyzer, every=True)
-    return Clause(quick & pred if quick is not None else pred, boost=boost)
+    return Clause(_reader(field, analyzer).sequence(words, prefix=True), boost=boost)
 
 
 def match_bool_prefix(field, query: str, analyzer="standard", boost: float = 1.0) -> Clause:
@@ -266,11 +298,8 @@ def match_bool_prefix(field, query: str, analyzer="standard", boost: float = 1.0
     words = tx.analyse_query(query, analyzer)
     if not words:
         return match_none()
-    spaced = _spaced(field, analyzer)
-    pred = any_of([spaced.contains(f" {w} ") for w in words[:-1]]
-                  + [spaced.contains(f" {words[-1]}")])
-    quick = _may_contain(field, words, analyzer, every=False)
-    return Clause(quick & pred if quick is not None else pred, boost=boost)
+    found = _reader(field, analyzer)
+    return Clause(any_of([*found.words(words[:-1]), found.starting(words[-1])]), boost=boost)
 
 
 def by_fields(fields: dict[str, object], analyzers: dict[str, str] | None = None) -> Clause:

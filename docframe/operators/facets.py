@@ -164,14 +164,19 @@ def percentiles(df: DataFrame, field, percents: Sequence[float] = PERCENTS,
 
 def _narrow(v: DataFrame, wanted, accuracy: int) -> list[tuple]:
     """Per (rank, margin, from, to, below, up to): a narrower bracket and its two counts, exact."""
-    cells = []
+    shares: dict[tuple, list[float]] = {}  # per distinct bracket: one sketch for all in it
+    places = []
     for rank, margin, lo, hi, below, upto in wanted:
         share = (rank - below) / max(1, upto - below - 1)
-        edges = [max(0.0, share - margin), min(1.0, share + margin)]
-        inside = F.when(F.col("v").between(lo, hi), F.col("v"))
-        cells.append(F.percentile_approx(inside, edges, accuracy))
-    edges = [(w[2] if c is None else c[0], w[3] if c is None else c[1])
-             for w, c in zip(wanted, v.agg(*cells).first())]
+        mine = shares.setdefault((lo, hi), [])
+        places.append(((lo, hi), len(mine)))
+        mine += [max(0.0, share - margin), min(1.0, share + margin)]
+    cells = [
+        F.percentile_approx(F.when(F.col("v").between(lo, hi), F.col("v")), mine, accuracy)
+        for (lo, hi), mine in shares.items()
+    ]
+    found = dict(zip(shares, v.agg(*cells).first()))
+    edges = [key if found[key] is None else tuple(found[key][i: i + 2]) for key, i in places]
     counts = v.agg(
         *[F.count(F.when(F.col("v") < lo, F.lit(1))) for lo, _ in edges],
         *[F.count(F.when(F.col("v") <= hi, F.lit(1))) for _, hi in edges]).first()

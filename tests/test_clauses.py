@@ -71,12 +71,40 @@ def test_slop_pattern_against_brute_force(words, phrase, slop):
         all(words[i] == p for i, p in zip(pos, phrase))
         and pos[-1] - pos[0] - (len(phrase) - 1) <= slop
         for pos in itertools.combinations(range(len(words)), len(phrase)))
-    text = " " + " ".join(words) + " "
-    if slop == 0:
-        got = " " + " ".join(phrase) + " " in text
-    else:
-        got = re.search(c._slop_pattern(phrase, slop), text) is not None
-    assert got == want
+    spaced = " " + " ".join(words) + " "
+    ways = c._slop_patterns(phrase, slop, " ", "[^ ]+")
+    assert any(re.search(f" {way} ", spaced) for way in ways) == want
+
+
+def test_word_tests_agree_with_tokens(spark):
+    """Tests on the text give what tests on its token list give."""
+    rng = random.Random(4)
+    pieces = ["the", "other", "th", "e", "été", "a1", "Straße", "THE", " ", " ", ", ", "-", "_",
+              "\n", "'"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    tokens = tx.tokens("text")
+    spaced = F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
+    for word in ("the", "e", "été", "a1", "straße"):
+        assert ids(search(df, c.match("text", word))) == ids(
+            df.where(F.array_contains(tokens, word)))
+        assert ids(search(df, c.match_bool_prefix("text", word))) == ids(
+            df.where(spaced.contains(f" {word}")))
+    for a, b in (("the", "other"), ("th", "e"), ("e", "e"), ("été", "a1")):
+        assert ids(search(df, c.match_phrase("text", f"{a} {b}"))) == ids(
+            df.where(spaced.contains(f" {a} {b} ")))
+        assert ids(search(df, c.match_phrase_prefix("text", f"{a} {b}"))) == ids(
+            df.where(spaced.contains(f" {a} {b}")))
+        assert ids(search(df, c.match_phrase("text", f"{a} {b}", slop=2))) == ids(
+            df.where(spaced.rlike(f" {a}(?: [^ ]+){{0,2}} {b} ")))
+
+
+def test_phrases_of_another_analyser(spark):
+    df = spark.createDataFrame([(1, "the running dogs"), (2, "dogs run far"), (3, "runs, a dog")],
+                               "id int, text string")
+    assert ids(search(df, c.match("text", "dog", analyzer="english"))) == [1, 2, 3]
+    assert ids(search(df, c.match_phrase("text", "dog run", analyzer="english"))) == [2]
+    assert ids(search(df, c.match_phrase("text", "run the dog", 1, "english"))) == [3]
 
 
 def test_minimum_should_match():
