@@ -229,7 +229,10 @@ def _reader(field, analyzer: str):
     return _Standard(field) if analyzer == "standard" else _Tokens(field, analyzer)
 
 
-def _bm25(field: str, analyzer: str, words: Sequence[str]):
+def _bm25(field, analyzer: str, words: Sequence[str]):
+    if not isinstance(field, str):  # an element of a list: no statistics, so a constant score
+        return None, frozenset()
+
     def score(ctx):
         return reduce(lambda a, b: a + b, [ctx.weight(field, analyzer, w) for w in words])
 

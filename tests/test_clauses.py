@@ -76,6 +76,14 @@ def test_slop_pattern_against_brute_force(words, phrase, slop):
     assert any(re.search(f" {way} ", spaced) for way in ways) == want
 
 
+def test_text_clauses_on_list_elements(spark):
+    df = spark.createDataFrame([(1, ["red fox", "blue dog"]), (2, ["red dog"]), (3, None)],
+                               "id int, lines array<string>")
+    both = c.any_element("lines", lambda x: c.match(x, "red dog", operator="and"))
+    assert ids(search(df, both)) == [2]
+    assert ids(search(df, c.any_element("lines", lambda x: c.match_phrase(x, "red fox")))) == [1]
+
+
 def test_word_tests_agree_with_tokens(spark):
     """Tests on the text give what tests on its token list give."""
     rng = random.Random(4)
