@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -77,3 +77,9 @@ def ranked(df: DataFrame, name: str, key: str, ties: Sequence[Column], groups: S
 def in_words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text as an array; NULL has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it: lambdas
+    work out what they name from outside anew for every element."""
+    return F.get(F.transform(F.array(value), use), 0)

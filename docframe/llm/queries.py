@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, sharding
+from . import language, lines, mixing, quality, sharding
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,18 @@ FROM documents d LEFT JOIN rest k ON d.doc_id = k.doc_id LEFT JOIN removed r ON
 def line_windows(spark: SparkSession, sf: str) -> DataFrame:
     return lines.dedup_lines(read(spark, sf, "documents")).select(
         "doc_id", "lines", "removed_lines", F.md5("text").alias("kept_md5"))
+
+
+@query("op4_weak_supervision")
+def weak_supervision(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(read(spark, sf, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", F.round("good", 6).alias("good"))
+
+
+@query("op5_language")
+def languages(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    model = language.fit(docs.where(~language.held_out()))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
