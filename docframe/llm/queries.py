@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lines, mixing, quality, sharding
+from . import language, lines, mixing, neardup, quality, sharding
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,36 @@ def languages(spark: SparkSession, sf: str) -> DataFrame:
     model = language.fit(docs.where(~language.held_out()))
     return language.identify(docs.select("doc_id", "text"), model).select(
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
+  FROM words
+), reps AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+parts AS (SELECT rep, n, unnest(s) AS x FROM reps),
+pairs AS (
+  SELECT a.rep AS a, b.rep AS b, count(*) AS joint, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM parts a JOIN parts b ON a.x = b.x AND a.rep < b.rep GROUP BY a.rep, b.rep
+), links AS (
+  SELECT a, b FROM pairs WHERE 100 * joint >= 75 * (na + nb - joint)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, root) AS (
+  SELECT rep, rep FROM reps UNION SELECT e.b, r.root FROM reach r JOIN both_ways e ON r.node = e.a
+), least AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT d.doc_id, len(d.s) AS n_shingles, coalesce(l.root, d.doc_id) AS component_id,
+       coalesce(l.root, d.doc_id) = d.doc_id AS kept
+FROM sets d LEFT JOIN reps r ON d.s = r.s AND len(d.s) > 0 LEFT JOIN least l ON r.rep = l.node
+"""
+
+
+@query("op7_minhash_tensored", NEAR_SQL)
+def minhash_tensored(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs).drop("text")
