@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lines, mixing, neardup, quality, sharding
+from . import decontamination, language, lines, mixing, neardup, quality, sharding
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,3 +159,11 @@ FROM sets d LEFT JOIN reps r ON d.s = r.s AND len(d.s) > 0 LEFT JOIN least l ON
 def minhash_tensored(spark: SparkSession, sf: str) -> DataFrame:
     docs = read(spark, sf, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs).drop("text")
+
+
+@query("op9_cgk_decontamination")
+def cgk_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.contaminated(
+        read(spark, sf, "documents"), read(spark, sf, "benchmark")).select(
+        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "edits", "item_words",
+        F.col("end").alias("end_word"))
