@@ -154,47 +154,62 @@ def best_match(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def matches(words: np.ndarray, index: Index) -> list[tuple[int, int, int]]:
-    """(item, edits, end) of the items that some run of the words holds with at most rate * length
-    edits, as far as the LSH meets them."""
-    hits: dict[int, list[int]] = {}
-    outside = np.concatenate([[0], np.cumsum(~index.vocabulary[_bit(words)])])
+def matches(texts: list[np.ndarray], index: Index) -> list[tuple[int, int, int, int]]:
+    """(text, item, edits, end) of the items that some run of a text's words holds with at most
+    rate * length edits, as far as the LSH meets them. The texts are laid end to end, parted by more
+    empty words than a window may hold foreign ones, so that one walk serves them all."""
+    gap = np.zeros(max(index.sizes.values(), default=0) + 1, np.uint64)
+    parts = [p for t in texts for p in (t, gap)]
+    words = np.concatenate([np.zeros(0, np.uint64), *parts])
+    begins = np.cumsum([0, *[len(t) + len(gap) for t in texts]])
+    outside = np.concatenate([[0], np.cumsum((words == 0) | ~index.vocabulary[_bit(words)])])
+    hits: dict[tuple[int, int], list[int]] = {}
     for size, edits in index.sizes.items():
-        count = len(words) - size + 1
-        if count <= 0:
-            # a text shorter than the window, by deletions only
-            starts = np.zeros(1, np.int64) if len(words) and len(words) >= size - edits else None
-        else:
-            # more foreign words than edits rule a window out
-            starts = np.flatnonzero(outside[size:] - outside[:-size] <= edits)
-        if starts is None or not len(starts):
+        # more foreign words than edits rule a window out
+        starts = np.flatnonzero(outside[size:] - outside[:-size] <= edits)
+        if not len(starts):
             continue
         for repeat in range(REPEATS):
             alive, keys = _walk(words, starts, size, repeat, index.known[size, repeat])
-            for at, key in zip(alive.tolist(), keys.tolist(), strict=True):
+            owners = np.searchsorted(begins, alive, side="right") - 1
+            for at, key, owner in zip(alive.tolist(), keys.tolist(), owners.tolist(), strict=True):
                 for item in index.found.get(key, ()):
-                    hits.setdefault(item, []).append(at)
+                    hits.setdefault((owner, item), []).append(at - int(begins[owner]))
     out = []
-    for item, places in hits.items():
-        own = index.items[item]
+    for (owner, item), places in hits.items():
+        own, text = index.items[item], texts[owner]
         most = int(index.rate * len(own))
-        low = high = -1
         best: tuple[int, int] | None = None
-        for at in [*sorted(set(places)), None]:
-            if at is not None and low >= 0 and at <= high:
-                high = max(high, at + len(own) + 2 * most)
+        done = -1
+        for at in sorted(set(places)):
+            if at <= done:
                 continue
-            if low >= 0:
-                edits, end = best_match(own, words[low:high])
-                if edits <= most and (best is None or edits < best[0]):
-                    best = (edits, low + end)
-            if at is not None:
-                low, high = max(0, at - most), at + len(own) + 2 * most
+            low, high = max(0, at - most), at + len(own) + 2 * most
+            edits, end = best_match(own, text[low:high])
+            if edits <= most and (best is None or edits < best[0]):
+                best = (edits, low + end)
+                done = at + most
         if best is not None:
-            out.append((item, *best))
+            out.append((owner, item, *best))
     return sorted(out)
 
 
+def pieces(texts: list[str | None]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """(row numbers, words) of the texts that have words, in blocks of about ``PIECE`` words."""
+    rows, block, held = [], [], 0
+    for i, text in enumerate(texts):
+        own = tokens(text)
+        if len(own):
+            rows.append(i)
+            block.append(own)
+            held += len(own)
+        if held >= PIECE:
+            yield rows, block
+            rows, block, held = [], [], 0
+    if block:
+        yield rows, block
+
+
 def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text", rate: float = 0.1,
                  block_words: int = 2_000_000) -> DataFrame:
@@ -231,8 +246,8 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
-                rows = [(i, *m) for i, text in enumerate(batch.column("text").to_pylist()) if text
-                        for m in matches(tokens(text), index)]
+                rows = [(at[m[0]], *m[1:]) for at, block in pieces(batch.column("text").to_pylist())
+                        for m in matches(block, index)]
                 if rows:
                     at, item, edits, end = (list(x) for x in zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([
