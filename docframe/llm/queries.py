@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, lines, mixing, neardup, quality, sharding
+from . import decontamination, language, lines, mixing, neardup, pii, quality, sharding
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,3 +167,9 @@ def cgk_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         read(spark, sf, "documents"), read(spark, sf, "benchmark")).select(
         F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "edits", "item_words",
         F.col("end").alias("end_word"))
+
+
+@query("op1_pii_surrogates")
+def pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    out = pii.replace(read(spark, sf, "documents"), key="corpus")
+    return out.select("doc_id", "text", F.size("entities").alias("n_entities"), "entities")
