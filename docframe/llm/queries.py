@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, lines, mixing, neardup, pii, quality, sharding
+from . import decontamination, language, lines, mixing, neardup, pii, quality, sharding, substrings
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,3 +173,42 @@ def cgk_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 def pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
     out = pii.replace(read(spark, sf, "documents"), key="corpus")
     return out.select("doc_id", "text", F.size("entities").alias("n_entities"), "entities")
+
+
+SUBSTRINGS_SQL = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents
+), strings AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, CAST(length(h) / 2 AS BIGINT) - 49)) AS p FROM texts)
+), firsts AS (SELECT md5(s) AS k, min(doc_id) AS first FROM strings GROUP BY 1),
+later AS (
+  SELECT s.doc_id, s.p FROM strings s JOIN firsts f ON md5(s.s) = f.k WHERE s.doc_id > f.first
+), runs AS (
+  SELECT doc_id, p, p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -100) + 50 AS new
+  FROM later
+), numbered AS (
+  SELECT doc_id, p, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM runs
+), spans AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM numbered GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM spans
+  UNION ALL SELECT doc_id, 0, min(a) FROM spans GROUP BY doc_id
+), kept AS (
+  SELECT g.doc_id, string_agg(CASE WHEN g.b IS NULL THEN substr(t.h, 2 * g.a + 1)
+         ELSE substr(t.h, 2 * g.a + 1, 2 * (g.b - g.a)) END, '' ORDER BY g.a, g.b NULLS LAST) AS h
+  FROM gaps g JOIN texts t USING (doc_id) GROUP BY g.doc_id
+), sums AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT t.doc_id, CAST(length(t.h) / 2 AS BIGINT) AS n_bytes,
+       CAST(coalesce(s.removed, 0) AS BIGINT) AS n_removed, coalesce(s.spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.h, CASE WHEN s.doc_id IS NULL THEN t.h ELSE '' END))) AS kept_sha256
+FROM texts t LEFT JOIN sums s USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+
+@query("op8_suffix_family", SUBSTRINGS_SQL)
+def suffix_family(spark: SparkSession, sf: str) -> DataFrame:
+    out = substrings.remove_repeats(read(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return out.select(
+        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
