@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -83,3 +84,10 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is worked out once, however often ``use`` names it: lambdas
     work out what they name from outside anew for every element."""
     return F.get(F.transform(F.array(value), use), 0)
+
+
+def pairs(batch: pa.RecordBatch, a: str, b: str, step: int = 256) -> Iterator[tuple]:
+    """The rows' two values, made into Python objects a few rows at a time."""
+    for at in range(0, batch.num_rows, step):
+        part = batch.slice(at, step)
+        yield from zip(part.column(a).to_pylist(), part.column(b).to_pylist(), strict=True)

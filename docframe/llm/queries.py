@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, lines, mixing, neardup, pii, quality, sharding, substrings
+from . import (
+    decontamination,
+    language,
+    lines,
+    mixing,
+    neardup,
+    passages,
+    pii,
+    quality,
+    sharding,
+    substrings,
+)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,3 +223,13 @@ def suffix_family(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(
         F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_collinear_chains")
+def collinear_chains(spark: SparkSession, sf: str) -> DataFrame:
+    out = passages.mark_repeats(read(spark, sf, "documents"))
+    return out.select(
+        F.col("id").alias("doc_id"), "repeated_words",
+        F.coalesce(F.size("passages"), F.lit(0)).alias("n_passages"),
+        F.coalesce(F.array_sort(F.array_distinct(F.transform("passages", lambda p: p["other"]))),
+                   F.array().cast("array<long>")).alias("other_ids"), "passages")
