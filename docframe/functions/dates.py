@@ -94,24 +94,49 @@ def from_zone(local: Column, zone: str) -> Column:
     return F.convert_timezone(F.lit(zone), F.lit("UTC"), local)
 
 
+HOUR = 3_600_000_000
+
+
+def is_short(calendar: str | None, fixed: str | None) -> bool:
+    """Whether buckets are an hour long at most. Such buckets are counted in elapsed time, so an hour
+    that the clocks repeat is two buckets; longer ones are counted in local time."""
+    if calendar:
+        return CALENDAR[calendar] in ("SECOND", "MINUTE", "HOUR")
+    return duration_micros(fixed) <= HOUR
+
+
+def _micros_bucket(us: Column, width: int, move: int) -> Column:
+    return us - F.pmod(us - F.lit(move), F.lit(width))
+
+
 def calendar_bucket(ts, unit: str, zone: str | None = None, offset: str | None = None) -> Column:
-    """Start of the calendar bucket, as local time when a zone is given."""
+    """Start of the calendar bucket, in UTC."""
+    t = col(ts)
+    local = to_zone(t, zone) if zone else t
+    us = duration_micros(offset) if offset else 0
+    start = local if not us else F.timestamp_add("MICROSECOND", F.lit(-us), local)
+    start = trunc(CALENDAR[unit], start)
+    if us:
+        start = F.timestamp_add("MICROSECOND", F.lit(us), start)
+    if not zone:
+        return start
+    if is_short(unit, None):
+        return from_micros(epoch_micros(t) - (epoch_micros(local) - epoch_micros(start)))
+    return from_zone(start, zone)
+
+
+def fixed_bucket(ts, interval: str, zone: str | None = None, offset: str | None = None) -> Column:
+    """Start of the fixed-width bucket, in UTC; widths are counted from the epoch, in local time
+    when a zone is given."""
     t = col(ts)
-    if zone:
-        t = to_zone(t, zone)
-    if not offset:
-        return trunc(CALENDAR[unit], t)
-    us = duration_micros(offset)
-    moved = trunc(CALENDAR[unit], F.timestamp_add("MICROSECOND", F.lit(-us), t))
-    return F.timestamp_add("MICROSECOND", F.lit(us), moved)
-
-
-def fixed_bucket(ts, interval: str, offset: str | None = None) -> Column:
-    """Start of the fixed-width bucket, counted from the epoch."""
-    width = duration_micros(interval)
-    move = duration_micros(offset) if offset else 0
-    us = epoch_micros(col(ts)) - F.lit(move)
-    return from_micros(us - F.pmod(us, F.lit(width)) + F.lit(move))
+    width, move = duration_micros(interval), duration_micros(offset) if offset else 0
+    if not zone:
+        return from_micros(_micros_bucket(epoch_micros(t), width, move))
+    local = epoch_micros(to_zone(t, zone))
+    start = _micros_bucket(local, width, move)
+    if is_short(None, interval):
+        return from_micros(epoch_micros(t) - (local - start))
+    return from_zone(from_micros(start), zone)
 
 
 def iso_z(ts: Column) -> Column:

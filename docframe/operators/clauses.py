@@ -8,7 +8,6 @@ counted or summed the NULL is turned into "does not hold" first (``Clause.negate
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field as dc_field
@@ -181,10 +180,10 @@ class _Standard:
     character on either side, which says the same as splitting the text into tokens at a
     fraction of the cost, and a substring test rules most rows out before that."""
 
-    sep, token = tx.WORD_BREAK, IN_TOKEN + "+"
+    sep = tx.WORD_BREAK
 
     def __init__(self, field):
-        self.text = F.lower(col(field))
+        self.field, self.text = field, F.lower(col(field))
 
     def words(self, words: Sequence[str]) -> list[Column]:
         return [self.text.contains(w) & self.pattern([w], w) for w in words]
@@ -196,8 +195,9 @@ class _Standard:
 
     def sequence(self, words, slop: int = 0, prefix: bool = False) -> Column:
         there = all_of([self.text.contains(w) for w in dict.fromkeys(words)])
-        ways = _slop_patterns(words, slop, self.sep, self.token)
-        return there & any_of([self.pattern(words, way, prefix) for way in ways])
+        if slop:
+            return there & _in_order(tx.tokens(self.field), words, slop)
+        return there & self.pattern(words, self.sep.join(words), prefix)
 
     def starting(self, word: str) -> Column:
         return self.text.contains(word) & self.pattern([word], word, prefix=True)
@@ -206,8 +206,6 @@ class _Standard:
 class _Tokens:
     """The same tests on the token list of any other analyser, joined by spaces."""
 
-    sep, token = " ", "[^ ]+"
-
     def __init__(self, field, analyzer: str):
         self.tokens = tx.ANALYZERS[analyzer](field)
         self.text = F.concat(F.lit(" "), F.array_join(self.tokens, " "), F.lit(" "))
@@ -218,8 +216,7 @@ class _Tokens:
     def sequence(self, words, slop: int = 0, prefix: bool = False) -> Column:
         if slop == 0:
             return self.text.contains(" " + " ".join(words) + ("" if prefix else " "))
-        ways = _slop_patterns(words, slop, self.sep, self.token)
-        return self.text.rlike("|".join(f" {way} " for way in ways))
+        return _in_order(self.tokens, words, slop)
 
     def starting(self, word: str) -> Column:
         return self.text.contains(f" {word}")
@@ -260,8 +257,8 @@ def match_phrase(
 ) -> Clause:
     """Query tokens in order, with up to ``slop`` extra positions in total.
 
-    A phrase is one pattern over the text, with slop one per way of sharing out the extra
-    positions; nothing is exploded or joined.
+    A phrase is one pattern over the text, with slop one pass over its tokens; nothing is
+    exploded or joined.
     """
     words = tx.analyse_query(query, analyzer)
     if not words:
@@ -271,21 +268,25 @@ def match_phrase(
     return Clause(pred, score, boost, needs)
 
 
-def _slop_patterns(words: Sequence[str], slop: int, sep: str, token: str) -> list[str]:
-    """Words in order with at most so many tokens between each two; one pattern per way of
-    handing out all of ``slop`` (smaller sums are covered by these)."""
-    gaps = len(words) - 1
-    if gaps < 1:
-        return list(words)
-    ways = []
-    for bars in itertools.combinations(range(slop + gaps - 1), gaps - 1):
-        edges = (-1, *bars, slop + gaps - 1)
-        pattern = words[0]
-        for w, low, high in zip(words[1:], edges, edges[1:]):
-            width = high - low - 1
-            pattern += (f"(?:{sep}{token}){{0,{width}}}" if width else "") + sep + w
-        ways.append(pattern)
-    return ways
+def _in_order(tokens: Column, words: Sequence[str], slop: int) -> Column:
+    """Some run of tokens holds the words in order with at most ``slop`` others among them.
+
+    One fold over the query's own tokens: per word, the latest start of a run that has come
+    as far as that word. A later start never fits worse, so one number per word is enough."""
+    n = len(words)
+    there = F.filter(F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.alias("i"))),
+                     lambda x: x["t"].isin(*dict.fromkeys(words)))
+    none = F.lit(-1)
+
+    def step(s: Column, x: Column) -> Column:
+        before = [x["i"], *[s[f"w{j}"] for j in range(n - 1)]]
+        now = [F.when((x["t"] == w) & (b >= 0), b).otherwise(s[f"w{j}"])
+               for j, (w, b) in enumerate(zip(words, before))]
+        fits = (x["t"] == words[-1]) & (before[-1] >= 0) & (x["i"] - before[-1] - (n - 1) <= slop)
+        return F.struct(*[c.alias(f"w{j}") for j, c in enumerate(now)], (s["found"] | fits).alias("found"))
+
+    start = F.struct(*[none.alias(f"w{j}") for j in range(n)], F.lit(False).alias("found"))
+    return F.aggregate(there, start, step)["found"]
 
 
 def match_phrase_prefix(field, query: str, analyzer="standard", boost: float = 1.0) -> Clause:
@@ -313,6 +314,85 @@ def by_fields(fields: dict[str, object], analyzers: dict[str, str] | None = None
     ])
 
 
+class Declared:
+    """The clauses of a spec's fields: what a clause means follows from the declared kind.
+
+    Keywords, numbers and dates are compared whole, text is analysed, a list field holds if any
+    element does, and a field that is not indexed is refused. Fields inside objects are named
+    by dotted paths; a path through a list of objects means any of them."""
+
+    def __init__(self, spec: Spec):
+        self.spec = spec
+
+    def _field(self, path: str):
+        fields, found, lists = self.spec.fields, None, []
+        parts = path.split(".")
+        for i, part in enumerate(parts):
+            found = next((f for f in fields if f.name == part), None)
+            if found is None:
+                raise ValueError(f"{self.spec.name} has no field {path!r}")
+            if not found.index:
+                raise ValueError(f"{path!r} is not indexed, so it cannot be searched")
+            if found.kind == "nested" and i < len(parts) - 1:
+                lists.append(i)
+            fields = found.fields
+        return found, lists
+
+    def _over(self, path: str, make: Callable[[object], Clause], boost: float = 1.0) -> Clause:
+        found, lists = self._field(path)
+        if not lists:
+            return any_element(path, make, boost) if found.many else make(path)
+        parts = path.split(".")
+        outer, inner = ".".join(parts[:lists[0] + 1]), parts[lists[0] + 1:]
+
+        def test(x: Column) -> Clause:
+            value = x
+            for name in inner:
+                value = value[name]
+            return any_element(value, make) if found.many else make(value)
+
+        return any_element(outer, test, boost)
+
+    def term(self, path: str, value, boost: float = 1.0) -> Clause:
+        return self._over(path, lambda c: term(c, value, boost), boost)
+
+    def terms(self, path: str, values: Sequence, boost: float = 1.0) -> Clause:
+        return self._over(path, lambda c: terms(c, values, boost), boost)
+
+    def range_(self, path: str, boost: float = 1.0, **bounds) -> Clause:
+        return self._over(path, lambda c: range_(c, boost=boost, **bounds), boost)
+
+    def prefix(self, path: str, value: str, boost: float = 1.0) -> Clause:
+        return self._over(path, lambda c: prefix(c, value, boost), boost)
+
+    def wildcard(self, path: str, value: str, boost: float = 1.0, **options) -> Clause:
+        return self._over(path, lambda c: wildcard(c, value, boost=boost, **options), boost)
+
+    def exists(self, path: str, boost: float = 1.0) -> Clause:
+        found, lists = self._field(path)
+        if lists:
+            return self._over(path, lambda c: exists(c), boost)
+        return exists(path, is_list=found.many or found.kind == "nested", boost=boost)
+
+    def match(self, path: str, query, boost: float = 1.0, **options) -> Clause:
+        found, _ = self._field(path)
+        if found.kind != "text":
+            return self.term(path, query, boost)
+        return self._over(path, lambda c: match(c, query, boost=boost, **options), boost)
+
+    def match_phrase(self, path: str, query: str, boost: float = 1.0, **options) -> Clause:
+        found, _ = self._field(path)
+        if found.kind != "text":
+            return self.term(path, query, boost)
+        return self._over(path, lambda c: match_phrase(c, query, boost=boost, **options), boost)
+
+    def by_fields(self, fields: dict[str, object]) -> Clause:
+        """Every field matches its value; text by all tokens of it."""
+        return bool_(must=[
+            self.match(f, v, operator="and") if self._field(f)[0].kind == "text"
+            else self.match(f, v) for f, v in fields.items()])
+
+
 def multi_match(
     query: str, fields: Sequence[str] | Spec, type: str = "best_fields", operator: str = "or",
     analyzer: str = "standard", boost: float = 1.0,
@@ -399,7 +479,7 @@ def edit_distance(c: Column, value: str, limit: int, transpositions: bool = True
 
 def expand(
     df: DataFrame, field: str, value: str, fuzziness: int | str = "auto",
-    prefix_length: int = 0, max_expansions: int | None = 50, transpositions: bool = True,
+    prefix_length: int = 0, max_expansions: int | None = None, transpositions: bool = True,
     analyzer: str = "standard",
 ) -> DataFrame:
     """The distinct terms of ``field`` near ``value``: (term, distance), closest first.
@@ -425,7 +505,7 @@ def expand(
 
 def fuzzy(
     df: DataFrame, field: str, value: str, fuzziness: int | str = "auto", prefix_length: int = 0,
-    max_expansions: int | None = 50, transpositions: bool = True, analyzer: str = "standard",
+    max_expansions: int | None = None, transpositions: bool = True, analyzer: str = "standard",
     boost: float = 1.0,
 ) -> Clause:
     """Rows of ``df`` with a term near ``value``; scores a constant.
@@ -450,7 +530,7 @@ def fuzzy(
 
 def match_fuzzy(
     df: DataFrame, field: str, query: str, operator: str = "or", fuzziness: int | str = "auto",
-    prefix_length: int = 0, max_expansions: int | None = 50, transpositions: bool = True,
+    prefix_length: int = 0, max_expansions: int | None = None, transpositions: bool = True,
     analyzer: str = "standard", boost: float = 1.0,
 ) -> Clause:
     """``match`` where every query token stands for the terms near it."""

@@ -238,6 +238,7 @@ def _steps(bounds: DataFrame) -> DataFrame:
     block = 10_000
     return (
         bounds.withColumn("b", F.explode(F.sequence(F.lit(0), F.floor(F.col("n") / block))))
+        .repartition("b")
         .withColumn("i", F.explode(F.sequence(
             F.col("b") * block, F.least(F.col("n"), F.col("b") * block + F.lit(block - 1))
         )))
@@ -286,7 +287,7 @@ def date_histogram(
 
     Calendar buckets start at local midnights, weeks on Mondays and so on in ``time_zone``
     and the key is that moment in UTC; fixed buckets are multiples of the duration since the
-    epoch. ``min_doc_count=0`` fills the gaps across the data and the bounds.
+    epoch, in local time. Buckets of an hour or less go by elapsed time where clocks change. ``min_doc_count=0`` fills the gaps across the data and the bounds.
     """
     if (calendar_interval is None) == (fixed_interval is None):
         raise ValueError("give either calendar_interval or fixed_interval")
@@ -295,7 +296,7 @@ def date_histogram(
     def bucket(t: Column) -> Column:
         if calendar_interval:
             return dates.calendar_bucket(t, calendar_interval, time_zone, offset)
-        return dates.fixed_bucket(t, fixed_interval, offset)
+        return dates.fixed_bucket(t, fixed_interval, time_zone, offset)
 
     buckets = (
         df.withColumn("_k", bucket(ts)).where(F.col("_k").isNotNull())
@@ -307,15 +308,13 @@ def date_histogram(
             low = F.least(low, bucket(dates.ntz(extended_bounds[0])))
             high = F.greatest(high, bucket(dates.ntz(extended_bounds[1])))
         ends = buckets.agg(low.alias("lo"), high.alias("hi")).where(F.col("lo").isNotNull())
-        buckets = _date_keys(ends, calendar_interval, fixed_interval).join(
+        buckets = _date_keys(ends, calendar_interval, fixed_interval, time_zone).join(
             buckets, "_k", "left"
         ).withColumn("doc_count", F.coalesce("doc_count", F.lit(0)))
     else:
         buckets = buckets.where(F.col("doc_count") >= min_doc_count)
     key = F.col("_k")
-    if calendar_interval and time_zone:
-        key = dates.from_zone(key, time_zone)
-    shown = dates.to_zone(key, time_zone) if fixed_interval and time_zone else F.col("_k")
+    shown = dates.to_zone(key, time_zone) if time_zone else key
     rest = [c for c in buckets.columns if c not in ("_k", "doc_count")]
     out = buckets.select(
         key.alias("key"),
@@ -325,7 +324,14 @@ def date_histogram(
     return out if order is None else out.orderBy(*_bucket_order(order))
 
 
-def _date_keys(ends: DataFrame, calendar: str | None, fixed: str | None) -> DataFrame:
+def _date_keys(ends: DataFrame, calendar: str | None, fixed: str | None, zone: str | None = None
+               ) -> DataFrame:
+    """All bucket starts between the ends. Long buckets step in local time; a local moment
+    that the clocks skip falls on the next one, so starts are made distinct."""
+    if zone and not dates.is_short(calendar, fixed):
+        local = ends.select(*[dates.to_zone(F.col(c), zone).alias(c) for c in ("lo", "hi")])
+        keys = _date_keys(local, calendar, fixed)
+        return keys.select(dates.from_zone(F.col("_k"), zone).alias("_k")).distinct()
     if fixed:
         width = dates.duration_micros(fixed)
         span = dates.epoch_micros(F.col("hi")) - dates.epoch_micros(F.col("lo"))

@@ -8,18 +8,25 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .paging import DEFAULT_SIZE, sort_columns
+from .paging import sort_columns
+
+
+def _asked(table: DataFrame, key: str, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of ``table`` that some id asks for: Spark broadcasts the ids if they are few."""
+    wanted = ids.select(F.col(column).alias("_asked")).where(F.col("_asked").isNotNull()).distinct()
+    return table.join(wanted, F.col(key) == F.col("_asked"), "left_semi")
 
 
 def get_by_ids(ids: DataFrame, docs: DataFrame, key: str) -> DataFrame:
     """One row per asked id with ``found``; fields are null where there is no such row."""
-    found = docs.withColumn("found", F.lit(True))
+    found = _asked(docs, key, ids, key).withColumn("found", F.lit(True))
     return ids.select(key).distinct().join(found, key, "left").withColumn(
         "found", F.coalesce("found", F.lit(False)))
 
 
 def get_missing(ids: DataFrame, docs: DataFrame, key: str) -> DataFrame:
-    return ids.select(key).distinct().join(docs.select(key), key, "left_anti")
+    return ids.select(key).distinct().join(
+        _asked(docs.select(key), key, ids, key), key, "left_anti")
 
 
 @dataclass(frozen=True)
@@ -33,29 +40,29 @@ class Lookup:
     select: Sequence[str]
     sort: object
     tie: str
-    size: int = DEFAULT_SIZE
+    size: int | None = None  # all matches unless a page size is named
 
 
 def lookup(df: DataFrame, step: Lookup) -> DataFrame:
-    """Adds ``name`` (a page of at most ``size`` matches, sorted) and ``name_total``.
+    """Adds ``name`` (the matches, sorted; the first ``size`` if a size is named) and
+    ``name_total``.
 
-    The other table is cut to its first rows per key and counted before the join: each task
-    forwards at most ``size`` rows per key, so a key holding a third of the table stays
-    small, and no list grows with the data.
+    Only rows that some row asks for take part. They are numbered and counted in one pass over
+    the key's rows, and the first ones gathered before the join. Without a size a list is as long
+    as its key has matches; ``lookup_rows`` gives them as rows.
     """
     k, total = f"_{step.name}_key", f"{step.name}_total"
-    rows = step.other.where(F.col(step.right).isNotNull())
-    w = Window.partitionBy(step.right).orderBy(*sort_columns(step.sort, step.tie))
-    first = (
-        rows.select(step.right, F.struct(*step.select).alias("_v"),
-                    F.row_number().over(w).alias("_rn"))
-        .where(F.col("_rn") <= step.size)
-        .groupBy(F.col(step.right).alias(k))
-        .agg(F.array_sort(F.collect_list(F.struct("_rn", "_v"))).alias("_l"))
-        .select(k, F.transform("_l", lambda x: x["_v"]).alias("_page"))
-    )
-    counts = rows.groupBy(F.col(step.right).alias(k)).agg(F.count(F.lit(1)).alias("_n"))
-    found = first.join(counts, k)
+    rows = _asked(step.other, step.right, df, step.left)
+    own = Window.partitionBy(step.right)
+    numbered = rows.select(
+        F.col(step.right).alias(k), F.struct(*step.select).alias("_v"),
+        F.row_number().over(own.orderBy(*sort_columns(step.sort, step.tie))).alias("_rn"),
+        F.count(F.lit(1)).over(own).alias("_n"))
+    if step.size is not None:
+        numbered = numbered.where(F.col("_rn") <= step.size)
+    found = numbered.groupBy(k).agg(
+        F.array_sort(F.collect_list(F.struct("_rn", "_v"))).alias("_l"),
+        F.max("_n").alias("_n")).select(k, "_n", F.transform("_l", lambda x: x["_v"]).alias("_page"))
     joined = df.join(found, F.col(step.left) == F.col(k), "left").drop(k)
     kind = found.schema["_page"].dataType
     page = F.coalesce("_page", F.array().cast(kind))
@@ -89,7 +96,7 @@ def lookup_rows(df: DataFrame, other: DataFrame, left: str, right: str,
 
 def reload(stale: DataFrame, current: DataFrame, key: str = "_id") -> DataFrame:
     """Stale rows with their current values; rows gone meanwhile are kept as they were."""
-    now = current.select(key, F.struct(
+    now = _asked(current, key, stale, key).select(key, F.struct(
         *[c for c in stale.columns if c != key and c in current.columns]).alias("_now"))
     joined = stale.join(now, key, "left")
     return joined.select(key, *[

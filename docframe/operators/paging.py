@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Page size when none is given, and the largest page handed out.
+from ..sources.lineage import cut
+
+# Fixed value: page size when none is given.
 DEFAULT_SIZE = 10
-MAX_SIZE = 10_000
 
 SortKey = str | tuple[str, str]
 
@@ -33,9 +34,16 @@ def sort_rows(df: DataFrame, sort=None, tie: str | None = None, default=None) ->
     return df if chosen is None else df.orderBy(*sort_columns(chosen, tie))
 
 
-def page_size(size: int | None, cap: int = MAX_SIZE) -> int:
-    wanted = DEFAULT_SIZE if size is None else size
-    return min(wanted, max(cap, DEFAULT_SIZE))
+def page_size(size: int | None) -> int:
+    return DEFAULT_SIZE if size is None else size
+
+
+def refuse_over(size: int | None, cap: int) -> int | None:
+    """``size`` itself, for callers that bound the pages they hand out; a larger one is refused,
+    never cut. The cap is at least the default size."""
+    if page_size(size) > max(cap, DEFAULT_SIZE):
+        raise ValueError(f"a page of {size} rows is over the cap of {cap}")
+    return size
 
 
 def page(df: DataFrame, sort, tie: str, number: int | None = None,
@@ -52,6 +60,18 @@ def numbered(rows: DataFrame, sort, tie: str, start: int = 1, name: str = "rank"
     return rows.withColumn(name, (F.row_number().over(w) + (start - 1)).cast("long"))
 
 
+def ranked(df: DataFrame, sort, tie: str, name: str = "rank") -> DataFrame:
+    """Every row with its rank from 1. The sorted rows are checkpointed where they lie; a row's rank is
+    its place in its partition plus the rows of the partitions before, so no task gets them all."""
+    placed = cut(df.orderBy(*sort_columns(sort, tie)).withColumn("_part", F.spark_partition_id()))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from"))
+    w = Window.partitionBy("_part").orderBy(*sort_columns(sort, tie))
+    return placed.join(starts, "_part").withColumn(
+        name, (F.col("_from") + F.row_number().over(w)).cast("long")).drop("_part", "_from")
+
+
 def total(df: DataFrame, name: str = "total") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
@@ -61,18 +81,24 @@ def page_with_total(df: DataFrame, sort, tie: str, number=None, size=None) -> Da
     return page(df, sort, tie, number, size).withColumn("total", total(df).scalar())
 
 
-def page_after(df: DataFrame, sort: SortKey, tie: str, after: tuple, size=None) -> DataFrame:
-    """The page following the row with (sort value, tie value) ``after``.
+def page_after(df: DataFrame, sort: SortKey | Sequence[SortKey], tie: str, after: tuple,
+               size=None) -> DataFrame:
+    """The page following the row with the values ``after`` (one per sort key, then the tie).
 
-    The bound is a filter, so deep pages cost no more than the first one.
+    The bound is a filter, so deep pages cost no more than the first one. A row follows if it
+    does by the first key in which it differs; missing values come last.
     """
-    name, order = (sort, "asc") if isinstance(sort, str) else sort
-    value, last = F.lit(after[0]), F.lit(after[1])
-    beyond = F.col(name) < value if order == "desc" else F.col(name) > value
-    same = (F.col(name) == value) & (F.col(tie) > last)
-    rest = df.where(beyond | same | F.col(name).isNull()) if after[0] is not None else df.where(
-        F.col(name).isNull() & (F.col(tie) > last)
-    )
+    keys = [sort] if isinstance(sort, (str, tuple)) else list(sort)
+    follows = F.col(tie) > F.lit(after[-1])
+    for key, value in reversed(list(zip(keys, after[:-1], strict=True))):
+        name, order = (key, "asc") if isinstance(key, str) else key
+        c = F.col(name)
+        if value is None:
+            follows = c.isNull() & follows
+        else:
+            beyond = c < F.lit(value) if order == "desc" else c > F.lit(value)
+            follows = beyond | c.isNull() | ((c == F.lit(value)) & follows)
+    rest = df.where(follows)
     return rest.orderBy(*sort_columns(sort, tie)).limit(page_size(size))
 
 

@@ -237,18 +237,51 @@ def stamp(df: DataFrame, as_of: str | datetime | Column, path: str | None = None
     return df.withColumn(path, F.when(obj.isNotNull(), made))
 
 
-def apply_deltas(current: DataFrame, deltas: DataFrame, column: str, delta: str) -> DataFrame:
-    """Concurrent increments: all of them count, each as one version. They are added up per
-    id first (partially in every task), so a contended row costs no more than another."""
+def apply_deltas(current: DataFrame, deltas: DataFrame, column: str, delta: str,
+                 next_no: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(next state, outcome per id) of concurrent increments: all of them count, each as one version
+    with a sequence number of its own, so a writer that holds an older number conflicts.
+
+    They are added up per id first (partially in every task); a row's last number is the start plus
+    the increments of smaller ids and its own. Increments of a tombstone or of an id that is
+    not stored change nothing and are reported as not_found (404)."""
     total = deltas.groupBy("_id").agg(
         F.sum(delta).alias("_d"), F.count(F.lit(1)).alias("_k"))
-    joined = current.join(total, "_id", "left")
-    return joined.withColumns({
+    known = current.select("_id", (~F.col("_deleted")).alias("_live"))
+    touched = known.join(total.select("_id"), "_id", "left_semi")
+    asked = cut(total.join(touched, "_id", "left").withColumn("_live", F.coalesce("_live", F.lit(False))))
+    start = F.lit(next_no) if next_no is not None else current.agg(
+        F.coalesce(F.max("_seq_no") + 1, F.lit(0))).scalar()
+    slot = F.pmod(F.xxhash64("_id"), F.lit(SLICE))
+    counted = asked.where("_live").withColumn("_slot", slot)
+    per_slot = counted.groupBy("_slot").agg(F.sum("_k").alias("_ks"))
+    starts = prefix_sums(per_slot, "_slot", "_ks", "_from").select("_slot", "_from")
+    upto = Window.partitionBy("_slot").orderBy("_id").rowsBetween(*UP_TO)
+    numbered = counted.join(starts, "_slot").select(
+        "_id", "_d", "_k", (start + F.col("_from") + F.sum("_k").over(upto) - 1).alias("_no"))
+    joined = current.join(numbered, "_id", "left")
+    state = joined.withColumns({
         column: F.col(column) + F.coalesce("_d", F.lit(0)),
         "_version": F.col("_version") + F.coalesce("_k", F.lit(0)),
-    }).drop("_d", "_k")
+        "_seq_no": F.coalesce("_no", "_seq_no"),
+    }).drop("_d", "_k", "_no")
+    outcome = asked.select(
+        "_id", F.col("_k").alias("increments"),
+        F.when(F.col("_live"), "updated").otherwise("not_found").alias("result"),
+        F.when(F.col("_live"), STATUS["updated"]).otherwise(STATUS["not_found"]).alias("status"))
+    return state, outcome
 
 
 def delete_by_query(table: DataFrame, query: Clause) -> tuple[DataFrame, DataFrame]:
-    """(rows that stay, rows removed)."""
+    """(rows that stay, rows removed) of a table without versions."""
     return table.where(query.negated()), table.where(query.pred)
+
+
+def delete_matching(current: DataFrame, query: Clause, next_no: int | None = None
+                    ) -> tuple[DataFrame, DataFrame]:
+    """(next state, outcomes): ``delete_by_query`` on a versioned table. Every live row that matches
+    becomes a tombstone, one version and one sequence number on, as by a delete operation."""
+    docs = [c for c in current.columns if c not in SYSTEM]
+    hits = live(current).where(query.pred)
+    ops = as_ops(hits.select("_id", *docs, F.col("_seq_no").alias("op_order")), "delete")
+    return apply_batch(current, ops, next_no)

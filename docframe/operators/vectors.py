@@ -89,6 +89,10 @@ def knn_batch(df: DataFrame, field: str, id: str, queries: DataFrame, query_id:
         if rows:
             parts.append(_block_best(df, field, id, query_id, rows,
                                      wanted.schema["q"].dataType, k, similarity))
+    if not parts:
+        return wanted.select(
+            F.col("q").alias(query_id), F.lit(None).cast(df.schema[id].dataType).alias(id),
+            F.lit(0.0).alias("_score"), F.lit(0).alias("rank")).limit(0)
     best = parts[0]
     for p in parts[1:]:
         best = best.unionByName(p)
@@ -208,9 +212,9 @@ def hybrid(text_hits: DataFrame, id: str, near: DataFrame, near_id: str,
            boost: float = 1.0) -> DataFrame:
     """Text hits with the vector score added where the row is among the ``k`` nearest.
 
-    ``near`` holds at most ``k`` rows (it is the result of ``knn``), so it may be broadcast.
+    ``near`` is the result of ``knn``; Spark broadcasts it if its ``k`` rows are few.
     """
-    k_rows = F.broadcast(near.select(F.col(near_id).alias(id), F.col("_score").alias("_near")))
+    k_rows = near.select(F.col(near_id).alias(id), F.col("_score").alias("_near"))
     return text_hits.join(k_rows, id, "left").withColumn(
         "_score", F.col("_score") + F.coalesce(F.col("_near") * F.lit(float(boost)), F.lit(0.0))
     ).withColumn("near", F.col("_near").isNotNull()).drop("_near")

@@ -8,6 +8,7 @@ from ..operators import clauses as c
 from ..operators import paging as p
 from ..operators.ranking import search
 from ..sources.tables import read
+from ..spec import Field, Spec
 from .registry import query
 
 
@@ -37,6 +38,11 @@ def sort_multi(spark, sf):
     return p.numbered(p.page(rows, MULTI, "o_orderkey", size=1000), MULTI, "o_orderkey")
 
 
+SUPPLIER = Spec("supplier", (
+    Field("s_suppkey", "long"), Field("s_name"), Field("s_acctbal", "double")),
+    id_field="s_suppkey", default_sort=("s_acctbal", "desc"))
+
+
 @query("sort_default", """
     SELECT 'default' AS kind, s_suppkey,
            row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) AS rank FROM supplier
@@ -44,13 +50,12 @@ def sort_multi(spark, sf):
     SELECT 'explicit', s_suppkey, row_number() OVER (ORDER BY s_name, s_suppkey)
     FROM supplier""")
 def sort_default(spark, sf):
-    suppliers, default = read(spark, sf, "supplier"), ("s_acctbal", "desc")
+    """The spec's own sort holds unless the caller names one."""
+    suppliers = read(spark, sf, "supplier")
     out = []
     for kind, chosen in (("default", None), ("explicit", "s_name")):
-        keys = chosen or default
-        top = p.sort_rows(suppliers, chosen, "s_suppkey", default).limit(p.MAX_SIZE)
-        out.append(p.numbered(top, keys, "s_suppkey").select(
-            F.lit(kind).alias("kind"), "s_suppkey", "rank"))
+        ranks = p.ranked(suppliers, SUPPLIER.sort_or(chosen), "s_suppkey")
+        out.append(ranks.select(F.lit(kind).alias("kind"), "s_suppkey", "rank"))
     return out[0].unionByName(out[1])
 
 
@@ -70,7 +75,7 @@ def paginate_p2(spark, sf):
 
 @query("paginate_total", """
     SELECT o_orderkey, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS total
-    FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 10000""")
+    FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 50000""")
 def paginate_total(spark, sf):
     hits = search(read(spark, sf, "orders"), c.term("o_orderstatus", "F"))
     return p.page_with_total(hits, "o_orderkey", "o_orderkey", size=50_000).select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import clauses as c
 from ..operators.ranking import search
-from ..sources.tables import read, read_spread
+from ..sources.tables import read
 from .registry import query
 
 # The standard tokens of a column, in DuckDB.
@@ -22,7 +22,7 @@ DOCS = f"SELECT doc_id, lang, {toks('text')} AS t FROM documents"
 
 
 def documents(spark, sf):
-    return read_spread(spark, sf, "documents", "doc_id")
+    return read(spark, sf, "documents")
 
 
 def _docs(spark, sf, clause):
@@ -63,7 +63,7 @@ STOP_SQL = ", ".join(f"'{w}'" for w in tx.STOP_WORDS)
            count(*) AS n
     FROM s GROUP BY 1""")
 def tx_english(spark, sf):
-    rows = read_spread(spark, sf, "conversations", "conv_id")
+    rows = read(spark, sf, "conversations")
     return rows.select(F.explode(tx.english("text")).alias("stem")).groupBy("stem").agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -187,14 +187,14 @@ def f_fuzzy_swap(spark, sf):
 def f_match_fuzzy(spark, sf):
     docs = documents(spark, sf)
     return search(docs, c.match_fuzzy(docs, "text", "shhere ouhe", operator="and",
-                                      transpositions=False)).select("doc_id")
+                                      max_expansions=50, transpositions=False)).select("doc_id")
 
 
 PAGES = f"SELECT page_id, {toks('url')} AS u, {toks('html')} AS h FROM pages"
 
 
 def _pages(spark, sf, clause):
-    return search(read_spread(spark, sf, "pages", "page_id"), clause).select("page_id")
+    return search(read(spark, sf, "pages"), clause).select("page_id")
 
 
 @query("mm_phrase", f"""

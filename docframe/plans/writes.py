@@ -173,23 +173,55 @@ def stamp_timestamps(spark, sf):
         F.col("inner.modified_at").alias("inner_modified"))
 
 
-@query("apply_deltas", """
-    SELECT c_custkey::VARCHAR AS _id, round(c_acctbal + coalesce(d, 0), 2) AS balance,
-           1 + coalesce(k, 0) AS _version
-    FROM customer LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS d, count(*) AS k
-                             FROM orders GROUP BY 1) ON c_custkey = o_custkey""")
+# Every order is an increment of its customer; low-priority ones go to ids not stored.
+DELTAS_SQL = """SELECT (o_custkey + CASE WHEN o_orderpriority = '5-LOW' THEN 10000000 ELSE 0 END
+    )::VARCHAR AS _id, o_totalprice AS amount FROM orders"""
+
+
+@query("apply_deltas", f"""
+    WITH cur AS ({STATE_SQL}),
+    d AS (SELECT _id, sum(amount) AS amount, count(*) AS k FROM ({DELTAS_SQL}) GROUP BY 1)
+    SELECT _id, round(balance + CASE WHEN k IS NULL OR _deleted THEN 0 ELSE amount END, 2) AS balance,
+           _version + CASE WHEN k IS NULL OR _deleted THEN 0 ELSE k END AS _version, _deleted,
+           k IS NOT NULL AND NOT _deleted AS renumbered,
+           CASE WHEN k IS NULL THEN NULL WHEN _deleted THEN 'not_found' ELSE 'updated' END AS result,
+           (SELECT max(_seq_no) + sum(CASE WHEN k IS NULL OR _deleted THEN 0 ELSE k END)
+            FROM cur LEFT JOIN d USING (_id)) AS last_no
+    FROM cur LEFT JOIN d USING (_id)
+    UNION ALL
+    SELECT _id, NULL, NULL, NULL, false, 'not_found',
+           (SELECT max(_seq_no) + sum(CASE WHEN k IS NULL OR _deleted THEN 0 ELSE k END)
+            FROM cur LEFT JOIN d USING (_id))
+    FROM d WHERE _id NOT IN (SELECT _id FROM cur)""")
 def apply_deltas(spark, sf):
+    """Sequence numbers are shared out in no fixed order of ids, so the rows show which were
+    renumbered and what the table's last number is."""
+    rank = F.col("o_orderpriority")
     deltas = read(spark, sf, "orders").select(
-        F.col("o_custkey").cast("string").alias("_id"), F.col("o_totalprice").alias("amount"))
-    out = s.apply_deltas(state(spark, sf), deltas, "balance", "amount")
-    return out.select("_id", F.round("balance", 2).alias("balance"), "_version")
-
-
-@query("delete_by_query", """
-    SELECT event_id, CASE WHEN event_type = 'error' AND value < 30 THEN 'removed' ELSE 'kept' END
-        AS fate FROM events""")
+        (F.col("o_custkey") + F.when(rank == "5-LOW", 10_000_000).otherwise(0)).cast("string")
+        .alias("_id"), F.col("o_totalprice").alias("amount"))
+    before = state(spark, sf)
+    after, outcome = s.apply_deltas(before, deltas, "balance", "amount")
+    rows = after.join(before.select("_id", F.col("_seq_no").alias("_was")), "_id").join(
+        outcome.select(F.col("_id").alias("_asked"), "result"), F.col("_id") == F.col("_asked"),
+        "full_outer")
+    return rows.select(
+        F.coalesce("_id", "_asked").alias("_id"), F.round("balance", 2).alias("balance"), "_version",
+        "_deleted", F.coalesce(F.col("_seq_no") > F.col("_was"), F.lit(False)).alias("renumbered"),
+        "result", F.lit(after.agg(F.max("_seq_no")).scalar()).alias("last_no"))
+
+
+@query("delete_by_query", f"""
+    WITH cur AS ({STATE_SQL}),
+    n AS (SELECT _id, row_number() OVER (ORDER BY _seq_no) AS nth FROM cur
+          WHERE NOT _deleted AND label = 'BUILDING' AND balance < 100)
+    SELECT _id, CASE WHEN nth IS NULL THEN balance END AS balance,
+           CASE WHEN nth IS NULL THEN _version ELSE _version + 1 END AS _version,
+           CASE WHEN nth IS NULL THEN _seq_no ELSE (SELECT max(_seq_no) FROM cur) + nth END AS _seq_no,
+           nth IS NOT NULL OR _deleted AS _deleted
+    FROM cur LEFT JOIN n USING (_id)""")
 def delete_by_query(spark, sf):
-    kept, removed = s.delete_by_query(read(spark, sf, "events"), c.bool_(
-        must=[c.term("event_type", "error"), c.range_("value", lt=30)]))
-    return kept.select("event_id", F.lit("kept").alias("fate")).unionByName(
-        removed.select("event_id", F.lit("removed").alias("fate")))
+    after, _ = s.delete_matching(state(spark, sf), c.bool_(
+        must=[c.term("label", "BUILDING"), c.range_("balance", lt=100)]))
+    return after.select("_id", F.when(~F.col("_deleted") | (F.col("_version") == 1), F.col("balance"))
+                        .alias("balance"), "_version", "_seq_no", "_deleted")

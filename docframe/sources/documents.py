@@ -39,9 +39,10 @@ def _encoded(f: Field, v: Column) -> Column:
     return v
 
 
-def encode(df: DataFrame, spec: Spec) -> DataFrame:
-    """(system columns, doc): the id field, excluded and computed fields are not stored."""
-    rows = spec.with_routing(spec.with_id(df))
+def encode(df: DataFrame, spec: Spec, position: str | None = None) -> DataFrame:
+    """(system columns, doc): the id field, excluded and computed fields are not stored. Documents
+    without an id need a ``position`` (see ``Spec.with_id``)."""
+    rows = spec.with_routing(spec.with_id(df, position))
     stored = [
         _encoded(f, F.col(f.name)).alias(f.stored)
         for f in spec.fields if f.name != spec.id_field and not f.exclude

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..spec import STRINGS, SYSTEM, Field, Spec
@@ -13,8 +16,42 @@ def _source(df: DataFrame, f: Field) -> str | None:
     return f.stored if f.stored in df.columns else f.name if f.name in df.columns else None
 
 
-def _cast(raw: Column, kind_is_text: bool, type_name: str) -> Column:
-    return F.trim(raw.cast("string")) if kind_is_text else raw.try_cast(type_name)
+def _value(raw: Column, have: T.DataType, f: Field) -> Column:
+    """A present column in the field's declared type. Objects are built field by field, by name or
+    alias, so their order in the data does not matter; what is inside is typed alike."""
+    if f.kind == "object":
+        return _object(raw, have, f)
+    if f.kind == "nested":
+        return F.transform(raw, lambda x: _object(x, have.elementType, f))
+    if f.many:
+        if not isinstance(have, T.ArrayType):
+            return raw.try_cast(f.type())
+        one = replace(f, many=False)
+        return F.transform(raw, lambda x: _value(x, have.elementType, one))
+    if f.kind == "geo_point" and isinstance(have, T.StructType):
+        return F.when(raw.isNotNull(), F.struct(*[
+            raw[c].try_cast("double").alias(c) for c in ("lat", "lon")]))
+    if f.kind == "binary" and isinstance(have, T.StringType):
+        return F.unbase64(raw)
+    return F.trim(raw.cast("string")) if f.kind in STRINGS else raw.try_cast(f.type())
+
+
+def _object(raw: Column, have: T.DataType, f: Field) -> Column:
+    if not isinstance(have, T.StructType):
+        raise ValueError(f"{f.name} is declared an object but holds {have.simpleString()}")
+    known = {s.stored for s in f.fields} | {s.name for s in f.fields}
+    extra = [c for c in have.names if c not in known]
+    if extra:
+        raise ValueError(f"unknown fields in {f.name}: {extra}")
+    parts = []
+    for s in f.fields:
+        name = s.stored if s.stored in have.names else s.name if s.name in have.names else None
+        value = F.lit(None).cast(s.type()) if name is None else _value(
+            raw[name], have[name].dataType, s)
+        if not s.required and s.default is not None:
+            value = F.coalesce(value, s.default_column())
+        parts.append(value.alias(s.name))
+    return F.when(raw.isNotNull(), F.struct(*parts))
 
 
 def typed(df: DataFrame, f: Field) -> Column:
@@ -22,12 +59,7 @@ def typed(df: DataFrame, f: Field) -> Column:
     name = _source(df, f)
     if name is None:
         return F.lit(None).cast(f.type())
-    raw = F.col(name)
-    if f.many and f.kind in STRINGS:
-        return F.transform(raw, lambda x: F.trim(x.cast("string")))
-    if f.kind == "binary" and dict(df.dtypes)[name] == "string":
-        return F.unbase64(raw)
-    return _cast(raw, f.kind in STRINGS and not f.many, f.type())
+    return _value(F.col(name), df.schema[name].dataType, f)
 
 
 def unknown_columns(df: DataFrame, spec: Spec) -> list[str]:

@@ -10,21 +10,6 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_spread(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """A scan for CPU-heavy text work. A file with a single row group is read by one task
-    whatever its size, so a scan with fewer splits than cores is spread out by key first;
-    a table of many files is left as it is.
-
-    The always-true test on the partition number keeps later filters above the exchange: moved below it,
-    as the optimizer likes to, they would run in the one reading task again.
-    """
-    df = read(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key).where(F.spark_partition_id() >= 0)
-
-
 def write_routed(df: DataFrame, path: str, routing: str = "_routing") -> None:
     """One folder per routing value, so that a routed read opens only its own. Rebalancing
     gathers a route's rows into few files and splits a heavy route by size, so no route is

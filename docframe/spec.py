@@ -138,6 +138,10 @@ class Spec:
     def field(self, name: str) -> Field:
         return next(f for f in self.fields if f.name == name)
 
+    def sort_or(self, explicit):
+        """The sort that counts: the caller's, else the declared one."""
+        return explicit if explicit is not None else self.default_sort
+
     def schema(self) -> T.StructType:
         """The table's type, with each field's declaration kept as column metadata."""
         out = T.StructType()
@@ -152,9 +156,11 @@ class Spec:
             out.add(f.name, T.DataType.fromDDL(f.type()), not f.required, meta)
         return out
 
-    def with_id(self, df):
-        """``_id``: the id field, else the computed id, else a digest of the row's content
-        (20 characters; the same on every run, so a retried task makes the same id)."""
+    def with_id(self, df, position: str | None = None):
+        """``_id``: the id field, else the computed id, else 20 characters made of the row's content
+        and ``position``, a column that tells equal rows apart and is the same on every run (a
+        place in the source, an operation number). So equal documents keep ids of their own, and
+        a retried task makes the same ones. Without a position there is nothing to make ids of."""
         if self.id_field:
             made = F.col(self.id_field).cast("string")
         elif self.id_expr:
@@ -163,8 +169,12 @@ class Spec:
             made = F.lit(None).cast("string")
         if "_id" in df.columns:
             made = F.coalesce(F.col("_id"), made)
+        if position is None:
+            if self.id_field or self.id_expr or "_id" in df.columns:
+                return df.withColumn("_id", made)
+            raise ValueError(f"{self.name} has no id; name a column that tells its rows apart")
         present = [f.name for f in self.fields if f.name in df.columns]
-        content = F.to_json(F.struct(*present))
+        content = F.to_json(F.struct(*dict.fromkeys([*present, position])))
         return df.withColumn("_id", F.coalesce(made, F.substring(F.sha2(content, 256), 1, 20)))
 
     def with_routing(self, df):

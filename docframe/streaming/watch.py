@@ -176,19 +176,30 @@ def _replay(wait: int, parts: DataFrame):
     arrow_id = to_arrow_type(parts.schema["id"].dataType)
 
     def replay(batches):
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         key, fired = None, None
         for b in batches:
-            ks, ts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            ids, starts = b.column(2), b.column(3).to_pylist()
+            if not b.num_rows:
+                continue
+            k, t, ids = b.column(0), np.asarray(b.column(1)), b.column(2)
+            turns = np.flatnonzero(np.asarray(pc.not_equal(k[1:], k[:-1]))) + 1
             pick = []
-            for i, (k, t) in enumerate(zip(ks, ts)):
-                if k != key:
-                    key, fired = k, starts[i]
-                if fired is None or t >= fired + wait:
-                    fired = t
-                    pick.append(i)
+            for lo, hi in zip([0, *turns.tolist()], [*turns.tolist(), len(k)], strict=True):
+                name = k[lo].as_py()
+                if name != key:
+                    key, fired = name, b.column(3)[lo].as_py()
+                at = lo
+                while at < hi:  # one jump per alert that fires
+                    if fired is not None:
+                        at += int(np.searchsorted(t[at:hi], fired + wait))
+                        if at >= hi:
+                            break
+                    fired = int(t[at])
+                    pick.append(at)
+                    at += 1
             if pick:
                 at = pa.array(pick)
                 yield pa.RecordBatch.from_arrays([
@@ -230,7 +241,8 @@ def logging_action(root: str, text: str):
 
     def act(batch: DataFrame, batch_id: int) -> None:
         names = [c for c in batch.columns if "{" + c + "}" in text]
-        pattern = text
+        names.sort(key=lambda c: text.index("{" + c + "}"))
+        pattern = text.replace("%", "%%")
         for c in names:
             pattern = pattern.replace("{" + c + "}", "%s")
         line = F.format_string(pattern, *[F.col(c).cast("string") for c in names])
@@ -262,23 +274,32 @@ def throttled(root: str, key: str, ts: str, id: str, period: str, act):
 
 
 def purge_action(root: str, query: Clause, key: str = "_id"):
-    """Removes the rows of a versioned table that match, as the next version. In a bucketed
+    """Deletes the rows of a table that match, as the next version. Rows that carry versions become
+    tombstones, so a later write goes on from their version and sequence numbers. In a bucketed
     table only buckets that lose rows are rewritten."""
 
+    def purged(table: DataFrame, next_no: int | None) -> tuple[DataFrame, int | None]:
+        if "_version" not in table.columns:
+            return state.delete_by_query(table, query)[0], next_no
+        after, results = state.delete_matching(table, query, next_no)
+        if next_no is None:
+            return after, None
+        return after, next_no + results.where("ok").count()
+
     def act(tick: DataFrame, batch_id: int) -> None:
         spark, name = tick.sparkSession, f"purge-{batch_id}"
         last = snapshots.latest(spark, root)
         if last is None or snapshots.committed(spark, root, name) is not None:
             return
         table, n = snapshots.read(spark, root), last["n_buckets"]
-        kept, removed = state.delete_by_query(table, query)
         if not n:
-            snapshots.commit(kept, root, name)
+            snapshots.commit(purged(table, None)[0], root, name)
             return
-        losing = snapshots.touched(removed, key, n)
+        rows = state.live(table) if "_version" in table.columns else table
+        losing = snapshots.touched(rows.where(query.pred), key, n)
         if losing:
-            kept, _ = state.delete_by_query(snapshots.read(spark, root, buckets=losing), query)
-            snapshots.commit(kept, root, name, key, n, losing, last["next_seq"])
+            kept, following = purged(snapshots.read(spark, root, buckets=losing), last["next_seq"])
+            snapshots.commit(kept, root, name, key, n, losing, following)
 
     return act
 

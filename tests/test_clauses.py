@@ -1,5 +1,6 @@
 """Clauses: missing values, composition, fuzzy distance, phrases, geo."""
 
+import itertools
 import random
 
 import duckdb
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from docframe.functions import text as tx
 from docframe.operators import clauses as c
 from docframe.operators.ranking import search
+from docframe.spec import Field, Spec
 
 
 @pytest.fixture(scope="module")
@@ -214,3 +216,59 @@ def test_wildcard_against_fnmatch(spark, pattern):
         return bool(w) and (p[0] == "?" or p[0] == w[0]) and holds(p[1:], w[1:])
 
     assert got == {w for w in words if holds(pattern, w)}
+
+
+def test_declared_kinds_decide(spark):
+    spec = Spec("d", (
+        Field("seg"), Field("body", "text"), Field("tags", many=True), Field("n", "long"),
+        Field("hidden", index=False),
+        Field("items", "nested", fields=(Field("q", "integer"), Field("note", "text")))))
+    df = spark.createDataFrame([
+        (1, "BUILDING", "A small Building", ["x", "y"], 3, "h", [(1, "red wood"), (2, "old")]),
+        (2, "Building", "stone", None, 4, "h", None)],
+        "id int, seg string, body string, tags array<string>, n long, hidden string, "
+        "items array<struct<q:int,note:string>>")
+    on = c.Declared(spec)
+
+    def got(clause):
+        return sorted(r["id"] for r in search(df, clause).collect())
+
+    assert got(on.match("seg", "Building")) == [2] and got(on.match("body", "building")) == [1]
+    assert got(on.term("tags", "y")) == [1] and got(on.terms("tags", ["q", "x"])) == [1]
+    assert got(on.by_fields({"body": "building small", "seg": "BUILDING", "tags": "x"})) == [1]
+    assert got(on.by_fields({"body": "building stone"})) == []
+    assert got(on.range_("items.q", gte=2)) == [1] and got(on.match("items.note", "wood")) == [1]
+    assert got(on.exists("tags")) == [1] and got(on.exists("items")) == [1]
+    for broken in ("hidden", "nope"):
+        with pytest.raises(ValueError):
+            on.term(broken, "h")
+
+
+def test_long_phrases_with_much_slop(spark):
+    words = [f"w{i}" for i in range(8)]
+    text = " z ".join(words[:5]) + " z z z " + " ".join(words[5:])
+    df = spark.createDataFrame([(1, text), (2, " ".join(reversed(words))), (3, "w0 w0 w1")],
+                               "id int, text string")
+
+    def got(query, slop):
+        return [r["id"] for r in search(df, c.match_phrase("text", query, slop)).collect()]
+
+    assert got(" ".join(words), 10) == [1] and got(" ".join(words), 7) == [1]
+    assert got(" ".join(words), 6) == [] and got("w0 w0 w1", 3) == [3]
+
+
+def test_phrase_slop_equals_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(1, 12)))) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    for query, slop in (("a b", 1), ("a b a", 2), ("c c b", 3), ("a a", 0)):
+        words = query.split()
+        want = []
+        for i, text in rows:
+            t = text.split()
+            ok = any(all(t[q] == w for q, w in zip(place, words))
+                     and place[-1] - place[0] - (len(words) - 1) <= slop
+                     for place in itertools.combinations(range(len(t)), len(words)))
+            want += [i] * ok
+        got = sorted(r["id"] for r in search(df, c.match_phrase("text", query, slop)).collect())
+        assert got == want

@@ -38,11 +38,15 @@ def test_schema_carries_the_declarations(spark):
 def test_identity(spark):
     df = spark.createDataFrame([(1, "a"), (1001, "b")], "custom_id long, f_str string")
     fields = (Field("custom_id", "long"), Field("f_str"))
-    ids = lambda s, x=df: [r["_id"] for r in s.with_id(x).collect()]
+    ids = lambda s, x=df, at=None: [r["_id"] for r in s.with_id(x, at).collect()]
     assert ids(Spec("i", fields, id_field="custom_id")) == ["1", "1001"]
     assert ids(Spec("i", fields, id_expr=lambda: F.col("custom_id") + 1000)) == ["1001", "2001"]
-    made = ids(Spec("i", fields))
-    assert {len(x) for x in made} == {20} and made == ids(Spec("i", fields)) and made[0] != made[1]
+    with pytest.raises(ValueError):
+        ids(Spec("i", fields))
+    same = spark.createDataFrame([(i, "A") for i in range(3)], "at long, f_str string")
+    named = Spec("i", (Field("f_str"),))
+    made = ids(named, same, "at")
+    assert {len(x) for x in made} == {20} and len(set(made)) == 3 and made == ids(named, same, "at")
     given = df.withColumn("_id", F.when(F.col("custom_id") == 1, "own"))
     assert ids(Spec("i", fields, id_field="custom_id"), given) == ["own", "1001"]
 
@@ -208,3 +212,17 @@ def test_ranked_search_reads_only_its_column(spark, sf):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<text:string>" in text
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
+
+
+def test_objects_conform_by_name(spark):
+    spec = Spec("o", (Field("o", "object", fields=(
+        Field("a", "integer"), Field("b", "keyword", None, alias="bee"),
+        Field("c", "keyword", default="none"))),
+        Field("l", "nested", None, fields=(Field("x", "long"), Field("y")))))
+    df = spark.sql("""SELECT named_struct('bee', ' blank ', 'a', '10') AS o,
+        array(named_struct('y', ' t ', 'x', '7')) AS l""")
+    r = ingest.conform(df, spec).first()
+    assert r["o"].asDict() == {"a": 10, "b": "blank", "c": "none"}
+    assert [x.asDict() for x in r["l"]] == [{"x": 7, "y": "t"}]
+    with pytest.raises(ValueError):
+        ingest.conform(df.withColumn("o", F.col("o").withField("more", F.lit(1))), spec)

@@ -36,7 +36,10 @@ def test_pages(four):
         return [x["id"] for x in p.page(four, "id", "id", n, 2).collect()]
 
     assert (page(1), page(2), page(3)) == ([2, 3], [4, 5], [])
-    assert p.page_size(None) == 10 and p.page_size(50_000) == 10_000 and p.page_size(7, 5) == 7
+    assert p.page_size(None) == 10 and p.page_size(50_000) == 50_000
+    assert p.refuse_over(7, 5) == 7 and p.refuse_over(None, 5) is None
+    with pytest.raises(ValueError):
+        p.refuse_over(11, 5)
     first = p.page(four, ("id", "desc"), "id", size=3).collect()
     after = p.page_after(four, ("id", "desc"), "id", (first[-1]["id"], first[-1]["id"]))
     assert [x["id"] for x in after.collect()] == [2]
@@ -209,3 +212,39 @@ def test_vectors_of_other_sizes_are_never_hits(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0]), (3, None), (4, [0.0, 1.0])],
                                "id int, x array<float>")
     assert [y["id"] for y in v.knn(df, "x", [1.0, 0.1], 9, "id").collect()] == [1, 4]
+
+
+def test_hours_where_clocks_change(spark):
+    df = spark.sql("""SELECT explode(array(timestamp_ntz '2024-10-27 00:30:00',
+        timestamp_ntz '2024-10-27 01:30:00', timestamp_ntz '2024-03-31 00:10:00',
+        timestamp_ntz '2024-03-31 02:10:00')) AS t""")
+
+    def keys(**how):
+        rows = f.date_histogram(df, "t", time_zone="Europe/Paris", **how).collect()
+        return {str(r["key"]): r["doc_count"] for r in rows}
+
+    hours = keys(calendar_interval="hour", min_doc_count=1)
+    assert hours["2024-10-27 00:00:00"] == hours["2024-10-27 01:00:00"] == 1
+    filled = f.date_histogram(df.where("t < '2024-04-01'"), "t", calendar_interval="hour",
+                              time_zone="Europe/Paris").collect()
+    assert [(str(r["key"])[11:16], r["key_as_string"][11:16], r["doc_count"]) for r in sorted(
+        filled, key=lambda r: r["key"])] == [
+        ("00:00", "01:00", 1), ("01:00", "03:00", 0), ("02:00", "04:00", 1)]
+    assert keys(fixed_interval="1h", min_doc_count=1) == hours
+    days = keys(fixed_interval="1d", min_doc_count=1)
+    assert days == {"2024-03-30 23:00:00": 2, "2024-10-26 22:00:00": 2}
+
+
+def test_ranks_and_deep_pages_over_several_keys(spark):
+    rows = [(i, i % 7 if i % 5 else None, "ab"[i % 2]) for i in range(12_000)]
+    df = spark.createDataFrame(rows, "id long, n long, s string").repartition(6)
+    sort = [("n", "desc"), "s"]
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[2], r[0]))
+    got = {r["id"]: r["rank"] for r in p.ranked(df, sort, "id").collect()}
+    assert got == {r[0]: k + 1 for k, r in enumerate(want)}
+    last = want[9_699]
+    after = p.page_after(df, sort, "id", (last[1], last[2], last[0]), 20).collect()
+    assert [r["id"] for r in after] == [r[0] for r in want[9_700:9_720]]
+    last = want[10]
+    after = p.page_after(df, sort, "id", (last[1], last[2], last[0]), 20).collect()
+    assert [r["id"] for r in after] == [r[0] for r in want[11:31]]

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from docframe.operators import clauses as c
 from docframe.operators import state as s
 from docframe.sources import snapshots
 from docframe.sources.lineage import cut
@@ -112,8 +113,30 @@ def test_delete_of_missing_row(spark):
 def test_concurrent_increments_all_count(spark, steps, total):
     table = spark.createDataFrame([("x", 10, 1, 0, 1, False)], STATE)
     deltas = spark.createDataFrame([("x", d) for d in steps], "_id string, by long")
-    r = s.apply_deltas(table, deltas, "doc", "by").first()
-    assert (r["doc"], r["_version"]) == (total, 4)
+    after, _ = s.apply_deltas(table, deltas, "doc", "by")
+    r = after.first()
+    assert (r["doc"], r["_version"], r["_seq_no"]) == (total, 4, 3)
+    # a writer that still holds the old number conflicts
+    ops = spark.createDataFrame([(0, "index", "x", 99, 0, 1)], OPS.replace("doc string", "doc long"))
+    assert s.outcomes(after, ops).first()["result"] == "conflict"
+
+
+def test_increments_leave_tombstones_and_report_unknown_ids(spark):
+    table = spark.createDataFrame([("x", 10, 1, 0, 1, False), ("t", 1, 2, 1, 1, True)], STATE)
+    deltas = spark.createDataFrame([("t", 3), ("u", 4), ("x", 1)], "_id string, by long")
+    after, outcome = s.apply_deltas(table, deltas, "doc", "by")
+    assert {r["_id"]: (r["doc"], r["_version"], r["_seq_no"]) for r in after.collect()} == {
+        "x": (11, 2, 2), "t": (1, 2, 1)}
+    assert {r["_id"]: r["result"] for r in outcome.collect()} == {
+        "t": "not_found", "u": "not_found", "x": "updated"}
+
+
+def test_delete_matching_leaves_tombstones(spark):
+    table = spark.createDataFrame([("x", 10, 1, 0, 1, False), ("y", 1, 2, 1, 1, False)], STATE)
+    after, results = s.delete_matching(table, c.range_("doc", gt=5))
+    rows = {r["_id"]: (r["_version"], r["_seq_no"], r["_deleted"]) for r in after.collect()}
+    assert rows == {"x": (2, 2, True), "y": (2, 1, False)}
+    assert results.first()["result"] == "deleted"
 
 
 def test_stamp(spark):
