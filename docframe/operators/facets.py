@@ -420,10 +420,15 @@ def date_ranges(df: DataFrame, field, ranges: Sequence[dict], now: str | None =
     return counted.select(F.inline(rows))
 
 
-def keyed(buckets: DataFrame, key: str = "key", value: str = "doc_count") -> DataFrame:
-    """A (small) bucket list as one map from key to value."""
+def keyed(buckets: DataFrame, key: str = "key", value: str = "doc_count", most: int = 10_000
+          ) -> DataFrame:
+    """The buckets of any facet as one map from key to value. At most ``most`` buckets go into the
+    one row; more are refused, not cut: such a facet stays rows."""
     pairs = F.sort_array(F.collect_list(F.struct(F.col(key).cast("string"), F.col(value))))
-    return buckets.agg(F.map_from_entries(pairs).alias("buckets"))
+    some = buckets.select(key, value).limit(most + 1).agg(pairs.alias("p"))
+    refused = F.raise_error(F.lit(f"more than {most} buckets do not make a map"))
+    return some.select(F.when(F.size("p") > most, refused).otherwise(
+        F.map_from_entries("p")).alias("buckets"))
 
 
 def count(df: DataFrame, query: Clause | None = None) -> DataFrame:

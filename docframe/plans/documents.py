@@ -256,18 +256,6 @@ def computed_field(spark, sf):
         "c_custkey", "label", "overdrawn")
 
 
-@query("hit_metadata", """
-    SELECT c_custkey::VARCHAR AS _id, 2.0::DOUBLE AS _score, 1 AS _version, c_custkey AS _seq_no,
-           1 AS _primary_term, c_mktsegment AS _routing
-    FROM customer WHERE c_nationkey = 3""")
-def hit_metadata(spark, sf):
-    rows = CUSTOMER.with_id(read(spark, sf, "customer")).withColumns({
-        "_version": F.lit(1).cast("long"), "_seq_no": F.col("c_custkey"),
-        "_primary_term": F.lit(1).cast("long"), "_routing": F.col("c_mktsegment")})
-    hits = search(rows, c.term("c_nationkey", 3, boost=2), scored=True)
-    return hits.select("_id", "_score", "_version", "_seq_no", "_primary_term", "_routing")
-
-
 @query("keyed_result", "SELECT DISTINCT o_custkey::VARCHAR AS _id FROM orders")
 def keyed_result(spark, sf):
     """One row per id, from a source that repeats ids."""

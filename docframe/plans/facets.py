@@ -78,10 +78,22 @@ def agg_cardinality_exact(spark, sf):
                      orders=f.cardinality("l_orderkey"))
 
 
-@query("agg_cardinality")
+@query("agg_cardinality", """
+    SELECT count(DISTINCT l_partkey) AS parts, true AS parts_close,
+           count(DISTINCT l_orderkey) AS orders, true AS orders_close FROM lineitem""")
 def agg_cardinality(spark, sf):
-    return f.metrics(_lines(spark, sf), parts=f.approx_cardinality("l_partkey"),
-                     orders=f.approx_cardinality("l_orderkey", precision_threshold=40000))
+    """The sketches beside the exact counts: close means within three standard errors."""
+    both = f.metrics(
+        _lines(spark, sf), parts=f.cardinality("l_partkey"), orders=f.cardinality("l_orderkey"),
+        a=f.approx_cardinality("l_partkey"),
+        b=f.approx_cardinality("l_orderkey", precision_threshold=40000))
+
+    def close(approx: str, exact: str, threshold: int):
+        error = 3 * min(0.05, max(0.005, 1.04 / threshold ** 0.5))
+        return F.abs(F.col(approx) - F.col(exact)) <= F.ceil(F.lit(error) * F.col(exact))
+
+    return both.select("parts", close("a", "parts", f.PRECISION).alias("parts_close"),
+                       "orders", close("b", "orders", 40000).alias("orders_close"))
 
 
 @query("agg_percentiles", """
@@ -94,9 +106,24 @@ def agg_percentiles(spark, sf):
     return out.withColumn("value", F.round("value", 6))
 
 
-@query("agg_percentiles_approx")
+@query("agg_percentiles_approx", """
+    SELECT unnest([1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0])::DOUBLE AS percent, true AS close""")
 def agg_percentiles_approx(spark, sf):
-    return f.approx_percentiles(_lines(spark, sf), "l_extendedprice", accuracy=20_000)
+    """Sketched percentiles, and whether each one's rank in the data is within the accuracy."""
+    lines, accuracy = _lines(spark, sf), 20_000
+    rows = f.approx_percentiles(lines, "l_extendedprice", accuracy=accuracy)
+    found = rows.agg(F.array_sort(F.collect_list(F.struct("percent", "value"))).alias("l")).scalar()
+    v = F.col("l_extendedprice")
+    at = [F.get(found, F.lit(i))["value"] for i in range(len(f.PERCENTS))]
+    counts = lines.agg(
+        F.count(v).alias("n"), *[F.count(F.when(v < x, 1)).alias(f"below{i}") for i, x in enumerate(at)],
+        *[F.count(F.when(v <= x, 1)).alias(f"upto{i}") for i, x in enumerate(at)])
+    slack = F.col("n") / accuracy + 1
+    return counts.select(F.inline(F.array(*[F.struct(
+        F.lit(float(p)).alias("percent"),
+        ((F.col(f"below{i}") <= F.col("n") * p / 100 + slack)
+         & (F.col(f"upto{i}") >= F.col("n") * p / 100 - slack)).alias("close"))
+        for i, p in enumerate(f.PERCENTS)])))
 
 
 @query("agg_terms", """

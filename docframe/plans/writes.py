@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..operators import clauses as c
 from ..operators import state as s
+from ..operators.ranking import search
 from ..sources.tables import read
 from .registry import query
 
@@ -225,3 +226,14 @@ def delete_by_query(spark, sf):
         must=[c.term("label", "BUILDING"), c.range_("balance", lt=100)]))
     return after.select("_id", F.when(~F.col("_deleted") | (F.col("_version") == 1), F.col("balance"))
                         .alias("balance"), "_version", "_seq_no", "_deleted")
+
+
+@query("hit_metadata", f"""
+    SELECT _id, 2.0::DOUBLE AS _score, _version, _seq_no, _primary_term, _deleted
+    FROM ({next_sql(FREE + " AND op = 'index'")}) WHERE label = '3-MEDIUM'""")
+def hit_metadata(spark, sf):
+    """Hits with the system columns that a batch of writes left behind."""
+    writes = ops(spark, sf).where(f"{FREE} AND op = 'index'")
+    after, _ = s.apply_batch(state(spark, sf), writes)
+    hits = search(after, c.term("label", "3-MEDIUM", boost=2), scored=True)
+    return hits.select("_id", "_score", "_version", "_seq_no", "_primary_term", "_deleted")
