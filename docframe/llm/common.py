@@ -30,8 +30,8 @@ def cut(df: DataFrame) -> DataFrame:
 def keyed(*parts: Column | str) -> Column:
     """A uniform whole number below 2^52 that depends on the parts' text alone. NULL parts
     count as empty."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(p) if isinstance(p, str) else p, F.lit(""))
-                              .cast("string") for p in parts])
+    text = F.concat_ws("|", *[F.coalesce(
+        (F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("")) for p in parts])
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long")
 
 

@@ -123,7 +123,7 @@ def accuracies(patterns: DataFrame, n_rules: int, rounds: int = 30) -> DataFrame
 
     def log_odds(in_good: Column, good: Column, in_bad: Column, bad: Column,
                  start_good: float, start_bad: float) -> Column:
-        own = WEIGHT * (good + bad)
+        own = F.greatest(WEIGHT * (good + bad), F.lit(1e-9))
         return F.zip_with(in_good, in_bad, lambda g, b: F.log(
             F.greatest(F.lit(LEAST), (g + own * start_good) / (good + own))
             / F.greatest(F.lit(LEAST), (b + own * start_bad) / (bad + own))))
