@@ -8,6 +8,7 @@ from ..operators import clauses as c
 from ..operators import facets
 from ..operators.ranking import search
 from ..sources.tables import read
+from ..spec import Field, Spec
 from .registry import query
 
 SHIPPED = "TIMESTAMP '1996-01-01'"
@@ -58,10 +59,17 @@ def f_date_math(spark, sf):
                   c.range_("ts", gte="now-3630s-7d", lt="now/d", now="2024-01-20 12:00:00"))
 
 
+ORDERS = c.Declared(Spec("orders", (Field("o_orderkey", "long"), Field("o_orderstatus"))))
+PARTS = c.Declared(Spec("part", (
+    Field("p_partkey", "long"), Field("p_name", "text"), Field("p_size", "integer"), Field("p_brand"),
+    Field("p_type"))))
+LINKS = c.Declared(Spec("links", (Field("page_id", "long"), Field("parts", many=True))))
+
+
 @query("f_term", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'P'")
 def f_term(spark, sf):
     return _found(spark, sf, "orders", ("o_orderkey", "o_orderstatus"),
-                  c.term("o_orderstatus", "P"))
+                  ORDERS.term("o_orderstatus", "P"))
 
 
 @query("f_terms", """
@@ -87,8 +95,8 @@ def f_terms(spark, sf):
            AND p_type = 'ECONOMY')""")
 def f_by_fields(spark, sf):
     either = c.bool_(should=[
-        c.by_fields({"p_size": 11, "p_brand": "Brand#2"}),
-        c.by_fields({"p_name": "ring small", "p_type": "ECONOMY"}, {"p_name": "standard"}),
+        PARTS.by_fields({"p_size": 11, "p_brand": "Brand#2"}),
+        PARTS.by_fields({"p_name": "ring small", "p_type": "ECONOMY"}),
     ])
     return _found(spark, sf, "part", ("p_partkey", "p_name"), either)
 
@@ -245,9 +253,8 @@ def f_array_any(spark, sf):
     rows = read(spark, sf, "pages").select(
         "page_id", F.split("url", "[/?&=.#]+").alias("parts"))
     return search(rows, c.bool_(should=[
-        c.bool_(must=[c.any_element("parts", lambda p: p == "ref")],
-                must_not=[c.any_element("parts", lambda p: c.term(p, "m"))]),
-        c.any_element("parts", lambda p: c.prefix(p, "casino")),
+        c.bool_(must=[LINKS.match("parts", "ref")], must_not=[LINKS.term("parts", "m")]),
+        LINKS.prefix("parts", "casino"),
     ])).select("page_id")
 
 

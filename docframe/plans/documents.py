@@ -135,6 +135,30 @@ def conform(spark, sf):
     return ingest.conform(raw, EVENT).withColumn("user_id", F.col("user_id").cast("string"))
 
 
+NESTED = Spec("nested_event", (
+    Field("event_id", "long"),
+    Field("o", "object", fields=(
+        Field("kind", alias="event_type"), Field("user", "long"), Field("note", "text", "none"))),
+    Field("l", "nested", None, fields=(Field("x", "long"), Field("y"))),
+), id_field="event_id")
+
+
+@query("conform_objects", """
+    SELECT event_id, event_type AS kind, user_id AS user, 'none' AS note, user_id AS x, 't' AS y
+    FROM events""")
+def conform_objects(spark, sf):
+    """Objects whose fields come in another order, under an alias, with blanks and as text."""
+    user = F.col("user_id").cast("string")
+    raw = read(spark, sf, "events").select(
+        "event_id",
+        F.struct(user.alias("user"), F.concat(F.lit(" "), "event_type", F.lit("  "))
+                 .alias("event_type")).alias("o"),
+        F.array(F.struct(F.lit(" t ").alias("y"), user.alias("x"))).alias("l"))
+    out = ingest.conform(raw, NESTED)
+    return out.select("event_id", "o.kind", "o.user", "o.note", F.col("l")[0]["x"].alias("x"),
+                      F.col("l")[0]["y"].alias("y"))
+
+
 STORED = Spec("stored", (
     Field("id", "long"), Field("name", "text", alias="full_name"), Field("raw", "binary"),
     Field("at", "datetime"), Field("day", "date"), Field("clock", "time"),

@@ -8,6 +8,7 @@ from ..functions import text as tx
 from ..operators import clauses as c
 from ..operators.ranking import search
 from ..sources.tables import read
+from ..spec import Field, Spec
 from .registry import query
 
 # The standard tokens of a column, in DuckDB.
@@ -21,6 +22,9 @@ def toks(name: str) -> str:
 DOCS = f"SELECT doc_id, lang, {toks('text')} AS t FROM documents"
 
 
+DOCUMENT = c.Declared(Spec("document", (Field("doc_id", "long"), Field("text", "text"), Field("lang"))))
+
+
 def documents(spark, sf):
     return read(spark, sf, "documents")
 
@@ -94,7 +98,7 @@ def tx_ngrams(spark, sf):
 @query("f_match_or", f"""
     SELECT doc_id FROM ({DOCS}) WHERE list_has_any(t, ['thtion', 'eauiereux'])""")
 def f_match_or(spark, sf):
-    return _docs(spark, sf, c.match("text", "Thtion, EAUIEREUX!"))
+    return _docs(spark, sf, DOCUMENT.match("text", "Thtion, EAUIEREUX!"))
 
 
 @query("f_match_and", f"""
