@@ -66,13 +66,14 @@ def outcomes(current: DataFrame, ops: DataFrame, next_no: int | None = None) ->
 
     Within a slice of an id everything is worked out for both cases, "not touched before
     this slice" (``_u``) and "touched before" (``_t``); which case it was, whether the row
-    was alive then and how many writes came before is carried over the slices. The sliced
-    batch is checkpointed on the way, so this call runs a job.
+    was alive then and how many writes came before is carried over the slices. The summaries and
+    the rows they go back to share the one shuffle by (id, slice).
 
     ``current`` may hold just the rows the batch can touch; ``next_no`` is then the next
     operation number of the whole table.
     """
-    stored = current.select(
+    # only stored rows that the batch names take part
+    stored = current.join(ops.select("_id").distinct(), "_id", "left_semi").select(
         "_id", F.col("_version").alias("_cv"), F.col("_seq_no").alias("_cs"),
         F.col("_primary_term").alias("_cp"), (~F.col("_deleted")).alias("_was"))
     own = Window.partitionBy("_id", "_slice").orderBy("op_order")
@@ -116,8 +117,6 @@ def outcomes(current: DataFrame, ops: DataFrame, next_no: int | None = None) ->
             "_nth_t": F.sum(number(F.col("_ok_t"))).over(own.rowsBetween(*UP_TO)),
         })
     )
-    rows = cut(rows)  # used several times below; the join with the stored table runs once
-
     def last_kind(kind: str) -> Column:
         return F.max(F.when(F.col(kind).isNotNull(), F.struct("op_order", kind)))[kind]
 
@@ -174,13 +173,14 @@ def outcomes(current: DataFrame, ops: DataFrame, next_no: int | None = None) ->
 
 
 def next_state(current: DataFrame, results: DataFrame) -> DataFrame:
-    """The table after the batch; deleted rows stay as tombstones that keep their version."""
+    """The table after the batch; deleted rows stay as tombstones that keep their version. The stored
+    table is joined from the left, so a small batch is broadcast and the table stays where it is."""
     docs = [c for c in current.columns if c not in SYSTEM]
     routed = ["_routing"] if "_routing" in current.columns else []
     carried = [c for c in [*docs, *routed] if c in results.columns]
     last = results.where("ok").groupBy("_id").agg(F.max_by(
         F.struct("op", "new_version", "new_seq_no", *carried), "op_order").alias("_w"))
-    joined = current.join(last, "_id", "full_outer")
+    joined = current.join(last, "_id", "left")
     w = F.col("_w")
     written, removed = w.isNotNull(), w["op"] == "delete"
 
@@ -191,19 +191,30 @@ def next_state(current: DataFrame, results: DataFrame) -> DataFrame:
     def kept(c: str) -> Column:
         return F.when(written & ~removed, w[c]).otherwise(F.col(c)).alias(c)
 
-    return joined.select(
+    known = joined.select(
         "_id", *[doc(c) for c in docs], *[kept(c) for c in routed if c in carried],
         F.coalesce(w["new_version"], F.col("_version")).alias("_version"),
-        F.coalesce(w["new_seq_no"], F.col("_seq_no")).alias("_seq_no"),
-        F.coalesce(F.col("_primary_term"), F.lit(1)).alias("_primary_term"),
+        F.coalesce(w["new_seq_no"], F.col("_seq_no")).alias("_seq_no"), "_primary_term",
         F.when(written, removed).otherwise(F.col("_deleted")).alias("_deleted"),
     )
+    kinds = dict(current.dtypes)
+
+    def fresh(c: str) -> Column:
+        new = F.when(~removed, w[c]) if c in carried else F.lit(None)
+        return new.cast(kinds[c]).alias(c)
+
+    created = last.join(current.select("_id"), "_id", "left_anti").select(
+        "_id", *[fresh(c) for c in docs], *[w[c].alias(c) for c in routed if c in carried],
+        w["new_version"].alias("_version"), w["new_seq_no"].alias("_seq_no"),
+        F.lit(1).cast("bigint").alias("_primary_term"), removed.alias("_deleted"))
+    return known.unionByName(created)
 
 
 def apply_batch(current: DataFrame, ops: DataFrame,
                 next_no: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(next state, outcome of every operation)."""
-    results = outcomes(current, ops, next_no)
+    """(next state, outcome of every operation). The outcomes, as many as operations, are
+    checkpointed: the state is made of them as well."""
+    results = cut(outcomes(current, ops, next_no))
     return next_state(current, results), results
 
 
