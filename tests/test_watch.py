@@ -178,7 +178,12 @@ def test_streamed_upserts_equal_one_batch(spark, tmp_path):
     w.purge_action(root, c.term("_id", victim))(stream_tick(spark), 0)  # replayed
     last = snapshots.latest(spark, root)
     assert last["version"] == 4 and len(last["buckets"]) == 1
-    assert key(snapshots.read(spark, root)) == key(want.where(F.col("_id") != victim))
+    after = snapshots.read(spark, root)
+    assert key(after.where(F.col("_id") != victim)) == key(want.where(F.col("_id") != victim))
+    gone, was = (d.where(F.col("_id") == victim).first() for d in (after, want))
+    top = want.agg(F.max("_seq_no")).first()[0]
+    assert (gone["_deleted"], gone["doc"], gone["_version"], gone["_seq_no"]) == (
+        True, None, was["_version"] + 1, top + 1)
     assert key(snapshots.read(spark, root, 3)) == key(want)
 
 
