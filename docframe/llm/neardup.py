@@ -7,16 +7,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, free_name, without
+from .common import cut, free_name, pairs, stored, without
 from .graph import components
 
 SHINGLE = 5
 SIDE = 16
 ROWS = 3
 STEP = 1 << 13
+PACKED = 5
+DEVIATIONS = 3.3
 GAMMA = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,7 +67,7 @@ def _sketch(least: np.ndarray) -> np.ndarray:
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """(id, n, whole, left, right, sketch) per (id, text): the size and the hash of the shingle set,
+    """(id, row, n, whole, left, right, sketch) per (id, row, text): the size and the hash of the shingle set,
     the two collections of ``SIDE`` keys of ``ROWS`` minhashes, and a sketch for estimates."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,27 +92,58 @@ def signatures(rows: DataFrame) -> DataFrame:
                 out["sketch"].append(_sketch(flat))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(out["n"], pa.int64()), pa.array(out["whole"], pa.int64()),
+                [batch.column("id"), batch.column("row"), pa.array(out["n"], pa.int64()),
+                 pa.array(out["whole"], pa.int64()),
                  *[pa.array(out[k], longs) for k in ("left", "right", "sketch")]],
-                names=["id", "n", "whole", "left", "right", "sketch"])
+                names=["id", "row", "n", "whole", "left", "right", "sketch"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "text").mapInArrow(
-        sign, f"id {kind}, n long, whole long, left array<long>, right array<long>, "
+    return rows.select("id", "row", "text").mapInArrow(
+        sign, f"id {kind}, row long, n long, whole long, left array<long>, right array<long>, "
               "sketch array<long>")
 
 
+def pack(values: np.ndarray) -> bytes:
+    """A set's hashes, ``PACKED`` bytes each, in order. Two different shingles of a pair of documents with
+    1,000 words agree in them with a probability of one in a million."""
+    kept = np.unique(values & np.uint64((1 << 8 * PACKED) - 1))
+    return np.ascontiguousarray(kept.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PACKED]).tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    bytes_ = np.frombuffer(raw, np.uint8).reshape(-1, PACKED)
+    out = np.zeros((len(bytes_), 8), np.uint8)
+    out[:, :PACKED] = bytes_
+    return out.view("<u8").ravel()
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """(id, data): the texts, compressed for the shuffle."""
+
+    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(
+                [squeeze.compress((t or "").encode("utf-8", "replace"))
+                 for _, t in pairs(batch, "id", "text")], pa.binary())], names=["id", "data"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.select("id", "text").mapInArrow(press, f"id {kind}, data binary")
+
+
 def _sets(rows: DataFrame) -> DataFrame:
-    """(id, set): the shingle hashes as bytes."""
+    """(id, set): the low ``PACKED`` bytes of the shingle hashes, of compressed texts."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loosen = zstandard.ZstdDecompressor()
         for batch in batches:
-            held = [shingles(t).tobytes() for t in batch.column("text").to_pylist()]
+            held = [pack(shingles(loosen.decompress(t).decode()))
+                    for _, t in pairs(batch, "id", "data")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(held, pa.binary())], names=["id", "set"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "text").mapInArrow(take, f"id {kind}, set binary")
+    return rows.select("id", "data").mapInArrow(take, f"id {kind}, set binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -121,7 +155,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                x, y = unpack(x.as_buffer()), unpack(y.as_buffer())
                 joint = len(x) + len(y) - len(np.union1d(x, y))
                 keep.append(100 * joint >= percent * (len(x) + len(y) - joint))
             found = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -133,11 +167,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _near(a: str, b: str, percent: int) -> Column:
-    """Whether the sketches differ in no more places than 4.5 standard deviations above what
-    is expected of sets with the asked similarity."""
+    """Whether the sketches differ in no more places than ``DEVIATIONS`` standard deviations above
+    what is expected of sets with the asked similarity."""
     count = 2 * SIDE * ROWS
     share = (1 - percent / 100) * 15 / 16
-    most = count * share + 4.5 * (count * share * (1 - share)) ** 0.5
+    most = count * share + DEVIATIONS * (count * share * (1 - share)) ** 0.5
     differ = F.lit(0)
     for k in range(count // 16):
         x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
@@ -147,9 +181,60 @@ def _near(a: str, b: str, percent: int) -> Column:
     return differ <= int(most)
 
 
+def _close(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    return pairs.join(signs.select(F.col("id").alias("a"), F.col("sketch").alias("ka")), "a").join(
+        signs.select(F.col("id").alias("b"), F.col("sketch").alias("kb")), "b").where(
+        _near("ka", "kb", percent)).select("a", "b")
+
+
+def _placed(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """With the component that the links so far put each id in."""
+    if found is None:
+        return members.withColumn("component", F.col("id"))
+    return members.join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id"))
+
+
+def _crossing(placed: DataFrame, strays: DataFrame, percent: int) -> DataFrame:
+    """The pairs of a stray and a member of another component that share a key of both collections.
+    They are met at their first common key of the left one, so each comes once."""
+    cols = ["id", "component", "sketch", "left", "right"]
+
+    def keyed(rows: DataFrame, tag: str) -> DataFrame:
+        return rows.select(*[F.col(c).alias(f"{c}_{tag}") for c in cols],
+                           F.posexplode("left").alias(f"at_{tag}", f"key_{tag}"))
+
+    a = keyed(placed.join(strays, "id", "left_semi"), "a")
+    b = keyed(placed, "b")
+    alike = F.zip_with("left_a", "left_b", lambda x, y: x == y)
+    first = F.array_position(alike, True) - 1 == F.col("at_a")
+    both = F.exists(F.zip_with("right_a", "right_b", lambda x, y: x == y), lambda x: x)
+    met = (F.col("at_a") == F.col("at_b")) & (F.col("key_a") == F.col("key_b"))
+    far = (F.col("component_a") != F.col("component_b")) & _near("sketch_a", "sketch_b", percent)
+    return a.join(b, met & far & first & both).select(
+        F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
+def _cells(heads: DataFrame) -> DataFrame:
+    """(id, cell, n, leader): the tables' cells that hold two classes or more, with their sizes and
+    smallest ids. A cell is a pair of keys; only keys that two classes hold are paired."""
+    single = heads.select("id", F.posexplode(F.concat("left", "right")).alias("at", "own")).select(
+        "id", (F.col("at") < SIDE).alias("is_left"), F.xxhash64("at", "own").alias("key"))
+    twice = single.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    shared = single.join(twice, "key").groupBy("id").agg(
+        F.collect_list(F.when(F.col("is_left"), F.col("key"))).alias("left"),
+        F.collect_list(F.when(~F.col("is_left"), F.col("key"))).alias("right"))
+    tables = shared.select("id", "right", F.explode("left").alias("l")).select(
+        "id", "l", F.explode("right").alias("r")).select("id", F.xxhash64("l", "r").alias("cell"))
+    whole = Window.partitionBy("cell")
+    return tables.withColumn("n", F.count("*").over(whole)).where("n > 1").withColumn(
+        "leader", F.min("id").over(whole))
+
+
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75
             ) -> DataFrame:
-    """(id, n, whole, component) of every row; rows without words are their own component.
+    """(row, n, component) of every row, ``row`` being a hash of its id and text; rows without words are
+    their own component.
 
     Equal sets are one class, of which the row with the smallest id takes part. Its keys are pairs
     of one key of each of two collections: 16 x 16 tables of six minhashes for the price of 96
@@ -157,56 +242,47 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
     probability of 0.9997 (1 - (1 - s^3)^16 squared). A key that no other class has cannot
     meet, so only keys held twice are paired.
 
-    Members of a table's cell are first compared with its smallest member, then those that fall
-    outside its component with all members that lie in another one. Of candidates, a
-    sketch of the 96 minhashes rules out those 4.5 standard deviations below 0.75; the rest is
-    confirmed on the full sets. So no pair of a cell is left out, and copies of one text do not
-    meet each other one by one."""
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    Members of a cell are compared with its smallest member, and in cells that are then in several
+    components with another leader, drawn by a hash; so a large group of near copies joins up in
+    linear work. Who is then still outside its cell's component (a stray) is compared with all members of its
+    cells that lie in other components, each pair once. Of all pairs, a sketch of the 96 minhashes
+    rules out those 3.3 standard deviations below 0.75 (one in 2,000 at exactly 0.75, none that
+    matter above 0.85); the rest is confirmed on the full sets. Copies of one text do not meet
+    each other at all."""
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{id_col}`", f"`{text_col}`").alias(
+        "row"), F.col(f"`{text_col}`").alias("text"))
     signed = cut(signatures(rows))
     reps = signed.where("whole is not null").groupBy("whole").agg(F.min("id").alias("rep"))
     heads = cut(signed.join(reps, (signed["whole"] == reps["whole"]) & (signed["id"] == reps["rep"]))
                 .select("id", "left", "right", "sketch").dropDuplicates(["id"]))
-    single = heads.select("id", F.posexplode(F.concat("left", "right")).alias("at", "key"))
-    twice = single.groupBy("at", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = single.join(twice.select("at", "key"), ["at", "key"]).groupBy("id").agg(
-        F.collect_list(F.when(F.col("at") < SIDE, F.struct("at", "key"))).alias("left"),
-        F.collect_list(F.when(F.col("at") >= SIDE, F.struct("at", "key"))).alias("right"))
-    tables = shared.select("id", "right", F.explode("left").alias("l")).select(
-        "id", "l", F.explode("right").alias("r")).select(
-        "id", F.xxhash64("l.at", "l.key", "r.at", "r.key").alias("cell"))
-    leaders = tables.groupBy("cell").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where(
-        "n > 1").select("cell", "leader")
-    cells = cut(tables.join(leaders, "cell"))
-    sketches = heads.select("id", "sketch")
-    def close(pairs: DataFrame) -> DataFrame:
-        return pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("ka")), "a").join(
-            sketches.select(F.col("id").alias("b"), F.col("sketch").alias("kb")), "b").where(
-            _near("ka", "kb", percent)).select("a", "b")
-
-    ahead = close(cells.where("id <> leader").select(
-        F.col("leader").alias("a"), F.col("id").alias("b")).distinct())
-    asked = cells.select("id").distinct()
-    sets = cut(_sets(rows).join(asked, "id", "left_semi").dropDuplicates(["id"]))
-    links = cut(_verified(ahead, sets, percent))
+    cells = stored(_cells(heads))
+    ids = cells.select("id").distinct()
+    signs = stored(heads.join(ids, "id", "left_semi"))
+    packed = _packed(rows).join(signs.select("id"), "id", "left_semi").dropDuplicates(["id"])
+    sets = stored(_sets(packed))
+    met = cells.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+    links = cut(_verified(_close(met.distinct(), signs, percent), sets, percent))
     found = cut(components(links))
-    placed = cells.join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
-    placed = placed.join(found.select(F.col("node").alias("leader"), F.col("component").alias("main")),
-                         "leader", "left").withColumn("main", F.coalesce("main", "leader"))
-    placed = placed.join(sketches, "id")
-    strays = placed.where("component <> main")
-    rest = strays.select("cell", F.col("id").alias("a"), F.col("component").alias("ca"),
-                         F.col("sketch").alias("ka"))
-    others = placed.select("cell", F.col("id").alias("b"), F.col("component").alias("cb"),
-                           F.col("sketch").alias("kb"))
-    crossing = rest.join(others, (rest["cell"] == others["cell"]) & (F.col("ca") != F.col("cb"))
-                         & _near("ka", "kb", percent)).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = links.unionByName(_verified(crossing, sets, percent))
+    # a cell of one component is done, and the one pair of a cell of two has been looked at
+    open_ = _placed(cells.where("n > 2").select("id", "cell"), found)
+    split = open_.groupBy("cell").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    open_ = stored(open_.join(split.select("cell"), "cell"))
+    some = stored(sets.join(open_.select("id").distinct(), "id", "left_semi"))
+    leaders = open_.groupBy("cell").agg(F.min_by(
+        F.struct("id", "component"), F.xxhash64("id")).alias("l"))
+    met = open_.join(leaders, "cell").where(F.col("component") != F.col("l.component")).select(
+        F.least("l.id", "id").alias("a"), F.greatest("l.id", "id").alias("b")).distinct()
+    links = cut(links.unionByName(_verified(_close(met, signs, percent), some, percent)))
+    found = cut(components(links))
+    open_ = _placed(open_.drop("component"), found)
+    mains = open_.groupBy("cell").agg(F.min_by("component", "id").alias("main"))
+    strays = open_.join(mains, "cell").where("component <> main").select("id").distinct()
+    near = _placed(signs.join(some.select("id"), "id", "left_semi"), found)
+    links = links.unionByName(_verified(_crossing(near, strays, percent), some, percent))
     final = components(links).select(F.col("node").alias("rep"), "component")
     out = signed.join(reps, "whole", "left").join(final, "rep", "left")
-    return out.select("id", "n", "whole", F.coalesce("component", "rep", "id").alias("component"))
+    return out.select("row", "n", F.coalesce("component", "rep", "id").alias("component"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -215,14 +291,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     (whether it is its own component's id).
 
     A NULL or empty text and one of blanks only has no shingles and is linked with nothing. Ids
-    are taken to be unique and not NULL: rows that share an id share its fate only if their texts are
-    alike, and a NULL id is never kept by another. An empty table stays empty. Extra columns pass
+    are taken to be unique: rows that share an id share its component only if their texts are alike (of
+    different ones, one takes part in comparisons). A NULL id is kept unless an equal text has one. An empty table stays empty. Extra columns pass
     through; ones named like an added column are replaced."""
     df = without(df, "n_shingles", "component_id", "kept")
-    row, whole = free_name(df, "_row"), free_name(df, "_n")
+    row, size, component = (free_name(df, c) for c in ("_row", "_n", "_component"))
     found = classes(df, id_col, text_col, percent)
-    keyed = found.select(F.col("id").alias(row), F.col("n").alias(whole), "component").dropDuplicates([row])
-    out = df.join(keyed, F.col(f"`{id_col}`").eqNullSafe(F.col(row)), "left")
-    return out.withColumn("n_shingles", F.col(whole)).withColumn("component_id", F.col("component")).withColumn(
-        "kept", F.col(f"`{id_col}`").eqNullSafe(F.col("component"))).select(
-        *[F.col(f"`{c}`") for c in df.columns], "n_shingles", "component_id", "kept")
+    told = found.select(F.col("row").alias(row), F.col("n").alias(size), F.col("component").alias(
+        component)).dropDuplicates([row])
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    out = df.withColumn(row, F.xxhash64(f"`{id_col}`", f"`{text_col}`")).join(told, row)
+    return out.select(
+        *cols, F.col(size).alias("n_shingles"), F.col(component).alias("component_id"),
+        F.col(f"`{id_col}`").eqNullSafe(F.col(component)).alias("kept"))
