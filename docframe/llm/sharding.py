@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, keyed, ranked, unit, without
+from .common import cut, free_name, keyed, ranked, unit, without
 
 SPREAD = 12
 
@@ -142,9 +142,10 @@ def shard(df: DataFrame, shards: int = 24, partitions: int = 64, id_col: str = "
     part, rank, cells, key = (free_name(df, c) for c in ("_part", "_rank", "_cells", "_key"))
     id_ = F.col(f"`{id_col}`")
     dealt = df.withColumn(part, keyed(F.lit(seed), F.lit("deal"), id_) % partitions)
-    matrix = communication_matrix(
-        dealt.groupBy(F.col(part).alias("partition")).agg(F.count("*").alias("n")),
-        shards, partitions, seed)
+    # written once: the draws are a small table, but a large expression to plan again and again
+    matrix = cut(communication_matrix(
+        cut(dealt.groupBy(F.col(part).alias("partition")).agg(F.count("*").alias("n"))),
+        shards, partitions, seed))
     matrix = matrix.select(F.col("partition").alias(part), F.aggregate(
         "cells", F.array(F.lit(0).cast("long")),
         lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x))).alias(cells))
