@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import pairs, stored
 from .neardup import GAMMA, mixed
 
 SPAN = 50
@@ -27,8 +27,8 @@ GRAM = 20
 REACH = SPAN - GRAM
 WIDTH = REACH + SPAN
 BASE = np.uint64(0x100000001B3)
-BLOCK = 1 << 20
-BATCH_BYTES = 1 << 24
+BLOCK = 1 << 19
+BATCH_BYTES = 1 << 22
 CROWDED = 64
 FAN = 4
 NO_ID = (1 << 63) - 1
@@ -78,24 +78,25 @@ class Run:
     several: np.ndarray
     hot: np.ndarray
 
-    def columns(self) -> list[np.ndarray]:
-        return [self.gram, self.around, self.doc, self.at, self.least, self.several, self.hot]
-
 
 def merge(runs: list[Run]) -> Run:
     """One sorted run of several; what they tell of each other is carried over."""
-    columns = [np.concatenate(c) for c in zip(*[r.columns() for r in runs], strict=True)]
-    order = np.lexsort((columns[1], columns[0]))
-    run = Run(*[c[order] for c in columns])
+    gram, around = (np.concatenate([getattr(r, c) for r in runs]) for c in ("gram", "around"))
+    order = np.lexsort((around, gram))
+    gram, around = gram[order], around[order]
+
+    def sorted_column(name: str) -> np.ndarray:
+        return np.concatenate([getattr(r, name) for r in runs])[order]
+
+    run = Run(gram, around, *[sorted_column(c) for c in ("doc", "at", "least", "several", "hot")])
     if not len(order):
         return run
-    new_gram = np.concatenate([[True], run.gram[1:] != run.gram[:-1]])
-    new = new_gram | np.concatenate([[True], run.around[1:] != run.around[:-1]])
-    same = np.flatnonzero(new)
-    run.least = np.minimum.reduceat(run.least, same)[np.cumsum(new) - 1]
+    new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
+    new = new_gram | np.concatenate([[True], around[1:] != around[:-1]])
+    run.least = np.minimum.reduceat(run.least, np.flatnonzero(new))[np.cumsum(new, dtype=np.int32) - 1]
     grams = np.flatnonzero(new_gram)
-    of_gram = np.cumsum(new_gram) - 1
-    run.several = (np.add.reduceat(new.astype(np.int64), grams) > 1)[of_gram]
+    of_gram = np.cumsum(new_gram, dtype=np.int32) - 1
+    run.several = (np.add.reduceat(new.astype(np.int32), grams) > 1)[of_gram]
     run.hot = np.logical_or.reduceat(run.hot, grams)[of_gram]
     return run
 
@@ -180,8 +181,9 @@ def _by_part(part: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _cell(x: np.ndarray, parts: int) -> np.ndarray:
-    """The range of a hash: its top bits, scaled."""
-    return ((x >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    """The range of a hash: its top bits, scaled. Sampled hashes are least ones, so all of them are
+    small; they are mixed again first."""
+    return ((mixed(x) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
 def _spread(doc: np.ndarray, parts: int) -> np.ndarray:
@@ -237,6 +239,7 @@ def _index_batch(docs: list[int], datas: list[bytes], parts: int) -> Iterator[di
     if not found:
         return
     doc, at, gram, around = (np.concatenate(c) for c in zip(*found, strict=True))
+    found.clear()
     none = np.zeros(len(doc), bool)
     run = merge([Run(gram, around, doc, at, doc, none, none)])
     if not len(run.doc):
@@ -422,11 +425,11 @@ def _tables(rows: Iterator[dict], schema: pa.Schema) -> pa.Table:
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   part_bytes: int = 1 << 24) -> DataFrame:
+                   part_bytes: int = 3 << 21) -> DataFrame:
     """(id, n_bytes, spans, kept) of every row: the text's bytes without those covered by a string of
     50 bytes that also starts in a text with a smaller id. Strings are judged on the input.
 
-    Texts are cut into batches of about 16 MB; a batch's sampled suffixes make a sorted run,
+    Texts are cut into batches of about 4 MB; a batch's sampled suffixes make a sorted run,
     and ranges of runs go to the family that holds the range. A place whose surroundings a smaller
     id has is covered whole. Where only part of them is alike, the surroundings are compared
     byte by byte, string by string. The number of ranges grows with the input, so that a
@@ -445,8 +448,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, datas, held = [], [], 0
         for batch in batches:
-            for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(),
-                                 strict=True):
+            for doc, text in pairs(batch, "id", "text"):
                 data = text.encode("utf-8", "replace")
                 if len(data) >= SPAN:
                     docs.append(doc)
@@ -464,11 +466,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([
                 pa.array(_spread(ids, parts), pa.int32()), batch.column("id"),
                 pa.array([squeeze.compress(t.encode("utf-8", "replace"))
-                          for t in batch.column("text").to_pylist()], pa.binary())],
+                          for _, t in pairs(batch, "id", "text")], pa.binary())],
                 names=["part", "id", "data"])
 
     entries = rows.mapInArrow(index, ENTRIES_SQL).repartition(parts, "part")
-    told = cut(entries.groupBy("part").applyInArrow(
+    told = stored(entries.groupBy("part").applyInArrow(
         lambda t: _tables(_scan_range(t, parts), ANSWERS), ANSWERS_SQL))
     texts = rows.mapInArrow(pack, "part int, id long, data binary")
     probes = texts.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(
