@@ -127,6 +127,37 @@ def test_all_exact_repeats_of_fifty_words_are_found(spark, sf, docs):
     assert want <= got
 
 
+@pytest.mark.parametrize(("before", "own", "after"), [(50, 28, 50), (60, 32, 60), (65, 38, 50)])
+def test_passages_round_an_own_middle_are_both_found(spark, before, own, after):
+    rng = random.Random(before)
+
+    def words(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows = []
+    for k in range(20):
+        head, tail = words(before), words(after)
+        rows += [(2 * k + i, " ".join(words(30) + head + words(own) + tail + words(30))) for i in range(2)]
+    got = passages.mark_repeats(spark.createDataFrame(rows, DOCS)).collect()
+    want = {(2 * k + 1, 30 + at, 30 + at + n) for k in range(20)
+            for at, n in ((0, before), (before + own, after))}
+    assert {(r["id"], p["start"], p["end"]) for r in got for p in r["passages"] or ()} == want
+
+
+def test_a_passage_is_the_longest_part_that_is_alike():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        n = int(rng.integers(2, 12))
+        gaps, wrong = rng.integers(0, 30, n), rng.integers(0, 12, n)
+        begins = np.cumsum(gaps + passages.SEED)
+        edits = np.cumsum(np.minimum(gaps, wrong))
+        ends = begins + passages.SEED
+        want = max(ends[j] - begins[i] for i in range(n) for j in range(i, n)
+                   if edits[j] - edits[i] <= 0.2 * (ends[j] - begins[i]) + 1e-9)
+        length, first, last = passages._longest(begins, ends, edits, 0.2)
+        assert length == want == ends[last] - begins[first]
+
+
 # ---- 3: mixing
 
 
