@@ -158,6 +158,28 @@ def test_a_passage_is_the_longest_part_that_is_alike():
         assert length == want == ends[last] - begins[first]
 
 
+def test_passages_at_the_limit_of_likeness_are_met(spark):
+    rng = random.Random(8)
+
+    def words(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows, kinds = [], collections.defaultdict(set)
+    for n, rate, _ in itertools.product((50, 80, 150), (0.1, 0.15, 0.2), range(60)):
+        passage, i = words(n), len(rows)
+        own = list(passage)
+        for at in rng.sample(range(n), int(rate * n + 1e-9)):
+            own[at] = words(1)[0]
+        rows += [(i, " ".join(words(60) + passage + words(60))),
+                 (i + 1, " ".join(words(60) + own + words(60)))]
+        kinds[n, rate].add(i + 1)
+    got = {r["doc"]: r for r in passages.repeated_passages(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(r["other"] == i - 1 for i, r in got.items())
+    assert all(r["edits"] <= 0.2 * (r["end"] - r["start"]) + 1e-9 for r in got.values())
+    missed = {k: len(ids - set(got)) for k, ids in kinds.items()}
+    assert all(m <= 0.02 * 60 for m in missed.values()), missed
+
+
 # ---- 3: mixing
 
 
