@@ -180,6 +180,41 @@ def test_passages_at_the_limit_of_likeness_are_met(spark):
     assert all(m <= 0.02 * 60 for m in missed.values()), missed
 
 
+def test_every_window_of_fifty_words_meets_an_earlier_holder(spark, sf, docs):
+    rng = random.Random(9)
+
+    def words(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows = []
+    for k in range(0, 600, 60):
+        # lines that others hold alone, and two documents that hold them in a row
+        n = rng.choice((2, 3, 4))
+        size = math.ceil(60 / n)
+        frequent = [words(size) for _ in range(n)]
+        for i in range(2 * n):
+            rows.append((k + i, " ".join(words(40) + frequent[i % n] + words(40))))
+        rows.append((k + 20, " ".join(words(20) + sum(frequent, []) + words(20))))
+        for i in range(2 * n):
+            rows.append((k + 30 + i, " ".join(words(40) + frequent[i % n] + words(40))))
+        rows.append((k + 50, " ".join(words(35) + sum(frequent, []) + words(20))))
+    rows += [(1000 + i, t) for i, t in docs.items()]
+    texts = {i: passages.tokens(t) for i, t in rows}
+    first, want = {}, set()
+    for i in sorted(texts):
+        raw = texts[i].tobytes()
+        runs = [hashlib.md5(raw[8 * k:8 * k + 400]).digest() for k in range(len(texts[i]) - 49)]
+        want |= {(i, k) for k, r in enumerate(runs) if first.setdefault(r, i) != i}
+    got = collections.defaultdict(list)
+    for r in passages.repeated_passages(spark.createDataFrame(rows, DOCS).repartition(5)).collect():
+        got[r["doc"]].append((r["start"], r["end"]))
+        assert r["other"] < r["doc"] and min(r["end"] - r["start"], r["other_end"] - r["other_start"]) >= 50
+    covered = {i: {w for a, b in spans for w in range(a, b)} for i, spans in got.items()}
+    assert {i for i, _ in want if i < 1000} == {i for i in texts if i < 1000 and i % 60 == 50}
+    missed = [(i, k) for i, k in want if not covered.get(i, set()).issuperset(range(k, k + 50))]
+    assert not missed, missed[:10]
+
+
 # ---- 3: mixing
 
 
