@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from .neardup import GAMMA, mixed
 
-REPEATS = 12
 SAMPLES = 4
 REACH = 1.6
 VOCABULARY_BITS = 22
@@ -33,7 +32,7 @@ def tokens(text: str | None) -> np.ndarray:
 
 
 def _sizes(n: int) -> int:
-    """The window size of an item of ``n`` words: the largest step of the series 1, 2, 3, 4, 5, 6,
+    """The window size of a piece of ``n`` words: the largest step of the series 1, 2, 3, 4, 5, 6,
     8, 10, 13, 16, 20, ... (steps of a quarter) that does not exceed it."""
     size = 1
     while max(size + 1, size * 5 // 4) <= n:
@@ -41,24 +40,35 @@ def _sizes(n: int) -> int:
     return size
 
 
-def samples(size: int, repeat: int) -> list[int]:
-    """The steps of the walk whose symbols make up the key of one repeat. The series of repeats
-    takes its steps from everywhere in the walk."""
+def _most(rate: float, n: int) -> int:
+    return int(rate * n + 1e-9)
+
+
+def cuts(n: int, edits: int) -> list[tuple[int, int]]:
+    """(offset, window size) of the pieces of an item of ``n`` words, one more than it may have edits:
+    whichever words are edited, one piece stays as it is."""
+    count = min(edits, n - 1) + 1
+    bounds = [n * k // count for k in range(count + 1)]
+    return [(a, _sizes(b - a)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def samples(size: int) -> list[int]:
+    """The steps of the walk whose symbols make up the key."""
     steps = max(1, math.ceil(REACH * size))
-    order = np.argsort(mixed(np.arange(steps, dtype=np.uint64) * GAMMA + np.uint64(7919 * repeat + size)))
+    order = np.argsort(mixed(np.arange(steps, dtype=np.uint64) * GAMMA + np.uint64(size)))
     return sorted(order[:SAMPLES].tolist())
 
 
-def _walk(words: np.ndarray, at: np.ndarray, size: int, repeat: int,
+def _walk(words: np.ndarray, at: np.ndarray, size: int,
           known: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(windows still alive, keys): the embedding's symbols at the sampled steps, mixed to a key.
 
     At each step a window's symbol is the word under its pointer; a random bit of (step, word)
     says whether the pointer moves on. Behind the window's ``size`` words there is 0. Windows whose
     key so far no item has (``known``, per sample) are left."""
-    wanted = samples(size, repeat)
+    wanted = samples(size)
     off = np.zeros(len(at), np.int64)
-    keys = np.full(len(at), np.uint64(size * 1000 + repeat), np.uint64)
+    keys = np.full(len(at), np.uint64(size), np.uint64)
     padded = np.concatenate([words, np.zeros(1, np.uint64)])
     end = len(words)
     alive = at
@@ -73,7 +83,7 @@ def _walk(words: np.ndarray, at: np.ndarray, size: int, repeat: int,
                 alive, off, keys, word = alive[stays], off[stays], keys[stays], word[stays]
                 if not len(alive):
                     break
-        bit = mixed(word + np.uint64((step + 1) * 2654435761 + repeat * 97)) >> np.uint64(63)
+        bit = mixed(word + np.uint64((step + 1) * 2654435761)) >> np.uint64(63)
         off = off + bit.astype(np.int64)
     return alive, keys
 
@@ -84,11 +94,10 @@ class Index:
     items: dict[int, np.ndarray]
     vocabulary: np.ndarray
     """bits of the words that items hold"""
-    sizes: dict[int, int]
-    """window size -> most edits of its items"""
-    known: dict[tuple[int, int], list[np.ndarray]]
-    found: dict[int, list[int]]
-    """key -> items"""
+    known: dict[int, list[np.ndarray]]
+    """window size -> the keys' prefixes"""
+    found: dict[int, list[tuple[int, int]]]
+    """key -> (item, offset) of pieces"""
 
 
 def _bit(words: np.ndarray) -> np.ndarray:
@@ -97,35 +106,29 @@ def _bit(words: np.ndarray) -> np.ndarray:
 
 def build(items: dict[int, np.ndarray], rate: float) -> Index:
     vocabulary = np.zeros(1 << VOCABULARY_BITS, bool)
-    sizes: dict[int, int] = {}
-    partial: dict[tuple[int, int], list[list[np.ndarray]]] = {}
-    found: dict[int, list[int]] = {}
+    partial: dict[int, list[list[np.ndarray]]] = {}
+    found: dict[int, list[tuple[int, int]]] = {}
     for item, words in items.items():
         vocabulary[_bit(words)] = True
-        size = _sizes(len(words))
-        sizes[size] = max(sizes.get(size, 0), int(rate * len(words)))
-        for repeat in range(REPEATS):
-            prefixes = partial.setdefault((size, repeat), [[] for _ in samples(size, repeat)])
+        for offset, size in cuts(len(words), _most(rate, len(words))):
             # a walk cut off after each sample gives the key's prefixes
-            wanted = samples(size, repeat)
-            start = np.zeros(1, np.int64)
-            for k, key in enumerate(_prefix_keys(words, start, size, repeat, wanted)):
+            wanted = samples(size)
+            prefixes = partial.setdefault(size, [[] for _ in wanted])
+            for k, key in enumerate(_prefix_keys(words[offset:offset + size], size, wanted)):
                 prefixes[k].append(key)
-                if k == len(wanted) - 1:
-                    found.setdefault(int(key), []).append(item)
+            found.setdefault(int(key), []).append((item, offset))
     known = {k: [np.unique(np.array(p, np.uint64)) for p in v] for k, v in partial.items()}
-    return Index(rate, items, vocabulary, sizes, known, found)
+    return Index(rate, items, vocabulary, known, found)
 
 
-def _prefix_keys(words: np.ndarray, at: np.ndarray, size: int, repeat: int, wanted: list[int]
-                 ) -> list[np.uint64]:
-    off, keys, out = 0, np.full(1, np.uint64(size * 1000 + repeat), np.uint64), []
+def _prefix_keys(words: np.ndarray, size: int, wanted: list[int]) -> list[np.uint64]:
+    off, keys, out = 0, np.full(1, np.uint64(size), np.uint64), []
     for step in range(wanted[-1] + 1):
         word = words[off:off + 1] if off < min(size, len(words)) else np.zeros(1, np.uint64)
         if step in wanted:
             keys = mixed(keys * GAMMA + word)
             out.append(keys[0])
-        off += int((mixed(word + np.uint64((step + 1) * 2654435761 + repeat * 97)) >> np.uint64(63))[0])
+        off += int((mixed(word + np.uint64((step + 1) * 2654435761)) >> np.uint64(63))[0])
     return out
 
 
@@ -156,41 +159,40 @@ def best_match(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
 
 def matches(texts: list[np.ndarray], index: Index) -> list[tuple[int, int, int, int]]:
     """(text, item, edits, end) of the items that some run of a text's words holds with at most
-    rate * length edits, as far as the LSH meets them. The texts are laid end to end, parted by more
-    empty words than a window may hold foreign ones, so that one walk serves them all."""
-    gap = np.zeros(max(index.sizes.values(), default=0) + 1, np.uint64)
+    rate * length edits: the fewest edits, and the first end with them. Any such run holds a piece of the
+    item as it is, so all are met. The texts are laid end to end, parted by an empty word, so that one
+    walk serves them all."""
+    gap = np.zeros(1, np.uint64)
     parts = [p for t in texts for p in (t, gap)]
     words = np.concatenate([np.zeros(0, np.uint64), *parts])
     begins = np.cumsum([0, *[len(t) + len(gap) for t in texts]])
     outside = np.concatenate([[0], np.cumsum((words == 0) | ~index.vocabulary[_bit(words)])])
-    hits: dict[tuple[int, int], list[int]] = {}
-    for size, edits in index.sizes.items():
-        # more foreign words than edits rule a window out
-        starts = np.flatnonzero(outside[size:] - outside[:-size] <= edits)
+    hits: dict[tuple[int, int], set[int]] = {}
+    for size, known in index.known.items():
+        # a piece has no foreign words
+        starts = np.flatnonzero(outside[size:] == outside[:-size])
         if not len(starts):
             continue
-        for repeat in range(REPEATS):
-            alive, keys = _walk(words, starts, size, repeat, index.known[size, repeat])
-            owners = np.searchsorted(begins, alive, side="right") - 1
-            for at, key, owner in zip(alive.tolist(), keys.tolist(), owners.tolist(), strict=True):
-                for item in index.found.get(key, ()):
-                    hits.setdefault((owner, item), []).append(at - int(begins[owner]))
+        alive, keys = _walk(words, starts, size, known)
+        owners = np.searchsorted(begins, alive, side="right") - 1
+        for at, key, owner in zip(alive.tolist(), keys.tolist(), owners.tolist(), strict=True):
+            for item, offset in index.found.get(key, ()):
+                if np.array_equal(words[at:at + size], index.items[item][offset:offset + size]):
+                    hits.setdefault((owner, item), set()).add(at - int(begins[owner]) - offset)
     out = []
     for (owner, item), places in hits.items():
         own, text = index.items[item], texts[owner]
-        most = int(index.rate * len(own))
-        best: tuple[int, int] | None = None
-        done = -1
-        for at in sorted(set(places)):
-            if at <= done:
-                continue
-            low, high = max(0, at - most), at + len(own) + 2 * most
-            edits, end = best_match(own, text[low:high])
-            if edits <= most and (best is None or edits < best[0]):
-                best = (edits, low + end)
-                done = at + most
-        if best is not None:
-            out.append((owner, item, *best))
+        most = _most(index.rate, len(own))
+        spans: list[list[int]] = []
+        for at in sorted(places):
+            if spans and at - most <= spans[-1][1]:
+                spans[-1][1] = at + len(own) + most
+            else:
+                spans.append([max(0, at - most), at + len(own) + most])
+        edits, end = min((edits, low + end) for low, high in spans
+                         for edits, end in [best_match(own, text[low:high])])
+        if edits <= most:
+            out.append((owner, item, edits, end))
     return sorted(out)
 
 
@@ -217,10 +219,11 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     ``rate`` * length word edits, and the word it ends before.
 
     Items go out in blocks of at most about ``block_words`` words, each a broadcast of bounded
-    size, and all documents are scanned for each block. Windows of an item's size start at every
-    word of the whole text; each of 12 repeats embeds a window by its own random walk and
-    samples four of its symbols, and windows that share a key with an item are verified exactly. A
-    passage without edits is always met. Items without words (NULL, empty, blanks) match
+    size, and all documents are scanned for each block. An item that may have e edits is cut into
+    e + 1 pieces, one of which every passage within e edits holds as it is. Windows of the pieces' sizes
+    start at every word of the whole text; a random walk embeds a window, four of its symbols are its
+    key, and windows that share a key with a piece are compared with it, and then their surroundings
+    with the item, exactly. All passages are met, whatever their length: the recall is 1. Items without words (NULL, empty, blanks) match
     nothing, nor do such texts; equal items and repeated rows each get their rows; a NULL id
     stays NULL; empty tables give no rows."""
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))

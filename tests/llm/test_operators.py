@@ -486,6 +486,28 @@ def test_leaks_with_and_without_edits(spark):
     assert {(r["id"], r["item"]) for r in split.collect()} == got
 
 
+@pytest.mark.parametrize("rate", [0.0, 0.05, 0.1])
+@pytest.mark.parametrize("size", [3, 10, 19, 50, 100, 200, 300, 500])
+def test_edited_items_of_all_lengths_are_met(size, rate):
+    rng = np.random.default_rng(size)
+
+    def words(n):
+        return rng.integers(1, 400, n).astype(np.uint64) << np.uint64(48)
+
+    items = {k: words(size) for k in range(30)}
+    texts = []
+    for own in items.values():
+        edited = own.tolist()
+        for _ in range(int(rate * size + 1e-9)):
+            kind, at = rng.integers(3), int(rng.integers(len(edited)))
+            edited[at:at + int(kind != 0)] = words(int(kind != 1)).tolist()
+        texts.append(np.concatenate([words(40), np.array(edited, np.uint64), words(40)]))
+    got = decontamination.matches(texts, decontamination.build(items, 0.1))
+    want = [(t, k, *decontamination.best_match(items[k], texts[t])) for t in range(30) for k in range(30)]
+    assert got == [m for m in want if m[2] <= int(0.1 * size + 1e-9)]
+    assert {(k, k) for k in range(30)} <= {m[:2] for m in got}
+
+
 def test_planted_passages_are_all_met(spark):
     sf = "/root/testdata/sf0.01"
     items = {r["item_id"]: r["text"] for r in read(spark, sf, "benchmark").collect()}
