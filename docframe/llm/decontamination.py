@@ -224,11 +224,11 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     start at every word of the whole text; a random walk embeds a window, four of its symbols are its
     key, and windows that share a key with a piece are compared with it, and then their surroundings
     with the item, exactly. All passages are met, whatever their length: the recall is 1. Items without words (NULL, empty, blanks) match
-    nothing, nor do such texts; equal items and repeated rows each get their rows; a NULL id
-    stays NULL; empty tables give no rows."""
+    nothing, nor do such texts; equal items and repeated rows of both tables each get their rows, and
+    different texts of one item theirs; a NULL id of a document or an item stays NULL; empty tables give no rows."""
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     bench = items.select(F.col(f"`{item_col}`").cast("long").alias("item"),
-                         F.col(f"`{item_text}`").alias("text")).where("item is not null")
+                         F.col(f"`{item_text}`").alias("text"))
     total = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / 2 / block_words))
     kind = df.select(F.col(f"`{id_col}`")).schema[0].dataType.simpleString()
@@ -236,27 +236,28 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     spark = df.sparkSession
     out = None
     for block in range(blocks):
-        mine = bench.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        words = {}
+        mine = bench.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
+        rows_of: dict[bytes, list[int | None]] = {}
         for r in mine.toLocalIterator():
             own = tokens(r["text"])
             if len(own):
-                words[r["item"]] = own
-        if not words:
+                rows_of.setdefault(own.tobytes(), []).append(r["item"])
+        if not rows_of:
             continue
-        shared = spark.sparkContext.broadcast(build(words, rate))
+        index = build({k: np.frombuffer(own, np.uint64) for k, own in enumerate(rows_of)}, rate)
+        shared = spark.sparkContext.broadcast((index, list(rows_of.values())))
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+            index, names = shared.value
             for batch in batches:
-                rows = [(at[m[0]], *m[1:]) for at, block in pieces(batch.column("text").to_pylist())
-                        for m in matches(block, index)]
+                rows = [(at[m[0]], name, *m[2:], len(index.items[m[1]]))
+                        for at, block in pieces(batch.column("text").to_pylist())
+                        for m in matches(block, index) for name in names[m[1]]]
                 if rows:
-                    at, item, edits, end = (list(x) for x in zip(*rows, strict=True))
+                    at, item, edits, end, size = (list(x) for x in zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([
                         batch.column("id").take(pa.array(at)), pa.array(item, pa.int64()),
-                        pa.array(edits, pa.int64()),
-                        pa.array([len(index.items[i]) for i in item], pa.int64()),
+                        pa.array(edits, pa.int64()), pa.array(size, pa.int64()),
                         pa.array(end, pa.int64())], schema=pa.schema([
                             ("id", batch.schema.field("id").type),
                             *[(c, pa.int64()) for c in ("item", "edits", "item_words", "end")]]))

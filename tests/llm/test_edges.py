@@ -99,3 +99,15 @@ def test_stages_keep_the_columns_and_survive_odd_rows(spark, table, bench, tmp_p
             out.write.mode("overwrite").parquet(f"{folder}/stage{k}")
             docs = spark.read.parquet(f"{folder}/stage{k}")
     assert docs.count() == 0
+
+
+def test_items_without_or_with_repeated_ids_are_all_searched(spark):
+    texts = [" ".join(f"w{k}x{i}" for i in range(30)) for k in range(5)]
+    items = [(7, texts[0]), (7, texts[1]), (None, texts[2]), (None, texts[3]), (8, texts[4]), (9, texts[4]),
+             (9, texts[4])]
+    docs = spark.createDataFrame([(k, f"some {t} more") for k, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.contaminated(docs, items, block_words=60).collect()
+    assert sorted(((r["id"], r["item"]) for r in found), key=str) == sorted(
+        [(0, 7), (1, 7), (2, None), (3, None), (4, 8), (4, 9), (4, 9)], key=str)
+    assert not decontamination.decontaminate(docs, items).count()
