@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from .common import cut, free_name, let, without
 
 TITLES = {
-    "female": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"],
-    "male": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин"],
+    "female": ["Mrs", "Ms", "Miss", "Lady", "Dame", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle",
+               "Señora", "Sra", "Señorita", "Srta", "Signora", "Госпожа"],
+    "male": ["Mr", "Sir", "Lord", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин"],
+    "any": ["Mx", "Dr", "Doctor", "Prof", "Professor", "Rev", "Доктор", "Профессор"],
 }
 """Titles and the gender they tell."""
 NAMES = {
@@ -17,20 +19,29 @@ NAMES = {
                           "Marta", "Nora", "Olivia", "Paula", "Rosa", "Sofia", "Teresa", "Vera"],
     ("male", "latin"): ["Adrian", "Bruno", "Carlo", "Daniel", "Emil", "Felix", "Hugo", "Jonas",
                         "Leon", "Martin", "Nils", "Oscar", "Paul", "Robert", "Simon", "Victor"],
+    ("any", "latin"): ["Alexis", "Andrea", "Casey", "Dana", "Jordan", "Kai", "Kim", "Luca", "Morgan",
+                       "Noa", "Quinn", "Robin", "Sascha", "Taylor", "Toni", "Vanja"],
+    ("any", "cyrillic"): ["Валя", "Женя", "Мика", "Паша", "Саша", "Слава", "Тоня", "Шура"],
     ("female", "cyrillic"): ["Анна", "Вера", "Дарья", "Елена", "Ирина", "Мария", "Ольга", "Софья"],
     ("male", "cyrillic"): ["Андрей", "Борис", "Виктор", "Иван", "Максим", "Олег", "Павел", "Роман"],
 }
-_TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.? \p{Lu}\p{L}+"
+_TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.? "
+_WORD = (r"(?:\p{Lu}\.|(?:\p{Lu}['’])?\p{Lu}[\p{L}\p{M}]+(?:['’]\p{Lu}[\p{L}\p{M}]+|-\p{L}[\p{L}\p{M}]*)*)")
+_PARTICLE = "(?:van|von|vom|zu|zur|de|del|della|der|den|des|di|da|dos|du|la|le|ter|ten|bin|ibn|al|el) "
+_NAME = f"(?!{_TITLE})(?:{_PARTICLE}){{0,3}}{_WORD}"
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "secret": r"(?i:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{8,}",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9])",
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-][0-9]{4}"
-             r"(?![0-9])",
+             r"(?![0-9])"
+             r"|(?<![0-9+])\+(?=(?:[ .()/-]{0,2}[0-9]){8})[0-9]{1,3}(?:[ .-]?\([0-9]{1,5}\))?"
+             r"(?:[ ./-]?[0-9]{1,12}){1,6}(?![0-9])"
+             r"|(?<![\p{L}0-9_+.-])[2-9][0-9]{9}(?![\p{L}0-9_]|[.-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
-    "person": r"(?<!\p{L})" + _TITLE,
+    "person": rf"(?<!\p{{L}})(?:{_TITLE})+{_NAME}(?: {_NAME}){{0,3}}",
 }
 """Kinds of entities and what they look like, the first that fits counting."""
 ANY = "|".join(KINDS.values())
@@ -38,7 +49,7 @@ DIGITS, HEX = "0123456789", "0123456789abcdef"
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _HEAD = r"^(?i:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?"
 _GENDERS = [(g, r"^(?:" + "|".join(t) + r")\.? ") for g, t in TITLES.items()]
-_PERSON_HEAD = "^(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.? "
+_PERSON_HEAD = f"^(?:{_TITLE})+"
 
 
 def kind_of(match: Column) -> Column:
@@ -50,21 +61,27 @@ def kind_of(match: Column) -> Column:
     return found
 
 
-def norm_of(kind: Column, match: Column) -> Column:
-    """What all spellings of one entity share: digits of numbers (a phone's last ten), e-mail
-    addresses in lower case, a secret or a name without what stands before it. A name
-    carries its gender and script."""
+def norms_of(kind: Column, match: Column) -> Column:
+    """What all spellings of one entity share, in a list: digits of numbers (a phone's last ten), e-mail
+    addresses in lower case, a secret without what stands before it. Each word of a name is an
+    entity of its own, with its gender and script, so that a surname stays the same beside
+    other first names and alone; particles (von, de) are none."""
     digits = F.regexp_replace(match, "[^0-9]", "")
-    name = F.regexp_replace(match, _PERSON_HEAD, "")
     gender = F.lit(None).cast("string")
     for g, pattern in _GENDERS:
         gender = F.coalesce(gender, F.when(match.rlike(pattern), F.lit(g)))
-    script = F.when(name.rlike(r"^\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    return F.when(kind == "email", F.lower(match)).when(
-        kind == "phone", F.right(digits, F.lit(10))).when(
-        kind.isin("card", "ssn"), digits).when(
-        kind == "secret", F.regexp_replace(match, _HEAD, "")).when(
-        kind == "person", F.concat_ws("/", gender, script, name)).otherwise(match)
+    names = F.transform(
+        F.filter(F.split(F.regexp_replace(match, _PERSON_HEAD, ""), " "), _is_name),
+        lambda w: F.concat_ws("/", gender, F.when(w.rlike(r"^\p{IsCyrillic}"), "cyrillic").otherwise("latin"), w))
+    return F.when(kind == "person", names).when(kind.isNotNull(), F.array(
+        F.when(kind == "email", F.lower(match)).when(
+            kind == "phone", F.right(digits, F.lit(10))).when(
+            kind.isin("card", "ssn"), digits).when(
+            kind == "secret", F.regexp_replace(match, _HEAD, "")).otherwise(match)))
+
+
+def _is_name(word: Column) -> Column:
+    return word.rlike(r"^\p{Lu}")
 
 
 def _pick(alphabet: str, n: Column) -> Column:
@@ -130,9 +147,22 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda a, x: a + x) % 10
 
 
-def render(kind: Column, match: Column, to: Column) -> Column:
-    """The replacement in the spelling of ``match``: its punctuation, country code, capitals and
-    what stands before it."""
+def render(kind: Column, match: Column, tos: Column) -> Column:
+    """The replacements in the spelling of ``match``: its punctuation, country code, capitals and
+    what stands before it, and a name's particles and initials."""
+    to = F.element_at(tos, 1)
+
+    def name(s: Column, w: Column) -> Column:
+        new = F.element_at(F.split(F.get(tos, s["k"]), "/"), -1)
+        return F.struct(
+            F.concat(s["out"], F.lit(" "), F.when(~_is_name(w), w).when(
+                w.endswith("."), F.concat(F.left(new, F.lit(1)), F.lit("."))).otherwise(new)).alias("out"),
+            (s["k"] + F.when(_is_name(w), 1).otherwise(0)).alias("k"))
+
+    names = F.substring(F.aggregate(
+        F.split(F.regexp_replace(match, _PERSON_HEAD, ""), " "),
+        F.struct(F.lit("").alias("out"), F.lit(0).alias("k")), name)["out"], 2, 1 << 30)
+
     def fill(s: Column, c: Column) -> Column:
         return F.struct(
             F.concat(s["out"], F.when(c.rlike("[0-9]") & (s["k"] > 0), F.substring(
@@ -148,7 +178,7 @@ def render(kind: Column, match: Column, to: Column) -> Column:
     title = F.regexp_extract(match, _PERSON_HEAD, 0)
     return F.when(kind == "email", cased).when(kind.isin("phone", "card", "ssn"), numbers).when(
         kind == "secret", F.concat(head, to)).when(
-        kind == "person", F.concat(title, F.element_at(F.split(to, "/"), -1))).otherwise(to)
+        kind == "person", F.concat(title, names)).otherwise(to)
 
 
 def surrogates(entities: DataFrame, key: str, max_rounds: int = 50) -> DataFrame:
@@ -181,6 +211,10 @@ def replace(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key:
             ) -> DataFrame:
     """Every row, its text with surrogates, and ``entities``: (kind, surrogate) in text order.
 
+    A person is one to four name words after a title of ``TITLES``; a phone has a country code, or ten
+    digits, 3-3-4 or without separators. What looks otherwise stays: names without a title, national
+    numbers of other shapes, addresses, other ids.
+
     One entity has one surrogate in the whole table, in whichever spelling, and different
     entities have different ones; which they are depends on ``key`` alone, but for collisions. NULL
     texts stay NULL; texts without entities stay as they are, with an empty list. Rows alike in id and
@@ -194,11 +228,13 @@ def replace(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key:
     spots = cut(tagged.select(F.col(row).alias("row"), F.regexp_extract_all(
         text, F.lit(ANY), F.lit(0)).alias("m")).where(F.size("m") > 0).dropDuplicates(["row"]).select(
         "row", F.posexplode("m").alias("at", "match")).withColumn(
-        "kind", kind_of(F.col("match"))).withColumn("norm", norm_of(F.col("kind"), F.col("match"))))
+        "kind", kind_of(F.col("match"))).select("*", F.posexplode_outer(
+            norms_of(F.col("kind"), F.col("match"))).alias("part", "norm")))
     known = spots.where(F.col("kind").isNotNull())
     chosen = surrogates(known, key)
-    filled = spots.join(chosen, ["kind", "norm"], "left").withColumn(
-        "new", F.coalesce(render(F.col("kind"), F.col("match"), F.col("to")), F.col("match")))
+    filled = spots.join(chosen, ["kind", "norm"], "left").groupBy("row", "at", "kind", "match").agg(
+        F.array_sort(F.collect_list(F.struct("part", "to")))["to"].alias("tos")).withColumn(
+        "new", F.coalesce(render(F.col("kind"), F.col("match"), F.col("tos")), F.col("match")))
     per_row = filled.groupBy("row").agg(F.array_sort(F.collect_list(
         F.struct("at", "kind", "new"))).alias(found)).withColumnRenamed("row", row)
     out = tagged.join(per_row, row, "left")

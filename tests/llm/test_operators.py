@@ -60,6 +60,28 @@ def test_surrogates_are_consistent_distinct_and_in_format(spark):
     assert len(set(singles)) == 20 and not {f"10.20.30.{i}" for i in range(40)} & set(singles)
 
 
+def test_whole_names_and_other_phones_are_replaced(spark):
+    people = ["Mrs. Anna Miller", "Mrs. Miller", "Mr. Smith-Jones", "Mr. O'Brien", "Dr. Lee", "Prof. Dr. J. Weber",
+              "Herr von der Heide", "Mrs. Anna Miller-Lee's"]
+    phones = ["+44 20 7946 0958", "5551234567", "+49 (30) 1234567", "+33 1 23 45 67 89", "555-123-4567"]
+    rows = [(0, "; ".join(people + phones) + "; at 1700000000 it took 12 s"), (1, "Ask Mr. Smith Mrs. Miller came")]
+    out = {r["doc_id"]: r for r in pii.replace(spark.createDataFrame(rows, DOCS), key="k").collect()}
+    assert [e["kind"] for e in out[0]["entities"]] == ["person"] * 8 + ["phone"] * 5
+    new = out[0]["text"].split("; ")
+    for part in ("Anna", "Miller", "Smith", "Jones", "Brien", "Lee", "Weber", "Heide"):
+        assert not any(re.search(rf"\b{part}\b", x) for x in new[:8]), (part, new)
+    first, last = new[0].removeprefix("Mrs. ").split(" ")
+    assert new[1] == f"Mrs. {last}" and new[7].startswith(f"Mrs. {first} ") and new[7].endswith("'s")
+    assert new[2].startswith("Mr. ") and new[3].startswith("Mr. ") and new[4].startswith("Dr. ")
+    assert re.fullmatch(r"Prof\. Dr\. \p{0}\. \p{0}[a-z]+".replace(r"\p{0}", "[A-Z]"), new[5])
+    assert new[6].startswith("Herr von der ")
+    for old, now in zip(phones, new[8:13], strict=True):
+        assert old != now and re.sub(r"\d", "0", old) == re.sub(r"\d", "0", now)
+    assert re.sub(r"\D", "", new[9]) == re.sub(r"\D", "", new[12])
+    assert new[13] == "at 1700000000 it took 12 s"
+    assert [e["kind"] for e in out[1]["entities"]] == ["person"] * 2 and f"Mrs. {last} came" in out[1]["text"]
+
+
 def test_colliding_draws_are_drawn_again(spark):
     names = [("person", f"male/latin/N{i}") for i in range(60)] + [("person", "male/latin/Hugo")]
     got = pii.surrogates(spark.createDataFrame(names, "kind string, norm string"), "k").collect()
