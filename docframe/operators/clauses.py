@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field as dc_field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, text as tx
@@ -196,7 +196,10 @@ class _Standard:
     def sequence(self, words, slop: int = 0, prefix: bool = False) -> Column:
         there = all_of([self.text.contains(w) for w in dict.fromkeys(words)])
         if slop:
-            return there & _in_order(tx.tokens(self.field), words, slop)
+            # each gap may hold ``slop`` words: two words need no more, others rule most rows out
+            gap = f"{self.sep}(?:{IN_TOKEN}+{self.sep}){{0,{slop}}}"
+            near = there & self.pattern(words, gap.join(words), False)
+            return near if len(words) == 2 else near & _in_order(tx.tokens(self.field), words, slop)
         return there & self.pattern(words, self.sep.join(words), prefix)
 
     def starting(self, word: str) -> Column:
@@ -461,6 +464,8 @@ def edit_distance(c: Column, value: str, limit: int, transpositions: bool = True
     plain = within(value, limit)
     best = F.when(plain >= 0, plain)
     if transpositions and limit >= 1:
+        if limit > 2:
+            raise ValueError("transpositions are supported up to distance 2")
         once = _swaps(value)
         options = [best]
         for word in sorted(once):
@@ -471,12 +476,88 @@ def edit_distance(c: Column, value: str, limit: int, transpositions: bool = True
             twice = set().union(*[_swaps(w) for w in once | shorter]) if once else set()
             if twice:
                 options.append(F.when(c.isin(sorted(twice)), F.lit(2)))
-        if limit > 2:
-            raise ValueError("transpositions are supported up to distance 2")
-        best = F.least(*options) if len(options) > 1 else best
+        # a swap is two plain edits, so few terms get as far as the swaps
+        if len(options) > 1:
+            best = F.when(within(value, 2 * limit) >= 0, F.least(*options))
     return best
 
 
+def _cuts(word: Column, times: int) -> Column:
+    """The word and what is left of it when up to ``times`` characters are taken out."""
+    def once(w: Column) -> Column:
+        return F.when(F.length(w) > 0, F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(
+            F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))).otherwise(F.array().cast("array<string>"))
+
+    out = [F.array(word)]
+    if times >= 1:
+        out.append(once(word))
+    if times >= 2:
+        out.append(F.flatten(F.transform(once(word), once)))
+    return F.array_distinct(F.concat(*out))
+
+
+def _swapped(word: Column) -> Column:
+    return F.when(F.length(word) > 1, F.transform(
+        F.sequence(F.lit(1), F.length(word) - 1), lambda i: F.concat(
+            F.substr(word, F.lit(1), i - 1), F.substr(word, i + 1, F.lit(1)), F.substr(word, i, F.lit(1)),
+            F.substr(word, i + 2)))).otherwise(F.array().cast("array<string>"))
+
+
+def near_terms(vocabulary: DataFrame, term: str, queries: DataFrame, query: str, fuzziness: int | str = "auto",
+               prefix_length: int = 0, max_expansions: int | None = None, transpositions: bool = True
+               ) -> DataFrame:
+    """(query, term, distance): the distinct terms near each of many query terms, which may be as many
+    as there are.
+
+    Two words within n edits are equal once up to n characters are taken out of each, so both sides are
+    joined on what is left of them, and only pairs that meet are measured. Nothing is compared
+    with all terms. Distances go up to 2."""
+    most = 2 if str(fuzziness).lower() == "auto" else int(fuzziness)
+    if most > 2:
+        raise ValueError("many terms are supported up to distance 2")
+    size = F.length("query")
+    limit = F.when(size <= 2, 0).when(size <= 5, 1).otherwise(2) if str(
+        fuzziness).lower() == "auto" else F.lit(most)
+    asked = queries.select(F.col(query).alias("query")).where("query is not null").distinct()
+    terms = vocabulary.select(F.col(term).alias("term")).where("term is not null").distinct()
+    # only as many characters as the query's own limit allows
+    mine = asked.withColumn("limit", limit).withColumn("cut", F.explode(
+        F.when(F.col("limit") == 0, _cuts(F.col("query"), 0)).when(
+            F.col("limit") == 1, _cuts(F.col("query"), min(1, most))).otherwise(_cuts(F.col("query"), most))))
+    theirs = terms.withColumn("cut", F.explode(_cuts(F.col("term"), most)))
+    if prefix_length:
+        head = F.xxhash64("cut", F.substring("query", 1, prefix_length))
+        mine, theirs = mine.withColumn("cut", head), theirs.withColumn(
+            "cut", F.xxhash64("cut", F.substring("term", 1, prefix_length)))
+    else:
+        mine, theirs = (x.withColumn("cut", F.xxhash64("cut")) for x in (mine, theirs))
+    met = mine.join(theirs, "cut").where(
+        F.abs(size - F.length("term")) <= F.col("limit")).select("query", "term", "limit").distinct()
+    a, b = F.col("query"), F.col("term")
+    ways = [F.levenshtein(a, b)]
+    if transpositions:
+        ways += [1 + F.array_min(F.transform(_swapped(a), lambda w: F.levenshtein(w, b))),
+                 1 + F.array_min(F.transform(_swapped(b), lambda w: F.levenshtein(a, w))),
+                 F.when(F.arrays_overlap(_swapped(a), _swapped(b)), 2)]
+    shortest = F.least(*ways) if transpositions else ways[0]
+    found = met.withColumn("distance", shortest).where(F.col("distance") <= F.col("limit"))
+    if prefix_length:
+        found = found.where(F.substring("query", 1, prefix_length) == F.substring("term", 1, prefix_length))
+    if max_expansions is not None:
+        best = Window.partitionBy("query").orderBy("distance", "term")
+        found = found.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= max_expansions)
+    return found.select("query", "term", "distance")
+
+
+def fuzzy_hits(df: DataFrame, field: str, id: str, queries: DataFrame, query: str, fuzziness: int | str = "auto",
+               prefix_length: int = 0, max_expansions: int | None = None, transpositions: bool = True,
+               analyzer: str = "standard") -> DataFrame:
+    """(query, id, distance): the rows with a term near each query term, and the least distance."""
+    words = df.select(F.col(id).alias(id), F.explode(F.array_distinct(tx.ANALYZERS[analyzer](field))).alias("term"))
+    near = near_terms(words, "term", queries, query, fuzziness, prefix_length, max_expansions, transpositions)
+    return words.join(near, "term").groupBy("query", id).agg(F.min("distance").alias("distance"))
+
+
 def expand(
     df: DataFrame, field: str, value: str, fuzziness: int | str = "auto",
     prefix_length: int = 0, max_expansions: int | None = None, transpositions: bool = True,

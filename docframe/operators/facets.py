@@ -14,15 +14,14 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..functions.text import col
-from .clauses import Clause, any_of
+from .clauses import Clause
+from .running import running
 
 # Defaults of the facet parameters.
 PERCENTS = (1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0)
 TERMS_SIZE = 10
 SIGMA = 2.0
 PRECISION = 3000
-# Rows a percentile's bracket may hold before it is narrowed once more.
-BRACKET = 5_000_000
 
 
 def _value(field, missing=None) -> Column:
@@ -105,83 +104,32 @@ def metrics(df: DataFrame, query: Clause | None = None, **named: Column) -> Data
 
 
 def percentiles(df: DataFrame, field, percents: Sequence[float] = PERCENTS,
-                missing=None, accuracy: int = 10_000) -> DataFrame:
-    """Exact percentiles (linear interpolation) as rows (percent, value).
-
-    Each wanted rank is bracketed between two values, from a quantile sketch, and the rows
-    below and inside the bracket are counted; a bracket is only accepted if the rank is in
-    it, and narrowed again until few rows are left. Brackets are a handful of numbers, so
-    they come to the driver and go into the next scan as filters. Only rows inside them are
-    grouped and ranked: no task ever holds all distinct values.
+                missing=None, interpolate: bool = True) -> DataFrame:
+    """Exact percentiles as rows (percent, value): linear between the two ranks that surround
+    percent / 100 · (n - 1), or the value of rank ceil(percent / 100 · n) itself.
+
+    Distinct values with their counts are dealt to range partitions and get the number of rows below them
+    (``running``); a value is picked if a wanted rank falls on it. All of it is one plan: nothing
+    comes to the driver, whatever the data, and no task holds more than its range of distinct values.
     """
     v = df.select(_value(field, missing).cast("double").alias("v")).where(F.col("v").isNotNull())
-    n, lowest, highest = v.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
-    if n == 0:
-        return v.select(F.lit(0.0).alias("percent"), F.col("v").alias("value")).limit(0)
-    ranks = [p / 100 * (n - 1) for p in percents]
-    brackets = [(lowest, highest, 0, n)] * len(ranks)  # from, to, rows below, rows up to
-    margins = [2.0 / accuracy] * len(ranks)
-    todo = range(len(ranks))
-    while todo:
-        wanted = [(ranks[i], margins[i], *brackets[i]) for i in todo]
-        narrower = _narrow(v, wanted, accuracy)
-        again = []
-        for i, (lo, hi, below, upto) in zip(todo, narrower):
-            was = brackets[i][3] - brackets[i][2]
-            if below <= int(ranks[i]) and math.ceil(ranks[i]) < upto:
-                brackets[i] = (lo, hi, below, upto)
-            elif margins[i] < 1:  # missed it: keep the old bracket, look wider
-                margins[i] *= 8
-                again.append(i)
-                continue
-            now = brackets[i][3] - brackets[i][2]
-            if now > BRACKET and lo < hi and now <= was / 2:
-                again.append(i)
-        todo = again
-    low, high, below, _ = zip(*brackets)
-
-    within = [F.col("v").between(lo, hi) for lo, hi in zip(low, high)]
-    marks = F.array_compact(F.array(*[F.when(t, F.lit(i)) for i, t in enumerate(within)]))
-    near = v.where(any_of(within)).groupBy("v").agg(F.count(F.lit(1)).alias("c")).withColumn(
-        "i", F.explode(marks))
-
-    def at(values) -> Column:
-        return F.element_at(F.array(*[F.lit(x) for x in values]), F.col("i") + 1)
-
-    upto = F.sum("c").over(Window.partitionBy("i").orderBy("v"))
-    target = at(ranks)
-    placed = near.withColumns({"last": upto + at(below) - 1, "target": target}).withColumn(
-        "first", F.col("last") - F.col("c") + 1)
-    picked = placed.groupBy("i").agg(
-        F.max("target").alias("target"),
-        *[F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("v"))).alias(name)
-          for name, rank in (("lo", F.floor("target")), ("hi", F.ceil("target")))])
-    part = F.col("target") - F.floor("target")
-    return picked.select(
-        at([float(p) for p in percents]).alias("percent"),
-        (F.col("lo") + (F.col("hi") - F.col("lo")) * part).alias("value"))
-
-
-def _narrow(v: DataFrame, wanted, accuracy: int) -> list[tuple]:
-    """Per (rank, margin, from, to, below, up to): a narrower bracket and its two counts, exact."""
-    shares: dict[tuple, list[float]] = {}  # per distinct bracket: one sketch for all in it
-    places = []
-    for rank, margin, lo, hi, below, upto in wanted:
-        share = (rank - below) / max(1, upto - below - 1)
-        mine = shares.setdefault((lo, hi), [])
-        places.append(((lo, hi), len(mine)))
-        mine += [max(0.0, share - margin), min(1.0, share + margin)]
-    cells = [
-        F.percentile_approx(F.when(F.col("v").between(lo, hi), F.col("v")), mine, accuracy)
-        for (lo, hi), mine in shares.items()
-    ]
-    found = dict(zip(shares, v.agg(*cells).first()))
-    edges = [key if found[key] is None else tuple(found[key][i: i + 2]) for key, i in places]
-    counts = v.agg(
-        *[F.count(F.when(F.col("v") < lo, F.lit(1))) for lo, _ in edges],
-        *[F.count(F.when(F.col("v") <= hi, F.lit(1))) for _, hi in edges]).first()
-    k = len(edges)
-    return [(lo, hi, counts[i], counts[k + i]) for i, (lo, hi) in enumerate(edges)]
+    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    placed = running(counts, ["v"], {"c": "below"})
+    n = counts.agg(F.sum("c").alias("n")).scalar()
+    ranks = [F.lit(p / 100) * (n - 1) if interpolate else F.greatest(
+        F.lit(0.0), F.ceil(F.lit(p / 100) * n) - 1.0) for p in percents]
+
+    def on(r: Column) -> Column:
+        return (r >= F.col("below")) & (r < F.col("below") + F.col("c"))
+
+    met = F.array_compact(F.array(*[
+        F.when(on(F.floor(r)) | on(F.ceil(r)), F.struct(F.lit(float(p)).alias("percent"), r.alias("rank")))
+        for p, r in zip(percents, ranks, strict=True)]))
+    low, high = F.floor("rank"), F.ceil("rank")
+    picked = placed.select("*", F.inline(met)).groupBy("percent", "rank").agg(
+        F.max(F.when(on(low), F.col("v"))).alias("lo"), F.max(F.when(on(high), F.col("v"))).alias("hi"))
+    part = F.col("rank") - low
+    return picked.select("percent", (F.col("lo") + (F.col("hi") - F.col("lo")) * part).alias("value"))
 
 
 def approx_percentiles(df: DataFrame, field, percents: Sequence[float] = PERCENTS,

@@ -29,6 +29,10 @@ def get_missing(ids: DataFrame, docs: DataFrame, key: str) -> DataFrame:
         _asked(docs.select(key), key, ids, key), key, "left_anti")
 
 
+# Parts that a key's matches are cut into before the best are taken.
+SALTS = 64
+
+
 @dataclass(frozen=True)
 class Lookup:
     """Rows of ``other`` whose ``right`` equals this row's ``left``, as a list ``name``."""
@@ -47,22 +51,24 @@ def lookup(df: DataFrame, step: Lookup) -> DataFrame:
     """Adds ``name`` (the matches, sorted; the first ``size`` if a size is named) and
     ``name_total``.
 
-    Only rows that some row asks for take part. They are numbered and counted in one pass over
-    the key's rows, and the first ones gathered before the join. Without a size a list is as long
-    as its key has matches; ``lookup_rows`` gives them as rows.
+    Only rows that some row asks for take part. One key may have any share of them: its matches are counted by partial
+    sums, and with a size the best of each of ``SALTS`` parts of a key are taken first, so no window sees a whole
+    key. Without a size a list is as long as its key has matches; ``lookup_rows`` gives them as rows.
     """
     k, total = f"_{step.name}_key", f"{step.name}_total"
-    rows = _asked(step.other, step.right, df, step.left)
-    own = Window.partitionBy(step.right)
-    numbered = rows.select(
-        F.col(step.right).alias(k), F.struct(*step.select).alias("_v"),
-        F.row_number().over(own.orderBy(*sort_columns(step.sort, step.tie))).alias("_rn"),
-        F.count(F.lit(1)).over(own).alias("_n"))
+    rows = _asked(step.other, step.right, df, step.left).withColumn(k, F.col(step.right))
+    order = sort_columns(step.sort, step.tie)
+    counted = rows.groupBy(k).agg(F.count(F.lit(1)).alias("_n"))
+    if step.size is not None:
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(step.tie), F.lit(SALTS)))
+        part = Window.partitionBy(k, "_salt").orderBy(*order)
+        rows = salted.withColumn("_rn", F.row_number().over(part)).where(F.col("_rn") <= step.size)
+    numbered = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(k).orderBy(*order))).select(
+        k, "_rn", F.struct(*step.select).alias("_v"))
     if step.size is not None:
         numbered = numbered.where(F.col("_rn") <= step.size)
-    found = numbered.groupBy(k).agg(
-        F.array_sort(F.collect_list(F.struct("_rn", "_v"))).alias("_l"),
-        F.max("_n").alias("_n")).select(k, "_n", F.transform("_l", lambda x: x["_v"]).alias("_page"))
+    lists = numbered.groupBy(k).agg(F.array_sort(F.collect_list(F.struct("_rn", "_v"))).alias("_l"))
+    found = counted.join(lists, k).select(k, "_n", F.transform("_l", lambda x: x["_v"]).alias("_page"))
     joined = df.join(found, F.col(step.left) == F.col(k), "left").drop(k)
     kind = found.schema["_page"].dataType
     page = F.coalesce("_page", F.array().cast(kind))

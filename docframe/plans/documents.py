@@ -123,6 +123,63 @@ def schema_evolve(spark, sf):
                          F.lit("balance, name").alias("unchanged"), F.lit(note).alias("refused"))
 
 
+@query("schema_evolve_nested", """
+    SELECT event_id, event_type AS kind, user_id AS user, NULL::VARCHAR AS note, value AS x, NULL::VARCHAR AS y,
+           'o.user: bigint -> string; l.x: double -> boolean' AS refused FROM events
+    UNION ALL
+    SELECT -event_id, event_type, NULL, 'n' || event_id, NULL, 'new',
+           'o.user: bigint -> string; l.x: double -> boolean' FROM events""")
+def schema_evolve_nested(spark, sf):
+    """An object and a list of objects gain a field; one field of each changed its type and is refused."""
+    rows = read(spark, sf, "events")
+    old = rows.select("event_id", F.struct(F.col("event_type").alias("kind"), F.col("user_id").alias("user")).alias("o"),
+                      F.array(F.struct(F.col("value").alias("x"))).alias("l"))
+    new = rows.select(
+        (-F.col("event_id")).alias("event_id"),
+        F.array(F.struct(F.lit("new").alias("y"), F.lit(True).alias("x"))).alias("l"),
+        F.struct(F.concat(F.lit("n"), F.col("event_id").cast("string")).alias("note"),
+                 F.col("event_type").alias("kind"), F.col("user_id").cast("string").alias("user")).alias("o"))
+    merged, refused = ingest.evolve(old, new)
+    note = "; ".join(f"{f}: {a} -> {b}" for f, a, b in refused)
+    return merged.select("event_id", "o.kind", "o.user", "o.note", F.col("l")[0]["x"].alias("x"),
+                         F.col("l")[0]["y"].alias("y"), F.lit(note).alias("refused"))
+
+
+DEEP = Spec("deep_event", (
+    Field("event_id", "long"),
+    Field("o", "object", None, fields=(
+        Field("kind", alias="event_type", allowed=("click", "view", "error", "signup")), Field("user", "long", gt=10))),
+    Field("l", "nested", None, fields=(Field("x", "double", None, lt=250), Field("y"))),
+    Field("ns", "integer", None, many=True, ge=0),
+), id_field="event_id")
+
+
+@query("reject_reasons_nested", """
+    WITH r AS (SELECT event_id, [x FOR x IN [
+        CASE WHEN event_id % 11 <> 0 AND event_type NOT IN ('click', 'view', 'error', 'signup')
+             THEN 'o.kind: not allowed' END,
+        CASE WHEN event_id % 11 <> 0 AND event_id % 5 = 0 THEN 'o.user: type' END,
+        CASE WHEN event_id % 11 <> 0 AND event_id % 5 <> 0 AND user_id <= 10 THEN 'o.user: not > 10' END,
+        CASE WHEN event_id % 7 = 0 THEN 'l.x: type' END,
+        CASE WHEN event_id % 3 = 0 THEN 'l.y: missing' END,
+        CASE WHEN event_id % 7 <> 0 AND value >= 250 THEN 'l.x: not < 250' END,
+        CASE WHEN event_id % 13 = 0 THEN 'ns: type' END,
+        CASE WHEN event_id % 17 = 0 THEN 'ns: not >= 0' END] IF x IS NOT NULL] AS reasons FROM events)
+    SELECT reason, count(*) AS n FROM (SELECT unnest(reasons) AS reason FROM r) GROUP BY 1""")
+def reject_reasons_nested(spark, sf):
+    """Broken values inside an object, a list of objects and a list of numbers."""
+    at, v = F.col("event_id"), F.col("value")
+    rows = read(spark, sf, "events").select(
+        at, F.when(at % 11 != 0, F.struct("event_type", F.when(at % 5 == 0, F.lit("u1")).otherwise(
+            F.col("user_id").cast("string")).alias("user"))).alias("o"),
+        F.array(F.struct(F.lit("1").alias("x"), F.lit("y").alias("y")), F.struct(
+            F.when(at % 7 == 0, F.lit("1 EUR")).otherwise(v.cast("string")).alias("x"),
+            F.when(at % 3 != 0, F.lit("y")).alias("y"))).alias("l"),
+        F.array(F.lit("1"), F.when(at % 13 == 0, F.lit("x")).otherwise(F.lit("2")),
+                F.when(at % 17 == 0, F.lit("-1"))).alias("ns"))
+    return ingest.reject_reasons(ingest.validate(rows, DEEP))
+
+
 @query("conform", """
     SELECT event_id, ts, user_id::DECIMAL(20, 0)::VARCHAR AS user_id,
            coalesce(trim(nullif(event_type, 'view') || '  '), 'other') AS kind,

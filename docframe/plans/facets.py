@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..operators import clauses as c
 from ..operators import facets as f
+from ..operators import sketches as sk
+from ..operators.running import range_table, running
+from ..sources.lineage import stored
 from ..sources.tables import read
 from .registry import query
 
@@ -126,6 +131,109 @@ def agg_percentiles_approx(spark, sf):
         for i, p in enumerate(f.PERCENTS)])))
 
 
+PERCENTS_SQL = "[0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]"
+PERCENT_ROWS = "unnest([1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0])::DOUBLE AS percent"
+
+
+@query("agg_percentiles_hdr", f"""
+    SELECT o_orderpriority AS priority, {PERCENT_ROWS},
+           unnest([round(x, 2) FOR x IN quantile_disc(o_totalprice, {PERCENTS_SQL})]) AS exact, true AS close
+    FROM orders GROUP BY 1""")
+def agg_percentiles_hdr(spark, sf):
+    """Histograms per day of order, merged into priorities: every percentile is within half a thousandth."""
+    orders, digits = read(spark, sf, "orders"), 3
+    daily = sk.hdr_histogram(orders, "o_totalprice", ["o_orderdate", "o_orderpriority"], digits)
+    found = sk.hdr_percentiles(sk.hdr_merge(daily, ["o_orderpriority"]), f.PERCENTS, ["o_orderpriority"])
+    exact = _exact_per_priority(orders)
+    error = F.abs(F.col("value") - F.col("exact")) / F.abs(F.col("exact"))
+    return exact.join(found, ["o_orderpriority", "percent"]).select(
+        F.col("o_orderpriority").alias("priority"), "percent", F.round("exact", 2).alias("exact"),
+        (error <= 0.5 * 10 ** -digits).alias("close"))
+
+
+def _exact_per_priority(orders):
+    """The values of rank ceil(percent / 100 · n), from the number of rows below each."""
+    cells = orders.groupBy("o_orderpriority", "o_totalprice").agg(F.count(F.lit(1)).alias("n"))
+    placed = running(cells, ["o_orderpriority", "o_totalprice"], {"n": "below"})
+    of = cells.groupBy("o_orderpriority").agg(F.sum("n").alias("all"))
+    starts = placed.groupBy("o_orderpriority").agg(F.min("below").alias("start"))
+    wanted = of.join(starts, "o_orderpriority").withColumn("percent", F.explode(F.array(*[
+        F.lit(p) for p in f.PERCENTS])))
+    rank = F.col("start") + F.ceil(F.col("percent") / 100 * F.col("all"))
+    return placed.join(wanted, "o_orderpriority").where(
+        (rank > F.col("below")) & (rank <= F.col("below") + F.col("n"))).select(
+        "o_orderpriority", "percent", F.col("o_totalprice").alias("exact"))
+
+
+@query("agg_percentiles_tdigest", f"""
+    SELECT percent, n, true AS close
+    FROM (SELECT count(*) AS n FROM orders), (SELECT {PERCENT_ROWS})""")
+def agg_percentiles_tdigest(spark, sf):
+    """Digests per day of order, merged: each value's rank is within 4π·sqrt(q(1-q)) / compression."""
+    orders = read(spark, sf, "orders")
+    daily = sk.tdigest(orders, "o_totalprice", ["o_orderdate"])
+    rows = sk.tdigest_percentiles(sk.tdigest_merge(daily), f.PERCENTS)
+    found = rows.agg(F.array_sort(F.collect_list(F.struct("percent", "value"))).alias("l")).scalar()
+    v, cells = F.col("o_totalprice"), []
+    for i, p in enumerate(f.PERCENTS):
+        x = F.get(found, F.lit(i))["value"]
+        cells += [F.count(F.when(v < x, 1)).alias(f"below{i}"), F.count(F.when(v <= x, 1)).alias(f"upto{i}")]
+    counts = orders.agg(F.count(v).alias("n"), *cells)
+
+    def close(i: int, q: float):
+        slack = F.col("n") * (4 * math.pi * math.sqrt(q * (1 - q)) / sk.COMPRESSION) + 1
+        return (F.col(f"below{i}") <= F.col("n") * q + slack) & (F.col(f"upto{i}") >= F.col("n") * q - slack)
+
+    return counts.select(F.inline(F.array(*[F.struct(
+        F.lit(p).alias("percent"), F.col("n"), close(i, p / 100).alias("close"))
+        for i, p in enumerate(f.PERCENTS)])))
+
+
+@query("agg_rollup", """
+    SELECT year(o_orderdate)::INT AS year, count(*) AS n, count(DISTINCT o_custkey) AS customers,
+           true AS customers_close, true AS median_close
+    FROM orders GROUP BY 1""")
+def agg_rollup(spark, sf):
+    """Sketches per day, stored, and merged into years: distinct customers within three standard
+    errors, the median's rank within two hundredths."""
+    orders = read(spark, sf, "orders")
+    daily = stored(orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), f.distinct_sketch("o_custkey").alias("who"),
+        f.percentile_sketch("o_totalprice").alias("price")))
+    yearly = sk.roll_up(daily.withColumn("year", F.year("day")), ["year"], ["price"], ["who"], ["n"]).select(
+        "year", "n", sk.sketched_distinct("who").alias("who"), sk.sketched_percentile("price", 50).alias("median"))
+    rows = orders.select(F.year("o_orderdate").alias("year"), "o_custkey", "o_totalprice").join(
+        yearly.select("year", "median"), "year")
+    exact = rows.groupBy("year").agg(
+        F.count_distinct("o_custkey").alias("customers"),
+        F.avg((F.col("o_totalprice") <= F.col("median")).cast("int")).alias("share"))
+    # the sketch has 2^12 registers
+    return yearly.join(exact, "year").select(
+        "year", "n", "customers", (F.abs(F.col("who") - F.col("customers")) <= F.ceil(
+            3 * 1.04 / 64 * F.col("customers"))).alias("customers_close"),
+        (F.abs(F.col("share") - 0.5) <= 0.02 + 1 / F.col("n")).alias("median_close"))
+
+
+@query("agg_range_table", """
+    WITH r AS (SELECT o_orderkey, o_totalprice * 0.3 AS low, o_totalprice * 0.3 + o_custkey AS high
+               FROM orders),
+    v AS (SELECT l_extendedprice AS v, count(*) AS n, sum(l_quantity::BIGINT)::BIGINT AS q FROM lineitem GROUP BY 1),
+    e AS (SELECT v, n, q, 1 AS kind FROM v UNION ALL SELECT low, 0, 0, 0 FROM r UNION ALL SELECT high, 0, 0, 0 FROM r),
+    p AS (SELECT v, kind, sum(n) OVER w AS n, sum(q) OVER w AS q FROM e
+          WINDOW w AS (ORDER BY v, kind RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    d AS (SELECT DISTINCT v, n, q FROM p WHERE kind = 0)
+    SELECT o_orderkey AS key, (b.n - a.n)::BIGINT AS doc_count, (b.q - a.q)::BIGINT AS quantity
+    FROM r JOIN d a ON r.low = a.v JOIN d b ON r.high = b.v""")
+def agg_range_table(spark, sf):
+    """A range of prices per order, all of them overlapping: the lines in it and their quantity."""
+    orders = read(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("key"), (F.col("o_totalprice") * 0.3).alias("from"),
+        (F.col("o_totalprice") * 0.3 + F.col("o_custkey")).alias("to"))
+    lines = _lines(spark, sf).withColumn("q", F.col("l_quantity").cast("long"))
+    return range_table(lines, "l_extendedprice", orders, sums=["q"]).select(
+        "key", "doc_count", F.col("sum_q").alias("quantity"))
+
+
 @query("agg_terms", """
     SELECT l_partkey AS key, count(*) AS doc_count FROM lineitem
     GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")

@@ -181,6 +181,29 @@ def f_fuzzy_swap(spark, sf):
         "term", F.col("distance").cast("long").alias("distance"))
 
 
+FUZZY_TERMS = f"""v AS (SELECT DISTINCT unnest(t) AS term FROM ({DOCS})),
+    q AS (SELECT query FROM (SELECT DISTINCT substr(term, 1, 2) || substr(term, 4, 1) || substr(term, 3, 1)
+              || substr(term, 5) AS query FROM v WHERE length(term) >= 5) ORDER BY md5(query), query LIMIT 1000),
+    near AS (SELECT query, term, damerau_levenshtein({CHARS}, {CHARS.replace("term", "query")}) AS distance
+             FROM q JOIN v ON abs(length(term) - length(query)) <= CASE WHEN length(query) <= 5 THEN 1 ELSE 2 END
+             WHERE distance <= CASE WHEN length(query) <= 5 THEN 1 ELSE 2 END)"""
+
+
+@query("f_fuzzy_terms", f"""
+    WITH {FUZZY_TERMS}
+    SELECT query, count(*) AS n_terms, sum(distance)::BIGINT AS distances, min(term) AS first_term
+    FROM near GROUP BY 1""")
+def f_fuzzy_terms(spark, sf):
+    """A thousand misspelt terms, each with a swap, and the vocabulary near them."""
+    words = documents(spark, sf).select(F.explode(F.array_distinct(tx.tokens("text"))).alias("term")).distinct()
+    t = F.col("term")
+    made = words.where(F.length(t) >= 5).select(F.concat(
+        F.substring(t, 1, 2), F.substring(t, 4, 1), F.substring(t, 3, 1), F.substr(t, F.lit(5))).alias("query"))
+    asked = made.distinct().orderBy(F.md5("query"), "query").limit(1000)
+    return c.near_terms(words, "term", asked, "query").groupBy("query").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.sum("distance").alias("distances"), F.min("term").alias("first_term"))
+
+
 @query("f_match_fuzzy", f"""
     WITH docs AS ({DOCS}),
     a AS (SELECT list(term) AS l FROM {_vocabulary_sql(

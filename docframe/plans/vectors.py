@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from ..operators import clauses as c
 from ..operators import ranking as r
 from ..operators import vectors as v
 from ..operators.paging import numbered
+from ..sources.lineage import shared_folder, stored
 from ..sources.tables import read
 from .ranking import bm25_sql
 from .registry import query
@@ -102,6 +104,24 @@ def knn_lsh(spark, sf):
         F.count(F.lit(1)).alias("wanted"), (F.count("hit") >= 8).alias("found_most"))
 
 
+@query("knn_cells", "SELECT 50 AS queries, 10 AS k, true AS recall_reached")
+def knn_cells(spark, sf):
+    """Fifty of the vectors as queries (least hashes of their ids): ten nearest from the nearest cells, at least
+    nine in ten of those that the exact search finds."""
+    vectors = read(spark, sf, "embeddings")
+    path = f"{shared_folder(spark)}/cells-{uuid.uuid4().hex}"
+    v.write_cells(vectors, path, "embedding", v.fit_cells(vectors, "embedding", 24))
+    asked = stored(vectors.select(F.col("vec_id").alias("query"), F.col("embedding").alias("x")).orderBy(
+        F.md5(F.col("query").cast("string")), "query").limit(50))
+    budget = int(vectors.count() * 0.65)  # these vectors have next to no clusters
+    near = v.knn_cells_batch(spark, path, "embedding", "vec_id", asked, "query", "x", 10, budget)
+    exact = v.knn_batch(vectors, "embedding", "vec_id", asked, "query", "x", 10)
+    both = exact.join(near.select("query", "vec_id", F.lit(1).alias("hit")), ["query", "vec_id"], "left")
+    return both.agg(
+        F.count_distinct("query").alias("queries"), F.max("rank").cast("int").alias("k"),
+        (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"))
+
+
 @query("hybrid_search", f"""
     WITH {bm25_sql("documents", "doc_id", "text", ["erth", "the"], "b")},
     h AS (SELECT doc_id, sum(s) AS s FROM b GROUP BY 1),

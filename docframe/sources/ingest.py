@@ -82,48 +82,93 @@ def conform(df: DataFrame, spec: Spec) -> DataFrame:
     return df.select(*[c for c in df.columns if c in SYSTEM], *cols)
 
 
-def _reasons(df: DataFrame, spec: Spec) -> list[Column]:
-    out = []
-    for f in spec.fields:
-        name = _source(df, f)
-        value = typed(df, f)
-        if name is not None and f.kind not in STRINGS:
-            out.append(F.when(F.col(name).isNotNull() & value.isNull(), F.lit(f"{f.name}: type")))
-        if f.required:
-            gone = F.lit(True) if name is None else F.col(name).isNull()
-            out.append(F.when(gone, F.lit(f"{f.name}: missing")))
-        out += _rule_reasons(f, f.name, value)
-    return out
+def _flat(reasons: list[Column]) -> Column:
+    return F.flatten(F.array_compact(F.array(F.array().cast("array<string>"), *reasons)))
 
 
-def _some_broken(value: Column, test, part: str | None = None) -> Column:
-    return F.exists(value, lambda x: F.coalesce(~test(x[part] if part else x), F.lit(False)))
+def _reasons(df: DataFrame, f: Field) -> Column:
+    """Everything that is wrong with a declared field, as an array."""
+    name = _source(df, f)
+    raw = None if name is None else F.col(name)
+    return _flat(_checks(f, f.name, raw, None if name is None else df.schema[name].dataType, F.lit(True)))
 
 
-def _rule_reasons(f: Field, path: str, value: Column) -> list[Column]:
-    if f.kind == "object":
-        return [r for sub in f.fields for r in _rule_reasons(
-            sub, f"{path}.{sub.name}", value[sub.name])]
-    if f.kind == "nested":
-        out = []
-        for sub in f.fields:
-            for reason, test in sub.rules():
-                out.append(F.when(_some_broken(value, test, sub.name),
-                                  F.lit(f"{path}.{sub.name}: {reason}")))
-        return out
+def _checks(f: Field, path: str, raw: Column | None, have: T.DataType | None, there: Column) -> list[Column]:
+    """Arrays of reasons against one value, NULL where there are none. ``raw`` is None if the data lacks the
+    field; ``there`` tells whether what holds it is present. Objects and the elements of lists are checked in turn, so
+    a path names the innermost field; of a list's elements each distinct reason counts once."""
     out = []
-    for reason, test in f.rules():
+
+    def note(test: Column, what: str) -> None:
+        out.append(F.when(F.coalesce(test, F.lit(False)), F.array(F.lit(f"{path}: {what}"))))
+
+    gone = F.lit(True) if raw is None else raw.isNull()
+    fits = raw is None or _fits(f, have)
+    if not fits:
+        note(raw.isNotNull(), "type")
+    elif raw is not None and f.kind not in STRINGS and f.kind not in ("object", "nested"):
         if f.many:
-            bad = _some_broken(value, test)
+            one = replace(f, many=False)
+            note(F.exists(raw, lambda x: x.isNotNull() & _value(x, have.elementType, one).isNull()), "type")
+        elif f.kind == "dense_vector" and isinstance(have, T.ArrayType):
+            note(F.exists(raw, lambda x: _unread(x, "float")), "type")
+        elif f.kind == "geo_point" and isinstance(have, T.StructType):
+            note(_unread(raw["lat"], "double") | _unread(raw["lon"], "double"), "type")
         else:
-            bad = ~test(value)
-        out.append(F.when(bad, F.lit(f"{path}: {reason}")))
+            note(raw.isNotNull() & _value(raw, have, f).isNull(), "type")
+    if f.required:
+        note(there & gone, "missing")
+    if raw is None or not fits:
+        return out
+    if f.kind == "object":
+        return out + _inner(f, path, raw, have)
+    if f.kind == "nested":
+        return out + [F.array_distinct(F.flatten(F.transform(
+            raw, lambda x: _flat(_inner(f, path, x, have.elementType)))))]
+    value = _value(raw, have, f)
+    for what, test in f.rules():
+        note(F.exists(value, lambda x: F.coalesce(~test(x), F.lit(False))) if f.many else ~test(value), what)
+    return out
+
+
+def _fits(f: Field, have: T.DataType) -> bool:
+    """Whether the data's shape (object, list, single value) is the declared one."""
+    if f.kind == "nested":
+        return isinstance(have, T.ArrayType) and isinstance(have.elementType, T.StructType)
+    if f.kind == "object":
+        return isinstance(have, T.StructType)
+    if f.many or f.kind == "dense_vector":
+        return isinstance(have, T.ArrayType) and not isinstance(
+            have.elementType, (T.StructType, T.ArrayType, T.MapType))
+    if f.kind == "geo_point":
+        return not isinstance(have, T.StructType) or {"lat", "lon"} <= set(have.names)
+    return not isinstance(have, (T.StructType, T.ArrayType, T.MapType))
+
+
+def _unread(raw: Column, kind: str) -> Column:
+    return raw.isNotNull() & raw.try_cast(kind).isNull()
+
+
+def _inner(f: Field, path: str, raw: Column, have: T.StructType) -> list[Column]:
+    """The checks of an object's declared fields, and of fields it does not declare."""
+    out, known = [], set()
+    for sub in f.fields:
+        name = sub.stored if sub.stored in have.names else sub.name if sub.name in have.names else None
+        known.add(name)
+        out += _checks(sub, f"{path}.{sub.name}", None if name is None else raw[name],
+                       None if name is None else have[name].dataType, raw.isNotNull())
+    for name in have.names:
+        if name not in known:
+            out.append(F.when(F.coalesce(raw[name].isNotNull(), F.lit(False)),
+                              F.array(F.lit(f"{path}.{name}: unknown"))))
     return out
 
 
 def validate(df: DataFrame, spec: Spec) -> DataFrame:
-    """Adds ``_reasons``: every rule the row breaks, in declared order; empty when valid."""
-    return df.withColumn("_reasons", F.array_compact(F.array(*_reasons(df, spec))))
+    """Adds ``_reasons``: every rule the row breaks, in declared order, also inside objects and lists
+    (``a.b: what``); empty when valid. So a row without reasons loses no value when it is conformed."""
+    return df.withColumn("_reasons", F.concat(
+        F.array().cast("array<string>"), *[_reasons(df, f) for f in spec.fields]))
 
 
 def split_valid(df: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
@@ -143,11 +188,10 @@ def schema_report(df: DataFrame, spec: Spec) -> DataFrame:
     One pass over the table whatever the number of fields."""
     cells, rows = [F.count(F.lit(1)).alias("rows")], []
     for i, f in enumerate(spec.fields):
-        name, value = _source(df, f), typed(df, f)
+        name, reasons = _source(df, f), _reasons(df, f)
         absent = F.lit(True) if name is None else F.col(name).isNull()
-        uncast = F.lit(False) if name is None else F.col(name).isNotNull() & value.isNull()
-        broken = _rule_reasons(f, f.name, value)
-        outside = F.coalesce(*broken).isNotNull() if broken else F.lit(False)
+        uncast = F.exists(reasons, lambda r: r.endswith(": type"))
+        outside = F.exists(reasons, lambda r: ~r.endswith(": type") & (r != f"{f.name}: missing"))
         for tag, test in (("n", absent), ("t", uncast), ("d", outside)):
             cells.append(F.count(F.when(test, F.lit(1))).alias(f"{tag}{i}"))
         rows.append(F.struct(
@@ -162,14 +206,59 @@ def schema_report(df: DataFrame, spec: Spec) -> DataFrame:
 def evolve(old: DataFrame, new: DataFrame) -> tuple[DataFrame, list[tuple[str, str, str]]]:
     """Additive evolution: (old and new rows in one table, refused type changes).
 
-    New fields are null in old rows. A field whose type changed keeps its old type and is
-    left empty in the new rows; it is reported as (field, old type, new type).
+    Types are merged field by field, also inside objects and lists of objects: fields that only one side has are null in
+    the other's rows. A field whose type changed keeps its old type and is left empty in the new rows, with
+    everything around it kept; it is reported as (path, old type, new type). Names are matched without regard to case;
+    the old spelling stays.
     """
-    before, after = dict(old.dtypes), dict(new.dtypes)
-    refused = [(c, before[c], after[c]) for c in old.columns if c in after
-               and before[c] != after[c]]
-    kept = new.drop(*[c for c, _, _ in refused])
-    return old.unionByName(kept, allowMissingColumns=True), refused
+    refused: list[tuple[str, str, str]] = []
+    merged = _merged(old.schema, new.schema, "", refused)
+
+    def rows(df: DataFrame) -> DataFrame:
+        at = {c.lower(): c for c in df.columns}
+        return df.select(*[
+            (F.lit(None).cast(want.dataType) if want.name.lower() not in at else _rebuilt(
+                F.col(f"`{at[want.name.lower()]}`"), df.schema[at[want.name.lower()]].dataType, want.dataType)
+             ).alias(want.name) for want in merged])
+
+    return rows(old).unionByName(rows(new)), refused
+
+
+def _merged(a: T.DataType, b: T.DataType, path: str, refused: list) -> T.DataType:
+    """The old type with the new one's further fields; what cannot be merged stays and is noted."""
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        of = {f.name.lower(): f for f in b}
+        out = T.StructType()
+        for f in a:
+            other = of.pop(f.name.lower(), None)
+            kind = f.dataType if other is None else _merged(
+                f.dataType, other.dataType, f"{path}.{f.name}".lstrip("."), refused)
+            out.add(T.StructField(f.name, kind, True, f.metadata))
+        for f in of.values():
+            out.add(T.StructField(f.name, f.dataType, True, f.metadata))
+        return out
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(_merged(a.elementType, b.elementType, path, refused))
+    if a.simpleString() != b.simpleString():
+        refused.append((path, a.simpleString(), b.simpleString()))
+    return a
+
+
+def _rebuilt(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value in the merged type: objects and elements are rebuilt field by field, what has another type is NULL."""
+    if have.simpleString() == want.simpleString():
+        return value
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        at = {f.name.lower(): f for f in have}
+        return F.when(value.isNotNull(), F.struct(*[
+            (F.lit(None).cast(f.dataType) if f.name.lower() not in at else _rebuilt(
+                value[at[f.name.lower()].name], at[f.name.lower()].dataType, f.dataType)).alias(f.name)
+            for f in want]))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType) and (
+            isinstance(have.elementType, (T.StructType, T.ArrayType)) and type(have.elementType)
+            is type(want.elementType)):
+        return F.transform(value, lambda x: _rebuilt(x, have.elementType, want.elementType))
+    return F.lit(None).cast(want)
 
 
 def with_subfields(df: DataFrame, spec: Spec) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +25,11 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read again: compressed, and pruned by column."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

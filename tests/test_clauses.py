@@ -62,20 +62,56 @@ def test_phrase_and_slop(rows):
     assert ids(search(rows, c.match_phrase_prefix("text", "alpha be"))) == [1]
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.sampled_from("abcd"), max_size=12), st.lists(st.sampled_from("abc"), min_size=2,
-       max_size=3), st.integers(0, 4))
-def test_slop_pattern_against_brute_force(words, phrase, slop):
-    import itertools
-    import re
-
-    want = any(
-        all(words[i] == p for i, p in zip(pos, phrase))
-        and pos[-1] - pos[0] - (len(phrase) - 1) <= slop
-        for pos in itertools.combinations(range(len(words)), len(phrase)))
-    spaced = " " + " ".join(words) + " "
-    ways = c._slop_patterns(phrase, slop, " ", "[^ ]+")
-    assert any(re.search(f" {way} ", spaced) for way in ways) == want
+@pytest.mark.parametrize("analyzer", ["standard", "english"])
+@pytest.mark.parametrize("phrase,slop", [
+    ("x y", 0), ("x y", 1), ("x y", 3), ("x x", 2), ("x y z", 1), ("x y z", 2), ("x y x", 2), ("y x xx", 3),
+    ("z z z", 1)])
+def test_slop_against_brute_force(spark, analyzer, phrase, slop):
+    rng = random.Random(len(phrase) * 10 + slop)
+    docs = [[rng.choice(["x", "y", "z", "xx", "yx"]) for _ in range(rng.randrange(14))] for _ in range(300)]
+    df = spark.createDataFrame([(i, "".join(w + rng.choice([" ", ", ", "-"]) for w in words))
+                                for i, words in enumerate(docs)], "id int, text string")
+    wanted = phrase.split()
+
+    def holds(words):
+        return any(
+            all(words[i] == p for i, p in zip(pos, wanted)) and pos[-1] - pos[0] - (len(wanted) - 1) <= slop
+            for pos in itertools.combinations(range(len(words)), len(wanted)))
+
+    got = ids(search(df, c.match_phrase("text", phrase, analyzer=analyzer, slop=slop)))
+    assert got == [i for i, words in enumerate(docs) if holds(words)]
+
+
+@pytest.mark.parametrize("fuzziness,prefix,swaps", [("auto", 0, True), ("auto", 1, False), (2, 0, True), (1, 0, True),
+                                                    (2, 2, True), (0, 0, True)])
+def test_many_fuzzy_terms_against_brute_force(spark, fuzziness, prefix, swaps):
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choice("abé") for _ in range(rng.randrange(1, 9))) for _ in range(260)})
+    queries = sorted({"".join(rng.choice("abé") for _ in range(rng.randrange(1, 9))) for _ in range(60)})
+    df = spark.createDataFrame([(w,) for w in [*words, *words[:9], None]], "w string").repartition(3)
+    asked = spark.createDataFrame([(q,) for q in [*queries, queries[0], None]], "q string")
+    name = "damerau_levenshtein" if swaps else "levenshtein"
+    want = set()
+    con = duckdb.connect()
+    for q, w, d in con.execute(f"SELECT q, w, {name}(translate(q, 'é', 'e'), translate(w, 'é', 'e')) "
+                               "FROM (SELECT unnest(?) AS q), (SELECT unnest(?) AS w)", [queries, words]).fetchall():
+        limit = (0 if len(q) <= 2 else 1 if len(q) <= 5 else 2) if fuzziness == "auto" else fuzziness
+        if d <= limit and q[:prefix] == w[:prefix]:
+            want.add((q, w, d))
+    got = c.near_terms(df, "w", asked, "q", fuzziness, prefix, transpositions=swaps)
+    assert {tuple(r) for r in got.collect()} == want and len(want) >= 10
+    some = c.near_terms(df, "w", asked, "q", fuzziness, prefix, 2, swaps).collect()
+    best = {}
+    for q, w, d in sorted(want, key=lambda x: (x[0], x[2], x[1])):
+        best.setdefault(q, []).append((q, w, d))
+    assert {tuple(r) for r in some} == {x for found in best.values() for x in found[:2]}
+
+
+def test_fuzzy_hits_are_rows_with_a_near_term(spark):
+    df = spark.createDataFrame([(1, "red house"), (2, "huose hose"), (3, None), (4, "green")], "id int, text string")
+    asked = spark.createDataFrame([("house",), ("gren",)], "q string")
+    got = c.fuzzy_hits(df, "text", "id", asked, "q").collect()
+    assert sorted(map(tuple, got)) == [("gren", 4, 1), ("house", 1, 0), ("house", 2, 1)]
 
 
 def test_text_clauses_on_list_elements(spark):

@@ -226,3 +226,65 @@ def test_objects_conform_by_name(spark):
     assert [x.asDict() for x in r["l"]] == [{"x": 7, "y": "t"}]
     with pytest.raises(ValueError):
         ingest.conform(df.withColumn("o", F.col("o").withField("more", F.lit(1))), spec)
+
+
+DEEP = Spec("deep", (
+    Field("o", "object", None, fields=(
+        Field("n", "integer", gt=0), Field("p", "geo_point", None),
+        Field("in", "object", None, fields=(Field("s", "keyword", max_length=2), Field("d", "date", None))))),
+    Field("l", "nested", None, fields=(
+        Field("x", "long"), Field("t", "text", None, alias="tt"),
+        Field("k", "nested", None, fields=(Field("z", "double", ge=0),)))),
+    Field("xs", "long", None, many=True, ge=1), Field("v", "dense_vector", None, dims=2),
+))
+
+
+def test_values_inside_objects_and_lists_are_validated(spark):
+    schema = ("id int, o struct<n:string,p:struct<lat:string,lon:string>,`in`:struct<s:string,d:string>>, "
+              "l array<struct<x:string,tt:string,k:array<struct<z:string>>>>, xs array<string>, v array<string>")
+    rows = [
+        (0, None, None, None, None),
+        (1, ("1", ("1", "2"), ("ab", "2024-01-01")), [("1", "t", [("0.5",)])], ["1", None], ["1", "2.5"]),
+        (2, ("bad", None, None), [], [], None),
+        (3, (None, ("x", "2"), ("abc", "no")), None, ["1", "x"], ["1", "y"]),
+        (4, ("0", ("1", "200"), None), [("1", None, None), None, ("q", None, [("-1",), ("w",), (None,)]), ("r", None, [])],
+         ["0"], ["1"]),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    got = {r["id"]: r["_reasons"] for r in ingest.validate(df, DEEP).collect()}
+    assert got == {
+        0: [], 1: [], 2: ["o.n: type"],
+        3: ["o.n: missing", "o.p: type", "o.in.s: longer than 2", "o.in.d: type", "xs: type", "v: type"],
+        4: ["o.n: not > 0", "o.p: out of range", "l.x: type", "l.k.z: not >= 0", "l.k.z: type", "l.k.z: missing",
+            "xs: not >= 1", "v: not 2 dims"],
+    }
+    valid, rejected = ingest.split_valid(df.drop("id"), DEEP)
+    assert valid.count() == 2 and rejected.count() == 3
+    report = {r["field"]: (r["n_null"], r["n_uncast"], r["n_outside"])
+              for r in ingest.schema_report(df, DEEP).collect()}
+    assert report == {"o": (1, 2, 2), "l": (2, 1, 1), "xs": (1, 1, 1), "v": (2, 1, 1)}
+
+
+def test_shapes_that_do_not_fit_are_types(spark):
+    df = spark.createDataFrame([(1, [1], "a", [[1]])], "o int, l array<int>, xs string, v array<array<int>>")
+    checked = ingest.validate(df, DEEP).first()["_reasons"]
+    assert checked[:3] == ["o: type", "l: type", "xs: type"]
+    extra = spark.createDataFrame([((1, 5),), (None,)], "o struct<n:int,more:int>")
+    assert [r["_reasons"] for r in ingest.validate(extra, DEEP).collect()] == [["o.more: unknown"], []]
+
+
+def test_evolution_merges_objects_and_lists(spark):
+    old = spark.createDataFrame([(1, (1, "a", (1,)), [(1,), None], [1])],
+                                "id int, o struct<a:int,b:string,c:struct<d:int>>, l array<struct<x:int>>, p array<int>")
+    new = spark.createDataFrame(
+        [(2, (True, (2, "e"), 3), [("y", 5)], ["q"]), (3, None, None, None)],
+        "ID int, o struct<B:boolean,c:struct<d:int,e:string>,a:int>, l array<struct<y:string,x:int>>, p array<string>")
+    merged, refused = ingest.evolve(old, new)
+    assert refused == [("o.b", "string", "boolean"), ("p", "int", "string")]
+    assert merged.schema.simpleString() == (
+        "struct<id:int,o:struct<a:int,b:string,c:struct<d:int,e:string>>,l:array<struct<x:int,y:string>>,p:array<int>>")
+    got = {r["id"]: r.asDict(recursive=True) for r in merged.collect()}
+    assert got[1]["o"] == {"a": 1, "b": "a", "c": {"d": 1, "e": None}} and got[1]["l"] == [{"x": 1, "y": None}, None]
+    assert got[2]["o"] == {"a": 3, "b": None, "c": {"d": 2, "e": "e"}} and got[2]["l"] == [{"x": 5, "y": "y"}]
+    assert got[1]["p"] == [1] and got[2]["p"] is None
+    assert got[3]["o"] is None and got[3]["l"] is None

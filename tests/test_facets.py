@@ -1,5 +1,7 @@
 """Facets, paging, lookups: literal facts, invariants and brute force."""
 
+import bisect
+import math
 import random
 import statistics
 
@@ -10,8 +12,12 @@ from docframe.operators import facets as f
 from docframe.operators import lookup as lk
 from docframe.operators import paging as p
 from docframe.operators import ranking as r
+from docframe.operators import sketches as s
 from docframe.operators import clauses as c
 from docframe.operators import vectors as v
+from docframe.operators.running import range_table
+
+from conftest import plan
 
 
 @pytest.fixture(scope="module")
@@ -53,8 +59,7 @@ def test_missing_values_sort_last_both_ways(spark):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_percentiles_are_exact_whatever_the_distribution(spark, monkeypatch, seed):
-    monkeypatch.setattr(f, "BRACKET", 50)
+def test_percentiles_are_exact_whatever_the_distribution(spark, seed):
     rng = random.Random(seed)
     n = rng.choice([1, 7, 5_000])
     values = [rng.choice([lambda: rng.gauss(0, 1), lambda: 5.0, lambda: float(rng.randint(0, 9)),
@@ -65,12 +70,16 @@ def test_percentiles_are_exact_whatever_the_distribution(spark, monkeypatch, see
     df = spark.createDataFrame([(x,) for x in values] + [(None,)], "v double")
     wanted = [0, 1, 33.3, 50, 90, 99.9, 100]
     got = {x["percent"]: x["value"]
-           for x in f.percentiles(df, "v", wanted, accuracy=100).collect()}
+           for x in f.percentiles(df, "v", wanted).collect()}
     ordered = sorted(values)
     for q in wanted:
         at = q / 100 * (len(ordered) - 1)
         lo, hi = ordered[int(at)], ordered[min(int(at) + 1, len(ordered) - 1)]
         assert got[float(q)] == pytest.approx(lo + (hi - lo) * (at - int(at)), abs=1e-9)
+    near = {x["percent"]: x["value"] for x in f.percentiles(df, "v", wanted, interpolate=False).collect()}
+    for q in wanted:
+        assert near[float(q)] == ordered[max(0, math.ceil(q / 100 * len(ordered)) - 1)]
+    assert f.percentiles(df.where("v is null"), "v", wanted).collect() == []
 
 
 def test_percentiles_of_nothing(spark):
@@ -248,3 +257,77 @@ def test_ranks_and_deep_pages_over_several_keys(spark):
     last = want[10]
     after = p.page_after(df, sort, "id", (last[1], last[2], last[0]), 20).collect()
     assert [r["id"] for r in after] == [r[0] for r in want[11:31]]
+
+
+# ---- running totals, range tables, mergeable summaries
+
+
+def test_a_table_of_ranges_against_brute_force(spark):
+    rng = random.Random(3)
+    values = [(rng.choice([None, 7.0, 7.0, round(rng.uniform(0, 20), 1)]), rng.randint(1, 9)) for _ in range(3000)]
+    edges = [None, 7.0, *[round(rng.uniform(-2, 22), 1) for _ in range(30)]]
+    table = [(i, rng.choice(edges), rng.choice(edges), "own") for i in range(400)]
+    table += [table[0], (None, None, None, None)]
+    df = spark.createDataFrame(values, "v double, w long").repartition(5)
+    ranges = spark.createDataFrame(table, "key int, `from` double, `to` double, note string").repartition(3)
+    out = range_table(df, "v", ranges, sums=["w"])
+
+    def want(low, high):
+        inside = [w for v, w in values if v is not None and (low is None or v >= low) and (
+            high is None or v < high)]
+        return len(inside), sum(inside)
+
+    got = sorted(map(tuple, out.collect()), key=str)
+    assert got == sorted([(*r, *want(r[1], r[2])) for r in table], key=str)
+    assert "CartesianProduct" not in plan(out)
+    none = range_table(df.limit(0), "v", ranges, sums=["w"])
+    assert {(r["doc_count"], r["sum_w"]) for r in none.collect()} == {(0, 0)}
+    assert range_table(df, "v", ranges.limit(0)).collect() == []
+
+
+def test_a_hundred_thousand_overlapping_ranges(spark):
+    """All contain the middle, so joining rows with ranges would make two billion pairs."""
+    df = spark.range(20_000).select(F.col("id").cast("double").alias("v"))
+    ranges = spark.range(100_000).select("id", (10_000 - F.col("id") / 10).alias("from"),
+                                         (10_001 + F.col("id") / 10).alias("to"))
+    out = range_table(df, "v", ranges)
+    assert "NestedLoopJoin BuildRight, Inner, (" not in plan(out)
+    wrong = out.where(F.col("doc_count") != F.least(F.lit(20_000), F.ceil("to")) - F.greatest(
+        F.lit(0), F.ceil("from"))).count()
+    assert wrong == 0 and out.count() == 100_000
+
+
+def test_log_linear_buckets_are_within_their_error_and_merge(spark):
+    rng = random.Random(8)
+    values = [rng.choice([0.0, 1.0, -2.5, rng.lognormvariate(0, 6), -rng.lognormvariate(0, 6)]) for _ in range(4000)]
+    rows = [(i % 7, v) for i, v in enumerate(values)] + [(1, None), (2, float("nan"))]
+    df = spark.createDataFrame(rows, "day int, v double").repartition(4)
+    percents = [0, 1, 25, 50, 77.7, 99, 100]
+    daily = s.hdr_histogram(df, "v", ["day"], digits=3)
+    merged = {r["percent"]: r["value"] for r in s.hdr_percentiles(s.hdr_merge(daily), percents).collect()}
+    whole = {r["percent"]: r["value"] for r in s.hdr_percentiles(s.hdr_histogram(df, "v"), percents).collect()}
+    assert merged == whole and len(whole) == len(percents)
+    ordered = sorted(values)
+    for q, found in whole.items():
+        exact = ordered[max(0, math.ceil(q / 100 * len(ordered)) - 1)]
+        assert abs(found - exact) <= 0.5e-3 * abs(exact)
+    per_day = s.hdr_percentiles(daily, [50], ["day"]).collect()
+    assert {r["day"] for r in per_day} == set(range(7))
+
+
+def test_digests_merge_within_their_rank_error(spark):
+    rng = random.Random(9)
+    values = [rng.choice([5.0, rng.gauss(0, 1), rng.lognormvariate(0, 3)]) for _ in range(30_000)]
+    rows = [(None if i % 3 else i % 5, v) for i, v in enumerate(values)] + [(1, None), (1, float("nan"))]
+    df = spark.createDataFrame(rows, "day int, v double").repartition(6)
+    daily = s.tdigest(df, "v", ["day"])
+    assert daily.count() == 6
+    assert all(len(r["means"]) <= s.COMPRESSION / 2 + 2 for r in daily.collect())
+    ordered = sorted(values)
+    for digest in (s.tdigest(df, "v"), s.tdigest_merge(daily)):
+        for r in s.tdigest_percentiles(digest, [0, 0.1, 5, 50, 90, 99.9, 100]).collect():
+            q = r["percent"] / 100
+            slack = 4 * math.pi * math.sqrt(q * (1 - q)) / s.COMPRESSION * len(values) + 2
+            low, high = bisect.bisect_left(ordered, r["value"]), bisect.bisect_right(ordered, r["value"])
+            assert low - slack <= q * len(values) <= high + slack
+    assert s.tdigest_percentiles(s.tdigest(df.limit(0), "v"), [50]).collect() == []
