@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.lineage import cut
+from ..sources.lineage import stored
 
 BEFORE = (Window.unboundedPreceding, -1)
 
@@ -16,11 +16,11 @@ def running(df: DataFrame, order: Sequence[str], totals: Mapping[str, str]) -> D
     """Every row with the sum of each column (``totals``: column -> name) over the rows that sort
     before it.
 
-    Rows are dealt to partitions by ranges of ``order`` and pinned there by a checkpoint. Each partition is summed up
-    in one row; those few rows are scanned in order, and what lies before a partition is added to the sums inside it.
+    Rows are dealt to partitions by ranges of ``order`` and stored with their partition's number. Each partition is
+    summed up in one row; those few rows are scanned in order, and what lies before a partition is added to the sums inside it.
     Rows that are equal in ``order`` should be summed up before: they share a partition, and which of them comes first
     is not defined."""
-    parts = cut(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    parts = stored(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     zero = {c: F.lit(0).cast(parts.schema[c].dataType) for c in totals}
     per_part = parts.groupBy("_part").agg(*[F.sum(c).alias(f"_from_{c}") for c in totals])
     over_parts = Window.orderBy("_part").rowsBetween(*BEFORE)

@@ -18,14 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import ntz
+from ..sources import lineage
 from ..sources.lineage import cut
 from .clauses import Clause
 
 # Rows of one slice at most: op_order values are unique, so a slice of this many values
 # cannot hold more rows.
 SLICE = 100_000
-# Slices whose counts are added up together.
-RUN = 10_000
 # Error type of a failed condition, and the statuses of outcomes.
 CONFLICT = "version_conflict_engine_exception"
 STATUS = {"created": 201, "updated": 200, "deleted": 200, "not_found": 404, "conflict": 409}
@@ -46,16 +45,10 @@ def empty_state(ops: DataFrame) -> DataFrame:
 
 
 def prefix_sums(counts: DataFrame, slot: str, value: str, name: str) -> DataFrame:
-    """Adds the sum of ``value`` over smaller ``slot`` numbers. Slots are summed in runs of
-    RUN first; only the totals of the runs are scanned in one ordered pass."""
-    runs = counts.withColumn("_run", F.floor(F.col(slot) / RUN))
-    per_run = runs.groupBy("_run").agg(F.sum(value).alias("_t"))
-    over_runs = Window.orderBy("_run").rowsBetween(*BEFORE)
-    start = per_run.select("_run", F.coalesce(F.sum("_t").over(over_runs), F.lit(0)).alias("_s"))
-    inside = Window.partitionBy("_run").orderBy(slot).rowsBetween(*BEFORE)
-    return runs.join(start, "_run").withColumn(
-        name, F.col("_s") + F.coalesce(F.sum(value).over(inside), F.lit(0))
-    ).drop("_run", "_s")
+    """Adds the sum of ``value`` over smaller ``slot`` numbers, in one ordered pass: there is a row per
+    slot, and a slot stands for up to SLICE operations or for one in SLICE ids."""
+    before = Window.orderBy(slot).rowsBetween(*BEFORE)
+    return counts.withColumn(name, F.coalesce(F.sum(value).over(before), F.lit(0)))
 
 
 def outcomes(current: DataFrame, ops: DataFrame, next_no: int | None = None) -> DataFrame:
@@ -117,6 +110,8 @@ def outcomes(current: DataFrame, ops: DataFrame, next_no: int | None = None) ->
             "_nth_t": F.sum(number(F.col("_ok_t"))).over(own.rowsBetween(*UP_TO)),
         })
     )
+    rows = lineage.stored(rows)  # they are summed up and joined with the sums: worked out once
+
     def last_kind(kind: str) -> Column:
         return F.max(F.when(F.col(kind).isNotNull(), F.struct("op_order", kind)))[kind]
 

@@ -180,6 +180,33 @@ def reject_reasons_nested(spark, sf):
     return ingest.reject_reasons(ingest.validate(rows, DEEP))
 
 
+ORDER = Spec(
+    "order", (Field("o_orderkey", "long"), Field("o_custkey", "long"), Field("o_orderstatus", "keyword"),
+              Field("o_totalprice", "double", gt=0)),
+    id_expr=lambda: F.concat_ws("-", "o_custkey", "o_orderkey"),
+    routing_expr=lambda: F.col("o_orderstatus"),
+    computed={"cents": lambda: F.rint(F.col("o_totalprice") * 100).cast("long")})
+
+
+@query("sink_identity", """
+    SELECT o_custkey || '-' || o_orderkey AS _id, o_orderstatus AS _routing, o_totalprice AS price,
+           round(o_totalprice * 100)::BIGINT AS cents, false AS stored_computed, 20 AS made_length,
+           (SELECT count(*) FROM orders) AS n_made
+    FROM orders""")
+def sink_identity(spark, sf):
+    """Orders conformed, given computed ids and routes, written and read again; and how many different ids are made
+    where a spec has none."""
+    rows = ingest.conform(read(spark, sf, "orders").drop("o_orderdate", "o_orderpriority"), ORDER)
+    path = f"{shared_folder(spark)}/sink-{uuid.uuid4().hex}"
+    tables.write_routed(ORDER.with_routing(ORDER.with_id(rows)), path)
+    stored = spark.read.parquet(path)
+    made = Spec("bare", ORDER.fields).with_id(rows, position="o_orderkey").agg(
+        F.max(F.length("_id")).alias("made_length"), F.count_distinct("_id").alias("n_made"))
+    return ORDER.with_computed(stored).crossJoin(made).select(  # one row
+        "_id", F.col("_routing").cast("string").alias("_routing"), F.col("o_totalprice").alias("price"), "cents",
+        F.lit("cents" in stored.columns).alias("stored_computed"), "made_length", "n_made")
+
+
 @query("conform", """
     SELECT event_id, ts, user_id::DECIMAL(20, 0)::VARCHAR AS user_id,
            coalesce(trim(nullif(event_type, 'view') || '  '), 'other') AS kind,

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import clauses as c
 from ..operators import state
+from ..sources import snapshots
+from ..sources.lineage import shared_folder
 from ..sources.tables import read
 from ..streaming import watch as w
 from ..streaming import windows
@@ -88,6 +92,70 @@ def watch_throttle(spark, sf):
     return w.throttle(read(spark, sf, "events"), "event_type", "ts", "event_id", "6h")
 
 
+def _stream(spark, sf: str, name: str):
+    """A table's files as a stream. The path is a pattern: a table may be one file or a folder."""
+    shape = read(spark, sf, name).schema
+    return spark.readStream.schema(shape).parquet(f"{sf}/{name}.parque[t]")
+
+
+def _folder(spark) -> str:
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+
+
+@query("stream_throttle", """
+    WITH RECURSIVE e AS (
+        SELECT event_type, ts, min(event_id) AS event_id FROM events GROUP BY 1, 2),
+    f AS (
+        SELECT event_type, min(ts) AS ts FROM e GROUP BY 1
+        UNION ALL
+        SELECT f.event_type, (SELECT min(ts) FROM e WHERE e.event_type = f.event_type
+                              AND e.ts >= f.ts + INTERVAL 6 HOUR) FROM f WHERE f.ts IS NOT NULL)
+    SELECT event_type, ts, event_id FROM f JOIN e USING (event_type, ts)
+    WHERE ts <= (SELECT time_bucket(INTERVAL 1 MILLISECOND, max(ts)) FROM events) - INTERVAL 1 HOUR""")
+def stream_throttle(spark, sf):
+    """The events as a stream: what fires up to an hour before the last one, which is decided by then."""
+    root = _folder(spark)
+    fired = w.throttle_stream(_stream(spark, sf, "events"), "event_type", "ts", "event_id", "6h", "1 hour")
+    w.run(fired, w.index_action(root), f"{root}/checkpoint").awaitTermination()
+    return w.read_alerts(spark, root).select("event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
+
+
+@query("stream_alerts", """
+    SELECT event_id, user_id, value, 'user ' || user_id || ': event ' || event_id || ' at 100%' AS line
+    FROM events WHERE event_type = 'error' AND value >= 20""")
+def stream_alerts(spark, sf):
+    """A watch on the stream of events: alerts go to a table and to a log."""
+    root = _folder(spark)
+    hits = w.watch_input(_stream(spark, sf, "events"), c.bool_(
+        must=[c.term("event_type", "error"), c.range_("value", gte=20)]), ["event_id", "user_id", "value"])
+    index, log = w.index_action(root), w.logging_action(root, "user {user_id}: event {event_id} at 100%")
+
+    def act(batch, batch_id):
+        index(batch, batch_id)
+        log(batch, batch_id)
+
+    w.run(hits, act, f"{root}/checkpoint").awaitTermination()
+    lines = w.read_log(spark, root).select(
+        F.col("value").alias("line"), F.regexp_extract("value", r"event (\d+)", 1).cast("long").alias("event_id"))
+    return w.read_alerts(spark, root).join(lines, "event_id").select("event_id", "user_id", "value", "line")
+
+
+@query("stream_upsert", """
+    WITH o AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n,
+               row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS back FROM events)
+    SELECT user_id::VARCHAR AS _id, value, n AS _version, event_type FROM o JOIN events USING (event_id, user_id, value)
+    WHERE back = 1""")
+def stream_upsert(spark, sf):
+    """Events as writes of their users' rows, streamed into a versioned table."""
+    root = _folder(spark)
+    ops = _stream(spark, sf, "events").select(
+        F.col("event_id").alias("op_order"), F.lit("index").alias("op"), F.col("user_id").cast("string").alias("_id"),
+        "value", "event_type", F.lit(None).cast("long").alias("if_seq_no"),
+        F.lit(None).cast("long").alias("if_primary_term"))
+    w.run(ops, w.upsert_action(f"{root}/table"), f"{root}/checkpoint").awaitTermination()
+    return snapshots.read(spark, f"{root}/table").select("_id", "value", "_version", "event_type")
+
+
 @query("retention_purge", r"""
     SELECT doc_id, n_chars FROM (SELECT *, TIMESTAMP '2024-01-01' + INTERVAL 1 MINUTE * n_chars
                                  AS touched FROM documents)

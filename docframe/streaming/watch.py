@@ -17,6 +17,9 @@ from ..operators.ranking import search
 from ..sources import snapshots
 from ..sources.lineage import cut
 
+# The partition column of what actions write.
+BATCH = "batch_id"
+
 # Comparison names of conditions.
 COMPARE = {
     "eq": operator.eq, "not_eq": operator.ne, "gt": operator.gt, "gte": operator.ge,
@@ -222,22 +225,28 @@ def run(stream: DataFrame, act: Callable[[DataFrame, int], None], checkpoint: st
     return writer.start()
 
 
+def _batch_folder(root: str, name: str, batch_id: int) -> str:
+    return f"{root}/{name}/{BATCH}={batch_id}"
+
+
 def index_action(root: str, name: str = "watch"):
-    """Appends each batch of alerts to a table, once even if the batch is replayed."""
+    """Appends each batch of alerts to the table ``root/name``, a partition per batch number; a replayed batch
+    replaces its own, so alerts are in the table once."""
 
     def act(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{root}/{name}-{batch_id}")
+        batch.write.mode("overwrite").parquet(_batch_folder(root, name, batch_id))
 
     return act
 
 
 def read_alerts(spark, root: str, name: str = "watch") -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}-*")
+    """All alerts with the number of the batch that brought them."""
+    return spark.read.parquet(f"{root}/{name}")
 
 
-def logging_action(root: str, text: str):
-    """Appends one line per alert; ``text`` is a format string over the alert's columns."""
+def logging_action(root: str, text: str, name: str = "log"):
+    """Appends one line per alert to ``root/name``, as ``index_action`` does; ``text`` is a format string over
+    the alert's columns."""
 
     def act(batch: DataFrame, batch_id: int) -> None:
         names = [c for c in batch.columns if "{" + c + "}" in text]
@@ -246,31 +255,60 @@ def logging_action(root: str, text: str):
         for c in names:
             pattern = pattern.replace("{" + c + "}", "%s")
         line = F.format_string(pattern, *[F.col(c).cast("string") for c in names])
-        batch.select(line.alias("line")).write.mode("overwrite").text(f"{root}/log-{batch_id}")
+        batch.select(line.alias("line")).write.mode("overwrite").text(_batch_folder(root, name, batch_id))
 
     return act
 
 
-def throttled(root: str, key: str, ts: str, id: str, period: str, act):
-    """An action that only sees the alerts that fire; the last firing per key is kept as a
-    versioned table, so silence reaches over batches."""
+def read_log(spark, root: str, name: str = "log") -> DataFrame:
+    return spark.read.text(f"{root}/{name}")
 
-    def wrapped(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        done = snapshots.committed(spark, root, str(batch_id))
-        if done is None:
-            last = snapshots.read(spark, root)
-        else:  # a replay: the state already includes this batch, so take the one before
-            before = done["version"] - 1
-            last = snapshots.read(spark, root, before) if before else None
-        fired = cut(throttle(batch, key, ts, id, period, last))
-        act(fired, batch_id)
-        known = fired.select(key, ts)
-        if last is not None:
-            known = known.unionByName(last.select(key, ts))
-        snapshots.commit(known.groupBy(key).agg(F.max(ts).alias(ts)), root, str(batch_id))
-
-    return wrapped
+
+def throttle_stream(stream: DataFrame, key: str, ts: str, id: str, period: str, late: str) -> DataFrame:
+    """``throttle`` on a stream: (key, ts, id) of the alerts that fire, once no earlier alert can come any more.
+
+    ``late`` is how long the stream waits for late alerts; later ones are dropped. Per key the state holds the last firing
+    and the alerts that are not yet decided (one per moment, none inside the silence), at most what comes within ``late``. A timer decides them when
+    the watermark has passed them and drops a key that has been silent for the period. So state does not grow
+    with the keys ever seen, and a replayed batch fires what it fired before."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    wait = duration_micros(period)
+    rows = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        F.col(key).alias("k"), F.col(ts).cast("timestamp").alias("at"),
+        F.unix_micros(F.col(ts).cast("timestamp")).alias("t"), F.col(id).alias("id")).withWatermark("at", late)
+    kind = _ddl(rows, "id")
+
+    def decide(name, batches, held):
+        import pandas as pd
+
+        last, times, ids = held.get if held.exists else (None, [], [])
+        open_ = dict(zip(times, ids))
+        if not held.hasTimedOut:
+            for b in batches:
+                for t, i in zip(b["t"].tolist(), b["id"].tolist()):
+                    if t not in open_ or i < open_[t]:
+                        open_[t] = i
+        passed = held.getCurrentWatermarkMs() * 1000
+        fired = []
+        for t in sorted(open_):
+            if t > passed:
+                break
+            if last is None or t >= last + wait:
+                last = t
+                fired.append((name[0], t, open_[t]))
+        rest = sorted(t for t in open_ if t > passed and (last is None or t >= last + wait))
+        if rest or (last is not None and last + wait > passed):
+            held.update((last, rest, [open_[t] for t in rest]))
+            held.setTimeoutTimestamp((rest[0] if rest else last + wait) // 1000 + 1)
+        elif held.exists:
+            held.remove()
+        yield pd.DataFrame(fired, columns=["k", "t", "id"])
+
+    out = rows.groupBy("k").applyInPandasWithState(
+        decide, f"k {_ddl(rows, 'k')}, t bigint, id {kind}",
+        f"last bigint, times array<bigint>, ids array<{kind}>", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select(F.col("k").alias(key), F.timestamp_micros("t").alias(ts), F.col("id").alias(id))
 
 
 def purge_action(root: str, query: Clause, key: str = "_id"):

@@ -57,7 +57,6 @@ def random_case(rng, n_ops, n_ids, hot):
 @pytest.mark.parametrize("seed", range(4))
 def test_batch_equals_simulation_with_hot_ids_over_many_slices(spark, monkeypatch, seed):
     monkeypatch.setattr(s, "SLICE", 7)
-    monkeypatch.setattr(s, "RUN", 5)
     rng = random.Random(seed)
     stored, ops = random_case(rng, 220, 12, hot=0.4)
     current, batch = spark.createDataFrame(stored, STATE), spark.createDataFrame(ops, OPS)

@@ -56,22 +56,40 @@ def test_throttle_follows_a_hot_key_over_partitions(spark, seed):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_throttled_action_remembers_over_batches_and_replays(spark, tmp_path):
+def test_throttled_stream_equals_the_batch(spark, tmp_path):
+    """Alerts out of order, a late one, silent keys and a replayed batch."""
     rng = random.Random(9)
-    rows = [(f"k{rng.randint(0, 3)}", t, t) for t in sorted(rng.sample(range(5_000), 120))]
-    parts = [rows[:40], rows[40:80], rows[80:]]
-    seen = {}
+    rows = [(f"k{rng.randint(0, 3)}", t, t) for t in sorted(rng.sample(range(5_000), 150))]
+    rows += [("once", 40, 9_000), ("once", 40, 8_999), (None, 50, 1)]
+    rng.shuffle(rows)
+    rows.sort(key=lambda r: r[1] // 300)  # at most 300 seconds out of order
+    folder, out, point = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
+    schema = alerts(spark, rows).schema
 
-    def act(fired, batch_id):
-        seen[batch_id] = seconds(fired)
+    def deliver(part):
+        alerts(spark, part).coalesce(1).write.mode("append").parquet(folder)
 
-    run = w.throttled(str(tmp_path / "last"), "k", "ts", "id", "600s", act)
-    for i, part in enumerate(parts):
-        run(alerts(spark, part), i)
-        first = seen[i]
-        run(alerts(spark, part), i)  # a replay fires the same alerts
-        assert seen[i] == first
-    assert sorted(x for part in seen.values() for x in part) == greedy(rows, 600)
+    def drain():
+        stream = spark.readStream.schema(schema).parquet(folder)
+        fired = w.throttle_stream(stream, "k", "ts", "id", "600s", "300 seconds")
+        w.run(fired, w.index_action(out), point).awaitTermination()
+        found = w.read_alerts(spark, out).select("k", F.col("ts").cast("timestamp_ntz").alias("ts"), "id")
+        return seconds(found)
+
+    at = 0
+    for size in (30, 50, 40, 33):
+        deliver(rows[at:at + size])
+        at += size
+        drain()
+    deliver([("k0", 100, 77_777)])  # far too late
+    deliver([("end", 50_000, 1)])
+    got = drain()
+    want = greedy([r for r in rows if r[0] is not None], 600)
+    assert [x for x in got if x[0] != "end"] == want
+    done = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    for f in (done[-1], done[-1].with_name(f".{done[-1].name}.crc")):
+        f.rename(tmp_path / f.name)  # as if the driver had died before the last commit
+    assert drain() == got
 
 
 def test_conditions(spark):
@@ -209,5 +227,5 @@ def test_purge_and_actions_on_a_stream(spark, tmp_path):
           interval="1 second").stop()
     w.run(stream, w.logging_action(logs, "row {id} seen"),
           str(tmp_path / "cp4")).awaitTermination()
-    lines = sorted(r["value"] for r in spark.read.text(f"{logs}/log-0").collect())
+    lines = sorted(r["value"] for r in w.read_log(spark, logs).where("batch_id = 0").collect())
     assert lines == ["row 0 seen", "row 1 seen"]
