@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, free_name, pairs, stored, without
@@ -18,8 +18,8 @@ SHINGLE = 5
 SIDE = 16
 ROWS = 3
 STEP = 1 << 13
-PACKED = 5
-DEVIATIONS = 3.3
+DEVIATIONS = 4.2
+BLOCK_BYTES = 1 << 22
 GAMMA = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,7 +67,7 @@ def _sketch(least: np.ndarray) -> np.ndarray:
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """(id, row, n, whole, left, right, sketch) per (id, row, text): the size and the hash of the shingle set,
+    """(id, row, n, whole, left, right, sketch) per (id, row, text): the size and the 128-bit hash of the shingle set,
     the two collections of ``SIDE`` keys of ``ROWS`` minhashes, and a sketch for estimates."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,59 +86,44 @@ def signatures(rows: DataFrame) -> DataFrame:
                 for k in range(1, ROWS):
                     keys = mixed(keys * GAMMA + least[:, k])
                 keys = keys.view(np.int64)
-                out["whole"].append(xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63))
+                out["whole"].append(xxhash.xxh3_128_digest(values.tobytes()))
                 out["left"].append(keys[:SIDE])
                 out["right"].append(keys[SIDE:])
                 out["sketch"].append(_sketch(flat))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("row"), pa.array(out["n"], pa.int64()),
-                 pa.array(out["whole"], pa.int64()),
+                 pa.array(out["whole"], pa.binary()),
                  *[pa.array(out[k], longs) for k in ("left", "right", "sketch")]],
                 names=["id", "row", "n", "whole", "left", "right", "sketch"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.select("id", "row", "text").mapInArrow(
-        sign, f"id {kind}, row long, n long, whole long, left array<long>, right array<long>, "
+        sign, f"id {kind}, row long, n long, whole binary, left array<long>, right array<long>, "
               "sketch array<long>")
 
 
-def pack(values: np.ndarray) -> bytes:
-    """A set's hashes, ``PACKED`` bytes each, in order. Two different shingles of a pair of documents with
-    1,000 words agree in them with a probability of one in a million."""
-    kept = np.unique(values & np.uint64((1 << 8 * PACKED) - 1))
-    return np.ascontiguousarray(kept.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PACKED]).tobytes()
-
-
-def unpack(raw: bytes) -> np.ndarray:
-    bytes_ = np.frombuffer(raw, np.uint8).reshape(-1, PACKED)
-    out = np.zeros((len(bytes_), 8), np.uint8)
-    out[:, :PACKED] = bytes_
-    return out.view("<u8").ravel()
-
-
 def _packed(rows: DataFrame) -> DataFrame:
-    """(id, data): the texts, compressed for the shuffle."""
+    """(id, row, data): the texts, compressed for the shuffle."""
 
     def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), pa.array(
                 [squeeze.compress((t or "").encode("utf-8", "replace"))
-                 for _, t in pairs(batch, "id", "text")], pa.binary())], names=["id", "data"])
+                 for _, t in pairs(batch, "id", "text")], pa.binary())], names=["id", "row", "data"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "text").mapInArrow(press, f"id {kind}, data binary")
+    return rows.select("id", "row", "text").mapInArrow(press, f"id {kind}, row long, data binary")
 
 
 def _sets(rows: DataFrame) -> DataFrame:
-    """(id, set): the low ``PACKED`` bytes of the shingle hashes, of compressed texts."""
+    """(id, set): the sorted 64-bit shingle hashes, of compressed texts."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loosen = zstandard.ZstdDecompressor()
         for batch in batches:
-            held = [pack(shingles(loosen.decompress(t).decode()))
-                    for _, t in pairs(batch, "id", "data")]
+            held = [shingles(loosen.decompress(t).decode()).tobytes() for _, t in pairs(batch, "id", "data")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(held, pa.binary())], names=["id", "set"])
 
@@ -155,7 +140,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = unpack(x.as_buffer()), unpack(y.as_buffer())
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 joint = len(x) + len(y) - len(np.union1d(x, y))
                 keep.append(100 * joint >= percent * (len(x) + len(y) - joint))
             found = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -166,19 +151,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(test, f"a {kind}, b {kind}")
 
 
-def _near(a: str, b: str, percent: int) -> Column:
-    """Whether the sketches differ in no more places than ``DEVIATIONS`` standard deviations above
-    what is expected of sets with the asked similarity."""
+def _most(percent: int) -> int:
+    """How many places of their sketches may differ: ``DEVIATIONS`` standard deviations above what is
+    expected of sets with the asked similarity."""
     count = 2 * SIDE * ROWS
     share = (1 - percent / 100) * 15 / 16
-    most = count * share + DEVIATIONS * (count * share * (1 - share)) ** 0.5
+    return int(count * share + DEVIATIONS * (count * share * (1 - share)) ** 0.5)
+
+
+def _near(a: str, b: str, percent: int) -> Column:
+    """Whether the sketches are alike enough to go on."""
+    count = 2 * SIDE * ROWS
     differ = F.lit(0)
     for k in range(count // 16):
         x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
         x = x.bitwiseOR(F.shiftright(x, 1))
         x = x.bitwiseOR(F.shiftright(x, 2))
         differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return differ <= int(most)
+    return differ <= _most(percent)
 
 
 def _close(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
@@ -195,24 +185,89 @@ def _placed(members: DataFrame, found: DataFrame | None) -> DataFrame:
         "component", F.coalesce("component", "id"))
 
 
-def _crossing(placed: DataFrame, strays: DataFrame, percent: int) -> DataFrame:
-    """The pairs of a stray and a member of another component that share a key of both collections.
-    They are met at their first common key of the left one, so each comes once."""
-    cols = ["id", "component", "sketch", "left", "right"]
-
-    def keyed(rows: DataFrame, tag: str) -> DataFrame:
-        return rows.select(*[F.col(c).alias(f"{c}_{tag}") for c in cols],
-                           F.posexplode("left").alias(f"at_{tag}", f"key_{tag}"))
-
-    a = keyed(placed.join(strays, "id", "left_semi"), "a")
-    b = keyed(placed, "b")
-    alike = F.zip_with("left_a", "left_b", lambda x, y: x == y)
-    first = F.array_position(alike, True) - 1 == F.col("at_a")
-    both = F.exists(F.zip_with("right_a", "right_b", lambda x, y: x == y), lambda x: x)
-    met = (F.col("at_a") == F.col("at_b")) & (F.col("key_a") == F.col("key_b"))
-    far = (F.col("component_a") != F.col("component_b")) & _near("sketch_a", "sketch_b", percent)
-    return a.join(b, met & far & first & both).select(
-        F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+def _met(at: int, mine: pa.Table, strays: pa.Table, percent: int) -> tuple[list[int], list[int]]:
+    """(stray, member) rows whose sets are alike enough, one per stray and component of members. Pairs are
+    looked at where they have their first common key, and only if their components differ."""
+    left, own_left = (x["left"].combine_chunks().flatten().to_numpy().reshape(-1, SIDE) for x in (mine, strays))
+    wide = 2 * SIDE * ROWS // 16
+    sketch, own_sketch = (x["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, wide)
+                          for x in (mine, strays))
+    codes = pa.chunked_array([*mine["component"].chunks, *strays["component"].chunks]).combine_chunks(
+        ).dictionary_encode().indices.to_numpy()
+    component, own = codes[:mine.num_rows], codes[mine.num_rows:]
+    sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in mine["set"]]
+    sizes = np.array([len(x) for x in sets])
+    ones, most, a, b = np.uint64(0x1111111111111111), _most(percent), [], []
+    for i, x in enumerate(strays["set"]):
+        x = np.frombuffer(x.as_buffer(), np.uint32)
+        fit = (component != own[i]) & (100 * np.minimum(sizes, len(x)) >= percent * np.maximum(sizes, len(x)))
+        fit &= ~(left[:, :at] == own_left[i, :at]).any(axis=1)
+        rows = np.flatnonzero(fit)
+        differ = sketch[rows] ^ own_sketch[i]
+        differ |= differ >> np.uint64(1)
+        differ |= differ >> np.uint64(2)
+        rows = rows[np.bitwise_count(differ & ones).sum(axis=1) <= most]
+        if not len(rows):
+            continue
+        flat = np.concatenate([sets[r] for r in rows])
+        place = np.minimum(np.searchsorted(x, flat), len(x) - 1)
+        joint = np.add.reduceat((x[place] == flat).astype(np.int64), np.cumsum(sizes[rows]) - sizes[rows])
+        rows = rows[100 * joint >= percent * (sizes[rows] + len(x) - joint)]
+        rows = rows[np.unique(component[rows], return_index=True)[1]]
+        a += [i] * len(rows)
+        b += rows.tolist()
+    return a, b
+
+
+def _short(sets: DataFrame) -> DataFrame:
+    """(id, set): the sorted low 32 bits of the hashes."""
+
+    def cut_down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [np.unique(np.frombuffer(x.as_buffer(), np.uint64).astype(np.uint32)).tobytes()
+                    for x in batch.column("set")]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(held, pa.binary())], names=["id", "set"])
+
+    return sets.mapInArrow(cut_down, "id long, set binary")
+
+
+def _stray_links(placed: DataFrame, strays: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): strays and members of other components with the same key of the left collection whose sets are
+    alike enough. A key's members and strays are dealt to a grid of blocks of about ``BLOCK_BYTES`` of
+    sets and compared inside a block; what leaves it is a link per stray and component, so no pairs are written, however
+    crowded a key is. Sets are compared here by the low halves of their hashes; links are confirmed afterwards."""
+    full = placed.join(_short(sets), "id")
+    told = full.select("id", "component", F.length("set").alias("bytes"), F.posexplode("left").alias("at", "own")).join(
+        strays.withColumn("stray", F.lit(True)), "id", "left")
+    # only keys with a stray and with two components; which sets go where is settled before they move
+    mine, asking = F.sum("bytes"), F.sum(F.when(F.col("stray"), F.col("bytes")))
+    grid = told.groupBy("at", "own").agg(
+        F.ceil(mine / BLOCK_BYTES).alias("across"), F.ceil(asking / BLOCK_BYTES).alias("down"),
+        F.min("component").alias("low"), F.max("component").alias("high")).where(
+        "low <> high and down is not null").drop("low", "high")
+    dealt = stored(told.join(grid, ["at", "own"]).drop("bytes", "component"))
+    zero = F.lit(0).cast("long")
+
+    def sent(rows: DataFrame, **places: Column) -> DataFrame:
+        rows = rows.select("id", "at", "own", *[c.alias(k) for k, c in places.items()], "across", "down")
+        for name, count in (("x", "across"), ("y", "down")):
+            if name not in places:
+                rows = rows.withColumn(name, F.explode(F.sequence(zero, F.col(count) - 1)))
+        rows = rows.join(full, "id")
+        return rows.select(*[F.col(c).alias(c) for c in cols])
+
+    cell = ["at", "own", "x", "y"]
+    cols = [*cell, "id", "component", "sketch", "left", "set"]
+    mine = sent(dealt, x=F.pmod(F.xxhash64("id"), "across"))
+    asking = sent(dealt.where("stray"), y=F.pmod(F.xxhash64("id"), "down"))
+
+    def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        a, b = _met(key[0].as_py(), left, right, percent)
+        return pa.table({"a": right["id"].take(pa.array(a, pa.int64())), "b": left["id"].take(pa.array(b, pa.int64()))})
+
+    return mine.groupBy(*cell).cogroup(asking.groupBy(*cell)).applyInArrow(compare, "a long, b long")
 
 
 def _cells(heads: DataFrame) -> DataFrame:
@@ -226,40 +281,44 @@ def _cells(heads: DataFrame) -> DataFrame:
         F.collect_list(F.when(~F.col("is_left"), F.col("key"))).alias("right"))
     tables = shared.select("id", "right", F.explode("left").alias("l")).select(
         "id", "l", F.explode("right").alias("r")).select("id", F.xxhash64("l", "r").alias("cell"))
-    whole = Window.partitionBy("cell")
-    return tables.withColumn("n", F.count("*").over(whole)).where("n > 1").withColumn(
-        "leader", F.min("id").over(whole))
+    tables = stored(tables)
+    known = tables.groupBy("cell").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1")
+    return tables.join(known, "cell")
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75
             ) -> DataFrame:
-    """(row, n, component) of every row, ``row`` being a hash of its id and text; rows without words are
+    """(id, row, n, component) of every row, ``row`` being a hash of its text; rows without words are
     their own component.
 
-    Equal sets are one class, of which the row with the smallest id takes part. Its keys are pairs
+    Equal sets (by a hash of 128 bits) are one class. Its keys are pairs
     of one key of each of two collections: 16 x 16 tables of six minhashes for the price of 96
     minhashes instead of 1,536. Two sets with a similarity of 0.75 meet in a table with a
     probability of 0.9997 (1 - (1 - s^3)^16 squared). A key that no other class has cannot
     meet, so only keys held twice are paired.
 
     Members of a cell are compared with its smallest member, and in cells that are then in several
-    components with another leader, drawn by a hash; so a large group of near copies joins up in
-    linear work. Who is then still outside its cell's component (a stray) is compared with all members of its
-    cells that lie in other components, each pair once. Of all pairs, a sketch of the 96 minhashes
-    rules out those 3.3 standard deviations below 0.75 (one in 2,000 at exactly 0.75, none that
-    matter above 0.85); the rest is confirmed on the full sets. Copies of one text do not meet
-    each other at all."""
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{id_col}`", f"`{text_col}`").alias(
-        "row"), F.col(f"`{text_col}`").alias("text"))
+    components with the member that shares most cells with others, which lies amid its copies; so a large group of near
+    copies joins up in linear work. Who is then still outside its cell's largest component (a stray) is
+    compared with the members of other components block by block (``_stray_links``). Of all pairs, a sketch of the 96
+    minhashes rules out those 4.2 standard deviations below 0.75 (one in 70,000 at exactly 0.75); the rest is
+    confirmed on the full sets of 64-bit hashes. Copies of one set do not meet each other at all."""
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("row"),
+                     F.col(f"`{text_col}`").alias("text"))
     signed = cut(signatures(rows))
-    reps = signed.where("whole is not null").groupBy("whole").agg(F.min("id").alias("rep"))
-    heads = cut(signed.join(reps, (signed["whole"] == reps["whole"]) & (signed["id"] == reps["rep"]))
-                .select("id", "left", "right", "sketch").dropDuplicates(["id"]))
+    # a class gets a number of its own, so rows that share an id do not get mixed up
+    heads = stored(signed.where("whole is not null").groupBy("whole").agg(
+        F.min("id").alias("low"), F.min(F.struct("id", "row")).alias("one"),
+        *[F.first(c).alias(c) for c in ("left", "right", "sketch")]).withColumn(
+        "id", F.monotonically_increasing_id()))
     cells = stored(_cells(heads))
     ids = cells.select("id").distinct()
-    signs = stored(heads.join(ids, "id", "left_semi"))
-    packed = _packed(rows).join(signs.select("id"), "id", "left_semi").dropDuplicates(["id"])
-    sets = stored(_sets(packed))
+    signs = stored(heads.drop("whole", "low").join(ids, "id", "left_semi"))
+    ones = signs.select(F.col("id").alias("class"), F.col("one.id").alias("one"), F.col("one.row").alias("of"))
+    packed = _packed(rows)
+    texts = packed.join(ones, packed["id"].eqNullSafe(ones["one"]) & packed["row"].eqNullSafe(ones["of"])).select(
+        F.col("class").alias("id"), "data").dropDuplicates(["id"])
+    sets = stored(_sets(texts))
     met = cells.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     links = cut(_verified(_close(met.distinct(), signs, percent), sets, percent))
     found = cut(components(links))
@@ -269,20 +328,28 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
         F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     open_ = stored(open_.join(split.select("cell"), "cell"))
     some = stored(sets.join(open_.select("id").distinct(), "id", "left_semi"))
-    leaders = open_.groupBy("cell").agg(F.min_by(
-        F.struct("id", "component"), F.xxhash64("id")).alias("l"))
+    met_by = cells.groupBy("id").agg(F.sum("n").alias("met"))
+    leaders = open_.join(met_by, "id").groupBy("cell").agg(F.max_by(
+        F.struct("id", "component"), F.struct("met", "id")).alias("l"))
     met = open_.join(leaders, "cell").where(F.col("component") != F.col("l.component")).select(
         F.least("l.id", "id").alias("a"), F.greatest("l.id", "id").alias("b")).distinct()
     links = cut(links.unionByName(_verified(_close(met, signs, percent), some, percent)))
     found = cut(components(links))
     open_ = _placed(open_.drop("component"), found)
-    mains = open_.groupBy("cell").agg(F.min_by("component", "id").alias("main"))
-    strays = open_.join(mains, "cell").where("component <> main").select("id").distinct()
-    near = _placed(signs.join(some.select("id"), "id", "left_semi"), found)
-    links = links.unionByName(_verified(_crossing(near, strays, percent), some, percent))
-    final = components(links).select(F.col("node").alias("rep"), "component")
-    out = signed.join(reps, "whole", "left").join(final, "rep", "left")
-    return out.select("row", "n", F.coalesce("component", "rep", "id").alias("component"))
+    parts = open_.groupBy("cell", "component").agg(F.count("*").alias("n"))
+    mains = parts.groupBy("cell").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    strays = stored(open_.join(mains, "cell").where("component <> main").select("id").distinct())
+    near = stored(_placed(signs.join(some.select("id"), "id", "left_semi"), found).select(
+        "id", "component", "sketch", "left"))
+    links = links.unionByName(_verified(_stray_links(near, strays, some, percent), some, percent))
+    final = components(links).select(F.col("node").alias("id"), "component")
+    linked = heads.select("id", "low").join(final, "id")
+    least = linked.groupBy("component").agg(F.min("low").alias("least"))
+    named = heads.select("id", "whole", "low").join(
+        linked.select("id", "component").join(least, "component").select("id", "least"), "id", "left").select(
+        "whole", F.coalesce("least", "low").alias("component"))
+    return signed.join(named, "whole", "left").select(
+        "id", "row", "n", F.coalesce("component", "id").alias("component"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -290,17 +357,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Every row with ``n_shingles``, ``component_id`` (the smallest id that links reach) and ``kept``
     (whether it is its own component's id).
 
-    A NULL or empty text and one of blanks only has no shingles and is linked with nothing. Ids
-    are taken to be unique: rows that share an id share its component only if their texts are alike (of
-    different ones, one takes part in comparisons). A NULL id is kept unless an equal text has one. An empty table stays empty. Extra columns pass
-    through; ones named like an added column are replaced."""
+    A NULL or empty text and one of blanks only has no shingles and is linked with nothing. Rows that share an id are
+    told apart by their texts; each has its own text's component. A NULL id is kept unless an equal or near text has
+    one. Ids may be of any type that has an order. An empty table stays empty. Extra columns pass through; ones named
+    like an added column are replaced."""
     df = without(df, "n_shingles", "component_id", "kept")
-    row, size, component = (free_name(df, c) for c in ("_row", "_n", "_component"))
+    row, key, size, component = (free_name(df, c) for c in ("_row", "_key", "_n", "_component"))
     found = classes(df, id_col, text_col, percent)
-    told = found.select(F.col("row").alias(row), F.col("n").alias(size), F.col("component").alias(
-        component)).dropDuplicates([row])
+    told = found.select(F.col("id").alias(key), F.col("row").alias(row), F.col("n").alias(size), F.col(
+        "component").alias(component)).dropDuplicates([key, row])
     cols = [F.col(f"`{c}`") for c in df.columns]
-    out = df.withColumn(row, F.xxhash64(f"`{id_col}`", f"`{text_col}`")).join(told, row)
+    own = df.withColumn(row, F.xxhash64(f"`{text_col}`"))
+    out = own.join(told, own[row].eqNullSafe(told[row]) & own[f"`{id_col}`"].eqNullSafe(told[key]))
     return out.select(
         *cols, F.col(size).alias("n_shingles"), F.col(component).alias("component_id"),
         F.col(f"`{id_col}`").eqNullSafe(F.col(component)).alias("kept"))

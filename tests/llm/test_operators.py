@@ -566,3 +566,54 @@ def test_line_windows_by_hand(spark):
            for r in lines.dedup_lines(spark.createDataFrame(rows, DOCS)).collect()}
     assert got == {1: ("a\nb\nc\nd", 4, 0), 2: ("x\n\ny", 6, 3), 3: ("", 6, 6), 4: ("c\nd", 2, 0),
                    5: (None, 0, 0)}
+
+
+# ---- 7: crowded keys
+
+
+def test_a_large_group_of_near_copies_in_linear_rows(spark, monkeypatch):
+    """1,200 copies of one text, each with its own edits, so that most pairs are just out of reach: every link is
+    found, and far fewer rows are made than there are pairs."""
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 1 << 14)  # many blocks
+    rng = random.Random(11)
+    words = vocabulary(rng, 4000)
+    base = rng.choices(words, k=120)
+    rows = []
+    for i in range(1200):
+        own = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3, 4, 5, 6, 7])):
+            own[at] = rng.choice(words)
+        rows.append((i, " ".join(own)))
+    made = []
+    real = neardup._verified
+    monkeypatch.setattr(neardup, "_verified", lambda p, *a: made.append(p.count()) or real(p, *a))
+    out = neardup.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(4)).collect()
+    sets = [neardup.shingles(t) for _, t in rows]
+    places = {h: k for k, h in enumerate(np.unique(np.concatenate(sets)).tolist())}
+    m = np.zeros((len(rows), len(places)), np.float32)
+    for i, s in enumerate(sets):
+        m[i, [places[h] for h in s.tolist()]] = 1
+    joint = m @ m.T
+    size = m.sum(axis=1)
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in zip(*np.nonzero(np.triu(100 * joint >= 75 * (size[:, None] + size - joint), 1))):
+        a, b = sorted((root(i), root(j)))
+        parent[b] = a
+    assert {r["doc_id"]: r["component_id"] for r in out} == {i: root(i) for i in range(len(rows))}
+    assert sum(made) < 40 * len(rows)
+
+
+def test_rows_that_share_an_id_keep_their_own_links(spark):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choices(vocabulary(rng), k=60)) for _ in range(3)]
+    near = [t + " one more" for t in texts]
+    rows = [("a", texts[0]), ("a", texts[1]), ("b", near[0]), ("c", near[1]), ("a", texts[2]), ("d", "other words")]
+    out = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in out) == [
+        ("a", "a", True), ("a", "a", True), ("a", "a", True), ("b", "a", False), ("c", "a", False), ("d", "d", True)]
