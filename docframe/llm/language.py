@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -17,7 +16,6 @@ from .common import keyed, unit, without
 UNKNOWN = "und"
 SIZES = (1, 2, 3)
 PIECE = 1 << 18
-LETTER = re.compile(r"[^\W\d_]")
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -29,6 +27,11 @@ class Model:
     """buckets x languages"""
 
 
+def lettered(text: str | None) -> bool:
+    """Whether a text holds a letter (Unicode categories L*; number signs are none)."""
+    return text is not None and any(map(str.isalpha, text))
+
+
 def n_grams(codes: np.ndarray, bits: int) -> np.ndarray:
     """Bucket numbers of the n-grams of 1 to 3 characters that start at each but the last two
     code points; a row per size."""
@@ -142,13 +145,13 @@ def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         names = np.array([*own.languages, UNKNOWN], object)
         for batch in batches:
             texts = batch.column(text_col).to_pylist()
-            lettered = np.array([t is not None and LETTER.search(t) is not None for t in texts], bool)
+            told = np.array([lettered(t) for t in texts], bool)
             best, sure = np.full(len(texts), len(own.languages)), np.zeros(len(texts))
             if own.languages and len(texts):
                 sums = _sums(texts, own, bits) + own.log_prior
                 odds = np.exp(sums - sums.max(axis=1, keepdims=True))
-                best = np.where(lettered, sums.argmax(axis=1), best)
-                sure = np.where(lettered, 1 / odds.sum(axis=1), sure)
+                best = np.where(told, sums.argmax(axis=1), best)
+                sure = np.where(told, 1 / odds.sum(axis=1), sure)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names[best].tolist(), pa.string()), pa.array(sure)],
                 names=[*batch.schema.names, "lang_pred", "score"])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -11,21 +10,15 @@ from pyspark.sql import functions as F
 from .common import cut, free_name, keyed, ranked, unit, without
 
 SPREAD = 12
+PART_ROWS = 1 << 20
+CELL_ROWS = 1 << 16
 
 
-def _log_gamma(x: Column) -> Column:
-    """ln Gamma(x) for x >= 1: Stirling's series at x + 7, error below 1e-11."""
-    z = x + 7.0
-    series = (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z)
-    series = series - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z)
-    shift = x
-    for k in range(1, 7):
-        shift = shift * (x + float(k))
-    return series - F.log(shift)
-
-
-def _log_choose(n: Column, k: Column) -> Column:
-    return _log_gamma(n + 1) - _log_gamma(k + 1) - _log_gamma(n - k + 1)
+def _doubled(least: int, wanted: float) -> int:
+    """``least``, doubled until it is no less than ``wanted``."""
+    while least < wanted:
+        least *= 2
+    return least
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -35,8 +28,9 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def hypergeometric(whole: Column, marked: Column, drawn: Column, u: Column) -> Column:
     """How many of ``drawn`` rows, taken without putting back from ``whole`` rows of which
-    ``marked`` are marked, are marked: the distribution inverted at ``u``. Sums run over twelve
-    standard deviations round the mean; what lies beyond is below 1e-30."""
+    ``marked`` are marked, are marked: the distribution inverted at ``u``. Weights run over twelve standard
+    deviations round the mean (what lies beyond is below 1e-30), each a ratio of the one before, and
+    are divided by their own sum, so that their error does not grow with the table."""
 
     def bounds(v: Column) -> Column:
         big, k, n = v["big"], v["k"], v["n"]
@@ -52,17 +46,20 @@ def hypergeometric(whole: Column, marked: Column, drawn: Column, u: Column) -> C
 
     def invert(v: Column) -> Column:
         big, k, n, low = v["big"], v["k"], v["n"], v["low"]
-        at_low = F.exp(_log_choose(k, low) + _log_choose(big - k, n - low) - _log_choose(big, n))
-        found = F.aggregate(
-            F.sequence(low.cast("long"), v["high"].cast("long")),
-            F.struct(at_low.alias("p"), at_low.alias("sum"), low.cast("long").alias("value")),
-            lambda s, x: _let(
-                s["p"] * (k - x) * (n - x) / ((x + 1) * F.greatest(
-                    big - k - n + x + 1, F.lit(1.0))),
-                lambda p: F.struct(
-                    p.alias("p"), (s["sum"] + p).alias("sum"),
-                    (s["value"] + F.when(s["sum"] <= v["u"], 1).otherwise(0)).alias("value"))),
-        )["value"]
+
+        def following(p: Column, x: Column) -> Column:
+            return p * (k - x) * (n - x) / ((x + 1) * F.greatest(big - k - n + x + 1, F.lit(1.0)))
+
+        values = F.sequence(low.cast("long"), v["high"].cast("long"))
+        whole_sum = F.aggregate(
+            values, F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum")),
+            lambda s, x: F.struct(following(s["p"], x).alias("p"), (s["sum"] + s["p"]).alias("sum")),
+        )["sum"]
+        found = _let(v["u"] * whole_sum, lambda goal: F.aggregate(
+            values, F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum"), low.cast("long").alias("value")),
+            lambda s, x: _let(s["sum"] + s["p"], lambda held: F.struct(
+                following(s["p"], x).alias("p"), held.alias("sum"),
+                (s["value"] + F.when(held <= goal, 1).otherwise(0)).alias("value"))))["value"])
         return F.least(found, v["high"].cast("long"))
 
     return _let(F.struct(
@@ -123,18 +120,23 @@ def communication_matrix(counts: DataFrame, shards: int, partitions: int, seed:
                         F.col("node.cols").alias("cells"))
 
 
-def shard(df: DataFrame, shards: int = 24, partitions: int = 64, id_col: str = "doc_id",
-          seed: str = "shard", buckets: int = 256) -> DataFrame:
+def shard(df: DataFrame, shards: int = 24, partitions: int | None = None, id_col: str = "doc_id",
+          seed: str = "shard", buckets: int | None = None) -> DataFrame:
     """Every row once, with ``shard`` and ``slot`` (gapless from 0 in each shard): a uniform
     random order of the whole table, cut into shards whose row counts are at most one apart.
 
-    Rows are dealt by a hash of their id into ``partitions`` (a power of two) source
-    partitions and ordered at random in each. The communication matrix says how many of the
-    first, next, ... rows go to which shard; they are exchanged and ordered at random again.
+    Rows are dealt by a hash of their id into ``partitions`` (a power of two; unless given, 64 doubled
+    until a partition has at most about ``PART_ROWS`` rows) source partitions and ordered at random in each. The communication matrix says how many of the
+    first, next, ... rows go to which shard; they are exchanged and ordered at random again, a shard
+    in ``buckets`` (256, doubled until one has at most about ``CELL_ROWS`` rows).
     All random numbers are hashes of (seed, id), ties are broken by the row's content, and equal
     rows are interchangeable, so a lost task is redone alike. A NULL id is dealt like an
     empty one. Empty tables stay empty; with fewer rows than shards the last shards are empty.
     Extra columns pass through; columns named shard or slot are replaced."""
+    if partitions is None or buckets is None:
+        rows = df.count()
+        partitions = partitions or _doubled(64, rows / PART_ROWS)
+        buckets = buckets or _doubled(256, rows / shards / CELL_ROWS)
     if partitions < 1 or partitions & (partitions - 1):
         raise ValueError("partitions must be a power of two")
     df = without(df, "shard", "slot")
@@ -151,7 +153,7 @@ def shard(df: DataFrame, shards: int = 24, partitions: int = 64, id_col: str = "
         lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x))).alias(cells))
     ties = [id_, F.xxhash64(*[F.col(f"`{c}`") for c in cols])]
     mixed = dealt.withColumn(key, keyed(F.lit(seed), F.lit("local"), id_))
-    mixed = ranked(mixed, rank, key, ties, [part], max(1, buckets // 16))
+    mixed = ranked(mixed, rank, key, ties, [part], PART_ROWS // CELL_ROWS)
     # partitions x shards numbers, both parameters
     sent = mixed.join(F.broadcast(matrix), part).withColumn("shard", (F.size(F.filter(
         F.col(cells), lambda c: c <= F.col(rank))) - 1).cast("int"))

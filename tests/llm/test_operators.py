@@ -328,9 +328,41 @@ def test_long_texts_are_scored_whole(spark):
     assert np.allclose(whole[0], want) and (whole[2] == 0).all()
 
 
+@pytest.mark.parametrize("text", ["½ ² ③", "١٢٣ 42", "_ - !", "", "\u0301"])
+def test_texts_without_letters_have_no_language(spark, text):
+    model = language.Model(["en"], np.zeros(1), np.zeros((1 << 4, 1), np.float32))
+    df = spark.createDataFrame([(1, text), (2, text + "ж"), (3, None)], DOCS)
+    told = {r["doc_id"]: r["lang_pred"] for r in language.identify(df, model).collect()}
+    assert told == {1: "und", 2: "en", 3: "und"}
+    by_spark = df.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()
+    assert [r["doc_id"] for r in by_spark] == [2]
+
+
 # ---- 6: sharding
 
 
+def test_draws_invert_the_exact_distribution(spark):
+    rng, rows = random.Random(4), []
+    for big, k, n in [(1, 1, 1), (9, 4, 5), (60, 59, 30), (200, 3, 199), (1000, 40, 500), (5000, 2500, 700), (7, 0, 3)]:
+        total, below, edges = math.comb(big, n), 0, []
+        for x in range(max(0, n - big + k), min(n, k) + 1):
+            below += math.comb(k, x) * math.comb(big - k, n - x)
+            edges.append((x, below / total))
+        for u in [rng.random() for _ in range(60)]:
+            rows.append((big, k, n, u, next(x for x, edge in edges if u < edge)))
+    df = spark.createDataFrame(rows, "big long, k long, n long, u double, want long")
+    got = df.select("want", sharding.hypergeometric(*map(F.col, ("big", "k", "n", "u"))).alias("got"))
+    assert got.where("got != want").count() == 0
+
+
+def test_draws_from_huge_tables_keep_their_spread(spark):
+    big, k, n = 10 ** 12, 4 * 10 ** 4, 5 * 10 ** 11
+    quantiles = spark.createDataFrame([(0.5,), (0.8413447460685429,), (0.15865525393145707,)], "u double")
+    mid, up, down = (r[0] for r in quantiles.select(sharding.hypergeometric(
+        F.lit(big), F.lit(k), F.lit(n), F.col("u"))).collect())
+    assert mid == 20_000 and abs(up - 20_100) <= 1 and abs(down - 19_900) <= 1
+
+
 def test_communication_matrix_has_exact_margins_and_spread(spark):
     counts = [0, 5, 700, 12_000, 1, 0, 300, 9_994]
     df = spark.createDataFrame(list(enumerate(counts)), "partition long, n long")
