@@ -15,12 +15,13 @@ UPPER = "[A-Z]"
 SHOUTS = "[!?]"
 WORD = r"[^\x20\x09-\x0D]"
 WINDOW = 5
+ENDED = r"[.!?\"\u2026\u201D][\x20\x09\x0B-\x0D]*+(?=\n|\z)"
+LETTERLESS = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{L}]++(?![^\x20\x09-\x0D])"
 PRIOR = 0.85
-FIRED_IF_BAD, FIRED_IF_GOOD = 0.3, 0.005
-PRAISED_IF_BAD, PRAISED_IF_GOOD = 0.8, 0.9
-WEIGHT = 0.5
-"""What the starting values count for, as a share of all documents."""
-LEAST = 1e-3
+FIRED_IF_BAD, FIRED_IF_GOOD = 0.3, 0.01
+PRAISED_IF_BAD, PRAISED_IF_GOOD = 0.3, 0.8
+WEIGHT = 20.0
+"""What the starting rates count for, in documents."""
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -59,7 +60,8 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
 
 def measures(text: Column) -> Column:
     """The text's counts as one struct, all worked out from the whole text; NULL counts as
-    empty. ``lines`` are lines with a word, ``n_dup_lines`` those equal to an earlier one."""
+    empty. ``n_lines`` are lines with a word, ``n_dup_lines`` those equal to an earlier one, ``n_ended``
+    lines whose last sign ends a sentence, ``n_letterless`` words without any letter."""
 
     def line_counts(lines: Column) -> Column:
         return F.struct(F.size(lines).cast("long").alias("lines"), (
@@ -76,6 +78,7 @@ def measures(text: Column) -> Column:
             _count(t, SYMBOLS).alias("n_symbols"), x["l"]["dup"].alias("n_dup_lines"),
             x["w"]["repeat"].alias("n_repeat_words"), x["l"]["lines"].alias("n_lines"),
             _count(t, UPPER).alias("n_upper"), _count(t, SHOUTS).alias("n_shouts"),
+            _count(t, ENDED).alias("n_ended"), _count(t, LETTERLESS).alias("n_letterless"),
         ))
 
     return let(F.coalesce(text, F.lit("")), counts)
@@ -90,16 +93,19 @@ def default_rules() -> dict[str, tuple[Column, Column]]:
     repeat = F.col("n_repeat_words") / words
     upper = F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1))
     shouts = F.col("n_shouts") / words
+    ended = F.col("n_ended") / F.greatest(F.col("n_lines"), F.lit(1))
+    letterless = F.col("n_letterless") / words
     never = F.lit(False)
-    # good votes go together much more than bad ones do, so only three rules cast them
     return {
         "word_length": ((mean < 3) | (mean > 12), (mean >= 3.5) & (mean <= 9)),
-        "symbols": (symbols > 0.1, never),
-        "dup_lines": ((dup > 0.3) & (F.col("n_dup_lines") >= 3), never),
+        "symbols": (symbols > 0.1, symbols < 0.02),
+        "dup_lines": ((dup > 0.3) & (F.col("n_dup_lines") >= 3), dup < 0.05),
         "repeat_words": (repeat > 0.2, repeat < 0.05),
-        "upper": (upper > 0.3, never),
-        "shouts": (shouts > 0.1, never),
+        "upper": (upper > 0.3, upper < 0.1),
+        "shouts": (shouts > 0.1, shouts < 0.03),
         "size": (never, F.col("n_words").between(30, 100_000)),
+        "line_ends": (ended < 0.9, ended >= 0.97),
+        "letterless": (letterless > 0.1, letterless < 0.02),
     }
 
 
@@ -110,23 +116,21 @@ def votes(rules: dict[str, tuple[Column, Column]]) -> Column:
 
 def accuracies(patterns: DataFrame, n_rules: int, rounds: int = 30) -> DataFrame:
     """One row: per rule ``fired`` and ``praised``, the log odds that its bad and its good vote lend
-    to good quality. Estimated from (votes, n) by
-    expectation-maximisation; at most 3^rules patterns meet in the one row.
-
-    Two classes; given the class, rules vote independently, each with its own rates of bad and
-    good votes in either class. Abstaining says nothing, so the share of good documents
-    cannot be told from the votes and is a parameter (``PRIOR``). The starting rates count for
-    ``WEIGHT`` of all documents; a bad vote never speaks for quality and a good one never against, so
-    the classes cannot change sides."""
+    to good quality. Estimated from (votes, n) by expectation-maximisation; at most 3^rules
+    patterns meet in the one row.
+
+    Two classes; given the class, rules vote independently, each with its own free rates of bad and
+    good votes in either class. A rule whose bad votes fall on both classes alike is left with a
+    weight near 0, whatever it was meant to find. The rates start where rules are mostly right, which
+    names the classes; the start counts for ``WEIGHT`` documents, so no rate is 0. Abstaining says nothing, and
+    the share of good documents is a parameter (``PRIOR``)."""
     rows = patterns.agg(F.array_sort(F.collect_list(F.struct("votes", "n"))).alias("p"))
     none = F.array_repeat(F.lit(0.0), n_rules)
 
     def log_odds(in_good: Column, good: Column, in_bad: Column, bad: Column,
                  start_good: float, start_bad: float) -> Column:
-        own = F.greatest(WEIGHT * (good + bad), F.lit(1e-9))
         return F.zip_with(in_good, in_bad, lambda g, b: F.log(
-            F.greatest(F.lit(LEAST), (g + own * start_good) / (good + own))
-            / F.greatest(F.lit(LEAST), (b + own * start_bad) / (bad + own))))
+            (g + WEIGHT * start_good) / (good + WEIGHT) * (bad + WEIGHT) / (b + WEIGHT * start_bad)))
 
     def improve(s: Column, p: Column) -> Column:
         judged = F.transform(p, lambda x: F.struct(
@@ -145,10 +149,8 @@ def accuracies(patterns: DataFrame, n_rules: int, rounds: int = 30) -> DataFrame
                 add(a["fg"], x, -1, m["g"]).alias("fg"), add(a["fb"], x, -1, m["b"]).alias("fb"),
                 add(a["pg"], x, 1, m["g"]).alias("pg"), add(a["pb"], x, 1, m["b"]).alias("pb"))))
         return let(summed, lambda t: F.struct(
-            F.transform(log_odds(t["fg"], t["good"], t["fb"], t["bad"], FIRED_IF_GOOD, FIRED_IF_BAD),
-                        lambda w: F.least(w, F.lit(0.0))).alias("fired"),
-            F.transform(log_odds(t["pg"], t["good"], t["pb"], t["bad"], PRAISED_IF_GOOD,
-                                 PRAISED_IF_BAD), lambda w: F.greatest(w, F.lit(0.0)))
+            log_odds(t["fg"], t["good"], t["fb"], t["bad"], FIRED_IF_GOOD, FIRED_IF_BAD).alias("fired"),
+            log_odds(t["pg"], t["good"], t["pb"], t["bad"], PRAISED_IF_GOOD, PRAISED_IF_BAD)
             .alias("praised")))
 
     start = F.struct(
@@ -176,19 +178,20 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``base_failed`` texts, of under 10 words or with over a fifth of their words in repeated
     windows of five, are not kept; of the rest those whose posterior probability of good quality is
-    at least ``threshold`` are. All rows vote. A NULL or empty text has no words and fails;
+    at least ``threshold`` are. The rates are estimated from the votes on all texts that do not fail the
+    base, and all rows get a posterior. A NULL or empty text has no words and fails;
     repeated rows and a NULL id get a row each; an empty table gives none. Only the two named columns
     are read, so others may have any name."""
     rules = rules or default_rules()
     rows = df.select(F.col(f"`{id_col}`").alias(id_col), measures(F.col(f"`{text_col}`")).alias("m"))
     rows = rows.select(id_col, "m.*")
     voted = cut(rows.withColumn("votes", votes(rules)))
-    patterns = voted.groupBy("votes").agg(F.count("*").alias("n"))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    patterns = voted.where(~failed).groupBy("votes").agg(F.count("*").alias("n"))
     model = accuracies(patterns, len(rules), rounds)
     # one row
     scored = voted.join(F.broadcast(model.select(F.struct("*").alias("model"))))
     scored = scored.withColumn("good", posterior(F.col("votes"), F.col("model")))
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return scored.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("good") >= threshold)).drop("model")
 
