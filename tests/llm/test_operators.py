@@ -629,6 +629,40 @@ def test_edited_items_of_all_lengths_are_met(size, rate):
     assert {(k, k) for k in range(30)} <= {m[:2] for m in got}
 
 
+@pytest.mark.parametrize("rate", [0.0, 0.05, 0.1])
+@pytest.mark.parametrize("size", [10, 19, 30, 58, 100, 300])
+def test_windows_alone_reach_the_target_recall(size, rate):
+    """The embedding's own recall, without the pieces: 0.9 or more at a target of 0.95."""
+    rng = np.random.default_rng(size + 1)
+
+    def words(n):
+        return rng.integers(1, 3000, n).astype(np.uint64) << np.uint64(48)
+
+    items = {k: words(size) for k in range(80)}
+    texts = []
+    for own in items.values():
+        edited = own.tolist()
+        for _ in range(int(rate * size + 1e-9)):
+            kind, at = rng.integers(3), int(rng.integers(len(edited)))
+            edited[at:at + int(kind != 0)] = words(int(kind != 1)).tolist()
+        texts.append(np.concatenate([words(20), np.array(edited, np.uint64), words(20)]))
+    index = decontamination.build(items, 0.1)
+    got = {m[:2] for m in decontamination.matches(texts, index, fallback=False)}
+    assert got == {(k, k) for k, _ in got}
+    assert len(got) >= (0.9 if rate else 1) * len(items)
+
+
+def test_ids_of_any_type_and_texts_that_share_an_id(spark):
+    own = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([("a", own), ("a", "clean text"), (None, f"x {own} y"), (None, None)],
+                                 "doc_id string, text string")
+    items = spark.createDataFrame([("q1", own), (None, "z")], "item_id string, text string")
+    found = decontamination.contaminated(docs, items).collect()
+    assert sorted([(r["id"], r["item"]) for r in found], key=str) == [("a", "q1"), (None, "q1")]
+    left = decontamination.decontaminate(docs, items).collect()
+    assert sorted(map(tuple, left), key=str) == [("a", "clean text"), (None, None)]
+
+
 def test_planted_passages_are_all_met(spark):
     sf = "/root/testdata/sf0.01"
     items = {r["item_id"]: r["text"] for r in read(spark, sf, "benchmark").collect()}
