@@ -202,6 +202,29 @@ def test_passages_at_the_limit_of_likeness_are_met(spark):
     assert all(m <= 0.02 * 60 for m in missed.values()), missed
 
 
+def test_edited_passages_whose_seeds_others_hold_too_are_met(spark):
+    rng = random.Random(10)
+
+    def words(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows, want = [], set()
+    for k in range(0, 1200, 60):
+        passage = words(60)
+        # every seed of the passage has another first holder, and another last one
+        parts = [passage[i:i + 7] for i in range(0, 60, 3)]
+        rows += [(k + i, " ".join(words(20) + part + words(20))) for i, part in enumerate(parts)]
+        rows.append((k + 25, " ".join(words(30) + passage + words(30))))
+        rows += [(k + 30 + i, " ".join(words(20) + part + words(20))) for i, part in enumerate(parts)]
+        for i in range(5, 60, 10):
+            passage[i] = words(1)[0]
+        rows.append((k + 55, " ".join(words(30) + passage + words(30))))
+        want.add((k + 55, k + 25))
+    got = {(r["doc"], r["other"]) for r in passages.repeated_passages(
+        spark.createDataFrame(rows, DOCS).repartition(3)).collect()}
+    assert got == want
+
+
 def test_every_window_of_fifty_words_meets_an_earlier_holder(spark, sf, docs):
     rng = random.Random(9)
 
