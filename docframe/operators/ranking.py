@@ -16,10 +16,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as tx
 from .clauses import Clause, Term
-from .vectors import QUERY_BLOCK, SCORE_CELLS, best_of_rows
+from .vectors import QUERY_BLOCK, best_of_rows
 
 K1 = 1.2
 B = 0.75
+# What a task works on at once: documents, and pairs of a document's token and a query that has it.
+SLICE_ROWS = 512
+SCORE_PAIRS = 1_000_000
 
 
 def _key(field: str, analyzer: str) -> str:
@@ -143,6 +146,10 @@ def batch_search(df: DataFrame, field: str, id: str, queries: DataFrame, query_i
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _slices(batch):
+    return (batch.slice(at, SLICE_ROWS) for at in range(0, batch.num_rows, SLICE_ROWS))
+
+
 def _block_stats(docs: DataFrame, words: list[str]) -> tuple[int, float, dict[int, int]]:
     """(documents, mean length, documents per word): each task counts the words of the block
     in its own documents and reports one row per word."""
@@ -154,8 +161,7 @@ def _block_stats(docs: DataFrame, words: list[str]) -> tuple[int, float, dict[in
         index = pa.array(words)
         df_w = np.zeros(len(words), dtype=np.int64)
         n = total = 0
-        for batch in batches:
-            lists = batch.column(0)
+        for lists in (x.column(0) for batch in batches for x in _slices(batch)):
             dl = np.asarray(lists.value_lengths())
             n += len(dl)
             total += int(dl.sum())
@@ -204,7 +210,7 @@ def _block_hits(docs, id, query_id, qtype, rows, k):
         pair_t, pair_q = pair_t[order], pair_q[order]
         start = np.searchsorted(pair_t, np.arange(len(weight) + 1))
         best = BestOf(len(asked), k, above=1e-9)  # no token in common is no hit
-        for batch in batches:
+        for batch in (x for whole in batches for x in _slices(whole)):
             lists = batch.column(1)
             dl = np.asarray(lists.value_lengths())
             owner = np.repeat(np.arange(len(dl)), dl)
@@ -215,9 +221,11 @@ def _block_hits(docs, id, query_id, qtype, rows, k):
             doc, tok = cell // len(weight), cell % len(weight)
             s = weight[tok] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl[doc] / mean))
             ids = batch.column(0).to_pylist()
-            step = max(1, SCORE_CELLS // len(asked))
-            for lo in range(0, len(dl), step):
-                hi = min(len(dl), lo + step)
+            # a frequent token meets most queries: blocks are cut by their pairs, too
+            pairs = np.bincount(doc, weights=start[tok + 1] - start[tok], minlength=len(dl))
+            block = np.cumsum(pairs + len(asked)) // SCORE_PAIRS
+            cuts = np.flatnonzero(np.diff(block, prepend=-1, append=np.inf))
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 a, z = np.searchsorted(doc, [lo, hi])
                 width = start[tok[a:z] + 1] - start[tok[a:z]]
                 row = np.repeat(doc[a:z] - lo, width)

@@ -193,6 +193,20 @@ def test_batch_search_equals_single_searches(spark, sf, block):
         assert [rows[q["item_id"]][i] for i in sorted(rows[q["item_id"]])] == want
 
 
+def test_batch_search_is_the_same_in_small_blocks(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(300).coalesce(1)
+    queries = spark.read.parquet(f"{sf}/benchmark.parquet").limit(20)
+
+    def hits():
+        got = r.batch_search(docs, "text", "doc_id", queries, "item_id", "text", 3)
+        return sorted((x["item_id"], x["rank"], x["doc_id"], x["_score"]) for x in got.collect())
+
+    want = hits()
+    monkeypatch.setattr(r, "SLICE_ROWS", 70)
+    monkeypatch.setattr(r, "SCORE_PAIRS", 500)
+    assert hits() == want and len(want) == 60
+
+
 def test_knn_brute_force_blocks_and_recall(spark, sf):
     emb = spark.read.parquet(f"{sf}/embeddings.parquet")
     queries = emb.where("vec_id < 7").select(F.col("vec_id").alias("q"), "embedding")
