@@ -267,47 +267,59 @@ def read_log(spark, root: str, name: str = "log") -> DataFrame:
 def throttle_stream(stream: DataFrame, key: str, ts: str, id: str, period: str, late: str) -> DataFrame:
     """``throttle`` on a stream: (key, ts, id) of the alerts that fire, once no earlier alert can come any more.
 
-    ``late`` is how long the stream waits for late alerts; later ones are dropped. Per key the state holds the last firing
-    and the alerts that are not yet decided (one per moment, none inside the silence), at most what comes within ``late``. A timer decides them when
-    the watermark has passed them and drops a key that has been silent for the period. So state does not grow
-    with the keys ever seen, and a replayed batch fires what it fired before."""
+    ``late`` is how long the stream waits for late alerts; later ones are dropped. Per key the state holds the last firing,
+    up to when alerts are decided, and those that are not yet (one per moment, none inside the silence), at most what
+    comes within ``late``: what lies further behind a key's newest alert is decided in its own batch, as the
+    watermark is about to pass it. A timer decides the others when the watermark has passed them and drops a key
+    that has been silent for the period. So state grows neither with the keys ever seen nor with the size of a batch,
+    and a replayed batch fires what it fired before."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     wait = duration_micros(period)
+    lag = F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"CAST('{late}' AS INTERVAL)"))
     rows = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
         F.col(key).alias("k"), F.col(ts).cast("timestamp").alias("at"),
-        F.unix_micros(F.col(ts).cast("timestamp")).alias("t"), F.col(id).alias("id")).withWatermark("at", late)
+        F.unix_micros(F.col(ts).cast("timestamp")).alias("t"), F.col(id).alias("id")).withColumn(
+        "sure", F.col("t") - lag).withWatermark("at", late)
     kind = _ddl(rows, "id")
 
     def decide(name, batches, held):
+        import numpy as np
         import pandas as pd
 
-        last, times, ids = held.get if held.exists else (None, [], [])
-        open_ = dict(zip(times, ids))
+        passed = held.getCurrentWatermarkMs() * 1000
+        last, upto, times, ids = held.get if held.exists else (None, passed, [], [])
+        known = [pd.DataFrame({"t": times, "id": ids})] if times else []
         if not held.hasTimedOut:
             for b in batches:
-                for t, i in zip(b["t"].tolist(), b["id"].tolist()):
-                    if t not in open_ or i < open_[t]:
-                        open_[t] = i
-        passed = held.getCurrentWatermarkMs() * 1000
-        fired = []
-        for t in sorted(open_):
-            if t > passed:
+                passed = max(passed, int(b["sure"].max()) // 1000 * 1000)
+                known.append(b.loc[b["t"] > upto, ["t", "id"]])
+        upto, passed = passed, held.getCurrentWatermarkMs() * 1000
+        open_ = pd.concat(known) if known else pd.DataFrame({"t": [], "id": []})
+        # alerts of the same moment: the lowest id
+        open_ = open_.sort_values(["t", "id"]).drop_duplicates("t")
+        t, ids = open_["t"].to_numpy(np.int64), open_["id"]
+        sure, at, fired = int(np.searchsorted(t, upto, side="right")), 0, []
+        while True:  # one jump per alert that fires
+            at = 0 if last is None else int(np.searchsorted(t, last + wait))
+            if at >= sure:
                 break
-            if last is None or t >= last + wait:
-                last = t
-                fired.append((name[0], t, open_[t]))
-        rest = sorted(t for t in open_ if t > passed and (last is None or t >= last + wait))
-        if rest or (last is not None and last + wait > passed):
-            held.update((last, rest, [open_[t] for t in rest]))
-            held.setTimeoutTimestamp((rest[0] if rest else last + wait) // 1000 + 1)
+            last = int(t[at])
+            fired.append(at)
+        rest = slice(max(at, sure), None)
+        out = pd.DataFrame({"k": [name[0]] * len(fired), "t": t[fired], "id": ids.iloc[fired].to_numpy()})
+        times, ids = t[rest].tolist(), ids.iloc[rest].tolist()
+        if times or (last is not None and last + wait > passed):
+            held.update((last, upto, times, ids))
+            held.setTimeoutTimestamp((times[0] if times else last + wait) // 1000 + 1)
         elif held.exists:
             held.remove()
-        yield pd.DataFrame(fired, columns=["k", "t", "id"])
+        yield out
 
     out = rows.groupBy("k").applyInPandasWithState(
         decide, f"k {_ddl(rows, 'k')}, t bigint, id {kind}",
-        f"last bigint, times array<bigint>, ids array<{kind}>", "append", GroupStateTimeout.EventTimeTimeout)
+        f"last bigint, upto bigint, times array<bigint>, ids array<{kind}>", "append",
+        GroupStateTimeout.EventTimeTimeout)
     return out.select(F.col("k").alias(key), F.timestamp_micros("t").alias(ts), F.col("id").alias(id))
 
 

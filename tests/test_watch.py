@@ -92,6 +92,26 @@ def test_throttled_stream_equals_the_batch(spark, tmp_path):
     assert drain() == got
 
 
+def test_throttle_state_holds_what_may_still_change_only(spark, tmp_path):
+    """A first batch, with no watermark yet, is decided but for what came within the wait for late alerts."""
+    rows = [(f"k{i % 2}", i, i) for i in range(20_000)]
+    folder, out, point = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
+    alerts(spark, rows).write.parquet(folder)
+    first = []
+
+    def act(batch, batch_id):
+        rows = batch.select("k", F.col("ts").cast("timestamp_ntz").alias("ts"), "id")
+        first.append(seconds(rows))
+        w.index_action(out)(batch, batch_id)
+
+    fired = w.throttle_stream(spark.readStream.schema(alerts(spark, rows).schema).parquet(folder),
+                              "k", "ts", "id", "600s", "300 seconds")
+    w.run(fired, act, point).awaitTermination()
+    assert first[0] == [r for r in greedy(rows, 600) if r[1] <= 20_000 - 300 - 2]
+    state = spark.read.format("statestore").load(point).select("value.groupState.*")
+    assert state.count() == 2 and all(len(r["times"]) <= 150 for r in state.collect())
+
+
 def test_conditions(spark):
     df = spark.createDataFrame([(1, [1, 5]), (2, []), (3, None)], "n int, xs array<int>")
 
