@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docframe.llm import (
-    decontamination, graph, language, lines, mixing, neardup, passages, pii, quality, sharding,
+    common, decontamination, graph, language, lines, mixing, neardup, passages, pii, quality, sharding,
     substrings,
 )
 from docframe.llm.common import read
@@ -532,6 +532,29 @@ def test_components_of_chains_stars_and_rings(spark):
     assert {got[i] for i in (300, 301, 302)} == {300} and 5 not in got
 
 
+def test_links_that_are_stars_need_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "cut", lambda df, real=graph.cut: written.append(1) or real(df))
+
+    def found(links):
+        return {r["node"]: r["component"] for r in graph.components(
+            spark.createDataFrame(links, "a long, b long")).collect()}
+
+    stars = [(i % 7, 10 + i) for i in range(100)] + [(i + 500, i + 600) for i in range(20)]
+    own = {node: a for a, b in stars for node in (a, b)}
+    assert found(stars) == own and len(written) == 1
+    tied = found([*stars, (10, 11), (3, 605), (700, 701), (701, 702)])
+    assert tied == {i: {1: 0, 505: 3}.get(c, c) for i, c in own.items()} | {700: 700, 701: 700, 702: 700}
+
+
+def test_near_duplicates_leave_no_tables(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "shared_folder", lambda _: str(tmp_path))
+    rows = [(i, " ".join(f"w{k + (i % 3) * (k % 40 == 0)}" for k in range(90))) for i in range(9)] + [(9, "a b"), (10, None)]
+    out = neardup.near_duplicates(spark.createDataFrame(rows, DOCS))
+    assert not [p for p in tmp_path.rglob("*.parquet") if p.is_file()]
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == {i: 0 if i < 9 else i for i, _ in rows}
+
+
 # ---- 8: substrings
 
 
